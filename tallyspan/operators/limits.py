@@ -1,65 +1,190 @@
-"""Rate limits and retries over logged calls."""
+"""Rate limits and retries over logged calls.
+
+Both limiters order only the calls that can still be admitted - a bounded number
+per service and interval, cut map-side - and send one small row per interval back
+to all its calls. ``carried`` rows let a stream go on where its last batch ended.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.operators.ordered import first_n, spread_join
 
 
-def rate_limit_fixed(
-    log: DataFrame, qpm: int, tpm: int, window: str = "1 minute", key: str = "provider"
-) -> DataFrame:
-    """Which calls a per-window limiter admits, and which ceiling stopped the rest.
-
-    A call is admitted while fewer than ``qpm`` calls and fewer than ``tpm``
-    tokens were admitted before it in its window; a rejected call consumes
-    nothing, so the admitted calls are the first ones of the window. Hence only
-    the first ``qpm`` calls of a window are ever ordered - cut map-side - and one
-    summary row per window carries the last admitted call back to all its calls.
-    Ordered by (event_time, request_id); missing tokens count as 0.
-    """
-    calls = log.withColumns(
+def _calls(log: DataFrame, window: str) -> DataFrame:
+    kind = dict(log.dtypes)["event_time"]
+    return log.withColumns(
         {
-            "window_start": F.window("event_time", window)["start"].cast(
-                dict(log.dtypes)["event_time"]
-            ),
+            "window_start": F.window("event_time", window)["start"].cast(kind),
             "_at": F.struct("event_time", "request_id"),
-            "_tokens": F.coalesce(F.col("total_tokens"), F.lit(0)),
         }
     )
+
+
+def _leading(calls: DataFrame, group: list[str], n: int) -> DataFrame:
+    return first_n(calls, group, [F.col("_at.event_time"), F.col("_at.request_id")], n)
+
+
+def _verdict(admitted: Column) -> dict[str, Column]:
+    return {"admitted": admitted, "limit_status": F.when(admitted, 200).otherwise(429)}
+
+
+def window_balances(
+    log: DataFrame, qpm: int, tpm: int, window: str = "1 minute", key: str = "provider",
+    carried: DataFrame | None = None,
+) -> DataFrame:
+    """Per service and window: calls and tokens admitted so far, and the last admitted call.
+
+    ``carried`` holds earlier balances ``(key, window_start, calls, spent)``.
+    """
     group = [key, "window_start"]
-    leading = first_n(
-        calls.select(*group, "event_time", "request_id", "_at", "_tokens"),
-        group, [F.col("event_time"), F.col("request_id")], qpm,
-    )
+    tokens = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("bigint")
+    calls = _calls(log, window).select(*group, "_at", tokens.alias("_tokens"))
+    leading = _leading(calls, group, qpm)
+    if carried is None:
+        leading = leading.withColumns(
+            {"_calls": F.lit(0).cast("bigint"), "_spent": F.lit(0).cast("bigint")}
+        )
+    else:
+        earlier = carried.select(
+            *group, F.col("calls").alias("_calls"), F.col("spent").alias("_spent")
+        )
+        # At most qpm rows per window are left here, so no key is large.
+        leading = leading.join(earlier, group, "left").fillna(0, ["_calls", "_spent"])
     before = (
         Window.partitionBy(*group).orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
     )
-    spent_before = F.coalesce(F.sum("_tokens").over(before), F.lit(0))
-    summary = (
-        leading.withColumn("_spent_before", spent_before)
-        .filter(F.col("_spent_before") < tpm)
+    spent_before = F.col("_spent") + F.coalesce(F.sum("_tokens").over(before), F.lit(0))
+    fits = (F.col("_calls") + F.col("_rank") <= qpm) & (F.col("_before") < tpm)
+    balances = (
+        leading.withColumn("_before", spent_before)
         .groupBy(*group)
-        .agg(F.max("_at").alias("_last"), F.sum("_tokens").alias("_spent"))
+        .agg(
+            F.max(F.when(fits, F.col("_at"))).alias("last_admitted"),
+            (F.max("_calls") + F.count_if(fits)).alias("calls"),
+            (F.max("_spent") + F.coalesce(F.sum(F.when(fits, F.col("_tokens"))), F.lit(0)))
+            .alias("spent"),
+        )
     )
-    admitted = F.coalesce(F.col("_at") <= F.col("_last"), F.lit(False))
+    return balances
+
+
+def apply_window_limit(
+    log: DataFrame, balances: DataFrame, tpm: int, window: str, key: str
+) -> DataFrame:
+    """Every call with its verdict, given the balances of its window."""
+    group = [key, "window_start"]
+    admitted = F.coalesce(F.col("_at") <= F.col("last_admitted"), F.lit(False))
     return (
-        spread_join(calls, summary, group, "left")
-        .withColumn("admitted", admitted)
-        .withColumn("limit_status", F.when(F.col("admitted"), 200).otherwise(429))
+        spread_join(_calls(log, window), balances.drop("calls"), group, "left")
+        .withColumns(_verdict(admitted))
         .withColumn(
             "limit_hit",
-            F.when(
-                ~F.col("admitted"),
-                F.when(F.coalesce(F.col("_spent"), F.lit(0)) >= tpm, "tpm").otherwise("qpm"),
-            ),
+            F.when(~F.col("admitted"), F.when(F.col("spent") >= tpm, "tpm").otherwise("qpm")),
         )
-        .drop("_at", "_tokens", "_last", "_spent")
+        .drop("_at", "last_admitted", "spent")
     )
 
 
+def rate_limit_fixed(
+    log: DataFrame, qpm: int, tpm: int, window: str = "1 minute", key: str = "provider"
+) -> DataFrame:
+    """Which calls a per-window limiter admits, and which ceiling stopped the rest.
+
+    A call is admitted while fewer than ``qpm`` calls and fewer than ``tpm``
+    tokens were admitted before it in its window; a rejected call consumes
+    nothing, so the admitted calls are the first ones of the window. Ordered by
+    (event_time, request_id); missing tokens count as 0.
+    """
+    balances = window_balances(log, qpm, tpm, window, key)
+    return apply_window_limit(log, balances, tpm, window, key)
+
+
+def bucket_levels(
+    log: DataFrame, rate: int, burst: int, interval: str, key: str = "provider",
+    carried: DataFrame | None = None,
+) -> DataFrame:
+    """Per service and interval: the last call a token bucket admits, and the level after.
+
+    Every interval adds ``rate`` tokens, up to ``burst``; a call takes one. Within
+    an interval the level only falls, so its admitted calls are its first ones, at
+    most ``burst`` of them. Only their number per interval is walked through in
+    order: one row per service and interval, however many calls there were.
+    ``carried`` holds ``(key, window_start, level)`` of the last interval seen.
+    """
+    group = [key, "window_start"]
+    calls = _calls(log, interval).select(*group, "_at")
+    leading = _leading(calls, group, burst)
+    demand = leading.groupBy(*group).agg(F.count("*").alias("wanted"))
+    seconds = F.unix_timestamp(F.col("window_start").cast("timestamp"))
+    steps = demand.select(
+        key, "window_start", seconds.alias("at"), "wanted",
+        F.lit(None).cast("bigint").alias("level"),
+    )
+    if carried is not None:
+        steps = steps.unionByName(
+            carried.select(key, "window_start", seconds.alias("at"),
+                           F.lit(0).cast("bigint").alias("wanted"), "level")
+        )
+    width = int(pd.Timedelta(interval).total_seconds())
+
+    def walk(frame: pd.DataFrame) -> pd.DataFrame:
+        known = frame[frame["level"].notna()]
+        frame = frame[frame["level"].isna()].sort_values("at")
+        level, last = burst, None
+        if len(known):
+            level, last = int(known["level"].iloc[0]), int(known["at"].iloc[0])
+        rows = []
+        for start, at, wanted in zip(frame["window_start"], frame["at"], frame["wanted"]):
+            if last is None:
+                last = at
+            # Late calls take from what is left now; they earn no refill.
+            level = min(burst, level + rate * max(0, (at - last) // width))
+            last = max(last, at)
+            granted = min(wanted, level)
+            level -= granted
+            rows.append((frame[key].iloc[0], start, granted, level, len(rows)))
+        return pd.DataFrame(rows, columns=[key, "window_start", "granted", "level", "step"])
+
+    kinds = dict(demand.dtypes)
+    schema = (f"`{key}` {kinds[key]}, window_start {kinds['window_start']}, "
+              "granted bigint, level bigint, step bigint")
+    levels = steps.groupBy(key).applyInPandas(walk, schema)
+    return (
+        leading.join(levels, group)
+        .groupBy(*group)
+        .agg(
+            F.max(F.when(F.col("_rank") <= F.col("granted"), F.col("_at")))
+            .alias("last_admitted"),
+            F.max("level").alias("level"),
+            F.max("step").alias("step"),
+        )
+    )
+
+
+def apply_bucket(
+    log: DataFrame, levels: DataFrame, interval: str, key: str
+) -> DataFrame:
+    admitted = F.coalesce(F.col("_at") <= F.col("last_admitted"), F.lit(False))
+    return (
+        spread_join(
+            _calls(log, interval), levels.drop("level", "step"), [key, "window_start"], "left"
+        )
+        .withColumns(_verdict(admitted))
+        .drop("_at", "last_admitted")
+    )
+
+
+def token_bucket(
+    log: DataFrame, rate: int, burst: int, interval: str = "1 minute", key: str = "provider"
+) -> DataFrame:
+    """Calls admitted by a limiter that allows a burst and then refills at ``rate``."""
+    return apply_bucket(log, bucket_levels(log, rate, burst, interval, key), interval, key)
+
+
 def final_attempt(attempts: DataFrame, first_backoff: int = 2) -> DataFrame:
     """Retries collapsed to the request: last attempt, how many, seconds slept between.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tallyspan.functions import rules
+from tallyspan.functions import pii_table, rules
 from tallyspan.functions.responses import format_results
 from tallyspan.operators import judges, lookups, policies, sessions
 from tallyspan.plans.registry import query
@@ -242,19 +242,34 @@ def _(t):
     )
 
 
-@query("pii_redact", sql=f"""
-WITH a AS (SELECT doc_id, regexp_replace(text, '{_SSN}', '[SSN]', 'g') AS text FROM documents),
+# CTEs ending in ``redacted(doc_id, text)``.
+REDACTED = f"""
+a AS (SELECT doc_id, regexp_replace(text, '{_SSN}', '[SSN]', 'g') AS text FROM documents),
 b AS (SELECT doc_id, list_reduce(list_concat([text], list_filter(
     list_distinct(regexp_extract_all(text, '{_CARD}')), lambda v: list_extract(list_transform(
       [regexp_replace(v, '[ -]', '', 'g')], lambda d: {_LUHN}), 1))),
     lambda acc, v: regexp_replace(acc, '\\b' || v || '\\b', '[CREDIT_CARD]', 'g')) AS text
   FROM a),
-e AS (SELECT doc_id, regexp_replace(text, '{_EMAIL}', '[EMAIL]', 'g') AS text FROM b)
-SELECT doc_id, regexp_replace(text, '{_PHONE}', '[PHONE]', 'g') AS text FROM e""")
+e AS (SELECT doc_id, regexp_replace(text, '{_EMAIL}', '[EMAIL]', 'g') AS text FROM b),
+redacted AS (SELECT doc_id, regexp_replace(text, '{_PHONE}', '[PHONE]', 'g') AS text FROM e)
+"""
+
+
+@query("pii_redact", sql=f"WITH {REDACTED} SELECT doc_id, text FROM redacted")
 def _(t):
     return policies.pii_redact(t.read("documents").select("doc_id", "text"), "text")
 
 
+@query("pii_finder", sql="WITH " + findings_sql("documents", "doc_id", "text") + """
+SELECT doc_id, kind, value FROM found""")
+def _(t):
+    pii_table.register(t.spark)
+    return t.spark.sql(
+        "SELECT d.doc_id, f.kind, f.value FROM {docs} d, LATERAL find_pii(d.text) f",
+        docs=t.read("documents"),
+    )
+
+
 def rules_sql(text: str, table) -> str:
     tests = ", ".join(
         f"CASE WHEN regexp_matches(lower({text}), '{p.replace(chr(39), chr(39) * 2)}') "
