@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyspan.functions.columns import bound
+
 _USAGE = "struct<usage:struct<prompt_tokens:string,completion_tokens:string,total_tokens:string>>"
 
 
@@ -50,21 +52,21 @@ def normalize_content(content: Column) -> Column:
     no separator, a block that is not an object counting as its own text; any
     other value becomes its string form.
     """
-    blocks = F.try_variant_get(content, "$", "array<variant>")
-    joined = F.array_join(
-        F.transform(
-            blocks,
-            lambda b: F.when(
-                _is_object(b), F.coalesce(F.try_variant_get(b, "$.text", "string"), F.lit(""))
-            ).otherwise(F.coalesce(_text(b), F.lit(""))),
-        ),
-        "",
-    )
-    return (
-        F.when(content.isNull() | F.is_variant_null(content), F.lit(""))
-        .when(_is_list(content), joined)
-        .otherwise(F.coalesce(_text(content), F.lit("")))
-    )
+    def block_text(block: Column) -> Column:
+        own = F.when(
+            _is_object(block), F.try_variant_get(block, "$.text", "string")
+        ).otherwise(_text(block))
+        return F.coalesce(own, F.lit(""))
+
+    def flat(value: Column) -> Column:
+        blocks = F.try_variant_get(value, "$", "array<variant>")
+        return (
+            F.when(value.isNull() | F.is_variant_null(value), F.lit(""))
+            .when(_is_list(value), F.array_join(F.transform(blocks, block_text), ""))
+            .otherwise(F.coalesce(_text(value), F.lit("")))
+        )
+
+    return bound(content, flat)
 
 
 def message_content(body: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,9 +30,15 @@ PII_NAMES = {
     "phone": "phone number",
 }
 
-# A character every match of the kind holds, tested before the pattern is run.
+# A character every match of the kind holds.
 _MARKS = {"ssn": "-", "email": "@", "phone": "-"}
 
+
+def may_hold(text: Column, kind: str) -> Column:
+    """A cheap test that a text could hold the kind, made before its pattern is run."""
+    return text.contains(_MARKS[kind]) if kind in _MARKS else text.rlike("[0-9]")
+
+
 # Phrases of instruction override, jailbreak and prompt leaking.
 INJECTION_RULES = [
     ("override", r"ignore (all |your )?(previous|prior|safety) (instructions|guidelines)"),
@@ -73,11 +78,11 @@ def words(text: Column) -> Column:
 def pii_values(text: Column, kind: str) -> Column:
     """All values of one kind in the whole text; card numbers must pass the Luhn check."""
     found = F.regexp_extract_all(text, F.lit(PII_PATTERNS[kind]), F.lit(0))
-    none = F.array().cast("array<string>")
     if kind == "credit_card":
-        found = F.filter(found, lambda v: F.call_function("luhn_check", F.regexp_replace(v, "[ -]", "")))
-        return F.coalesce(found, none)
-    return F.when(text.contains(_MARKS[kind]), found).otherwise(none)
+        found = F.filter(
+            found, lambda v: F.call_function("luhn_check", F.regexp_replace(v, "[ -]", ""))
+        )
+    return F.when(may_hold(text, kind), found).otherwise(F.array().cast("array<string>"))
 
 
 def pii_array(text: Column) -> Column:
@@ -94,9 +99,10 @@ def pii_array(text: Column) -> Column:
 def first_pii(text: Column) -> Column:
     """The first finding only: kinds are tried in turn and the rest is not searched."""
     def lead(kind: str) -> Column:
-        value = F.get(pii_values(text, kind), F.lit(0))
-        return F.when(
-            value.isNotNull(), F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+        found = F.slice(pii_values(text, kind), 1, 1)
+        return F.get(
+            F.transform(found, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))),
+            F.lit(0),
         )
 
     return F.coalesce(*[lead(kind) for kind in PII_PATTERNS])
@@ -133,9 +139,6 @@ def first_label(text: Column, rules: Sequence[tuple[str, str]], default: str) ->
 def route(text: Column, data_rules: Sequence[str], document_rules: Sequence[str]) -> Column:
     """``data``, ``docs`` or ``both``; a question hitting neither goes to the documents."""
     low = F.lower(text)
-
-    def hit(patterns: Sequence[str]) -> Column:
-        return reduce(lambda a, b: a | b, [low.rlike(p) for p in patterns])
-
-    data, docs = hit(data_rules), hit(document_rules)
-    return F.when(data & docs, "both").when(data, "data").otherwise("docs")
+    data = low.rlike("|".join(f"(?:{p})" for p in data_rules))
+    docs = low.rlike("|".join(f"(?:{p})" for p in document_rules))
+    return F.when(data, F.when(docs, "both").otherwise("data")).otherwise("docs")

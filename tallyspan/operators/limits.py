@@ -190,15 +190,15 @@ def final_attempt(attempts: DataFrame, first_backoff: int = 2) -> DataFrame:
 
     Latency is the last attempt's own, so waiting is not billed as model time.
     """
-    last = F.max_by(F.struct("status", "latency_s"), "attempt")
     return (
         attempts.groupBy("request_id")
-        .agg(F.count("*").alias("attempts"), last.alias("_last"))
+        .agg(
+            F.count("*").alias("attempts"),
+            F.max_by("status", "attempt").alias("status"),
+            F.max_by("latency_s", "attempt").alias("latency_s"),
+        )
         .select(
-            "request_id",
-            "attempts",
-            F.col("_last.status").alias("status"),
-            F.col("_last.latency_s").alias("latency_s"),
+            "request_id", "attempts", "status", "latency_s",
             (F.lit(first_backoff) * (F.pow(F.lit(2), F.col("attempts") - 1) - 1))
             .cast("long")
             .alias("backoff_s"),

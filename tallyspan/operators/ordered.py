@@ -140,8 +140,12 @@ def running_sums(
         {f"_term_{name}": term for name, term in sums.items()}
     )
     in_block = [*keys, "_block"]
-    totals = blocked.groupBy(*in_block).agg(
-        *[F.sum(f"_term_{name}").alias(f"_sum_{name}") for name in sums]
+    # The test is on the column itself, so the scan skips row groups without long groups.
+    long_groups = df.filter(F.col(order) >= size).select(*keys).distinct()
+    totals = (
+        blocked.join(long_groups, list(keys), "left_semi")
+        .groupBy(*in_block)
+        .agg(*[F.sum(f"_term_{name}").alias(f"_sum_{name}") for name in sums])
     )
     earlier = (
         Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -183,17 +187,14 @@ def next_value(
     blocked = _with_block(df, order, size).withColumn("_value", value)
     in_block = [*keys, "_block"]
     heads = (
-        blocked.filter(F.col("_block") > 0)
+        blocked.filter(F.col(order) >= size)
         .groupBy(*in_block)
-        .agg(F.min_by("_value", order).alias("_head"))
-    )
-    spans = blocked.select(*in_block).distinct()
-    edges = (
-        spans.join(heads, in_block, "left")
-        .withColumn("_edge", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_block")))
-        .filter(F.col("_edge").isNotNull())
-        .drop("_head")
+        .agg(F.min_by("_value", order).alias("_edge"))
     )
+    # Between two neighbouring heads no block but the earlier one holds rows; before
+    # the first head only block 0 can.
+    previous = F.lag("_block").over(Window.partitionBy(*keys).orderBy("_block"))
+    edges = heads.select(*keys, F.coalesce(previous, F.lit(0)).alias("_block"), "_edge")
     inside = Window.partitionBy(*in_block).orderBy(order)
     return (
         blocked.join(edges, in_block, "left")
@@ -221,5 +222,7 @@ def spread_join(
 
 
 def _hashable(df: DataFrame) -> list[str]:
-    plain = {"string", "bigint", "int", "double", "timestamp", "timestamp_ntz", "date", "boolean"}
-    return [name for name, kind in df.dtypes if kind in plain]
+    """Columns a row's slot is taken from: the short ones if there are any."""
+    short = {"bigint", "int", "double", "timestamp", "timestamp_ntz", "date"}
+    names = [name for name, kind in df.dtypes if kind in short]
+    return names or [name for name, kind in df.dtypes if kind == "string"]

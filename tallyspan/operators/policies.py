@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.functions import rules
+from tallyspan.functions.columns import bound
 
 
 def pii_findings(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -21,13 +22,16 @@ def pii_findings(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def pii_verdict(text: Column, phase: str = "pre_call") -> Column:
-    finding = rules.first_pii(text)
     names = F.create_map(*[F.lit(x) for pair in rules.PII_NAMES.items() for x in pair])
-    reason = F.concat(
-        F.lit("Content contains a "), names[finding["kind"]], F.lit(": "), finding["value"],
-        F.lit("."),
-    )
-    return rules.deny("PII", phase, reason, finding.isNotNull())
+
+    def verdict(finding: Column) -> Column:
+        reason = F.concat(
+            F.lit("Content contains a "), names[finding["kind"]], F.lit(": "), finding["value"],
+            F.lit("."),
+        )
+        return rules.deny("PII", phase, reason, finding.isNotNull())
+
+    return bound(rules.first_pii(text), verdict)
 
 
 def pii_block(df: DataFrame, text: str, phase: str = "pre_call") -> DataFrame:
@@ -36,22 +40,23 @@ def pii_block(df: DataFrame, text: str, phase: str = "pre_call") -> DataFrame:
 
 def pii_redact(df: DataFrame, text: str) -> DataFrame:
     """Every finding replaced by ``[KIND]`` instead of the request being denied."""
-    def without_cards(value: Column, mask: Column) -> Column:
-        # Only numbers that pass the check are masked, so each is looked up by itself.
-        return F.aggregate(
-            F.array_distinct(rules.pii_values(value, "credit_card")),
-            value,
-            lambda acc, card: F.regexp_replace(acc, rules.standing_alone(card), mask),
-        )
 
-    clean = F.col(text)
-    for kind, pattern in rules.PII_PATTERNS.items():
+    def masked(value: Column, kind: str) -> Column:
         mask = F.lit(f"[{kind.upper()}]")
         if kind == "credit_card":
-            clean = without_cards(clean, mask)
-        else:
-            clean = F.regexp_replace(clean, pattern, mask)
-    return df.withColumn(text, clean)
+            # Only numbers that pass the check are masked, so each is looked up by itself.
+            return F.aggregate(
+                F.array_distinct(rules.pii_values(value, kind)),
+                value,
+                lambda acc, card: F.regexp_replace(acc, rules.standing_alone(card), mask),
+            )
+        replaced = F.regexp_replace(value, rules.PII_PATTERNS[kind], mask)
+        return F.when(rules.may_hold(value, kind), replaced).otherwise(value)
+
+    # One projection per kind: each works on the text the one before it left.
+    for kind in rules.PII_PATTERNS:
+        df = df.withColumn(text, masked(F.col(text), kind))
+    return df
 
 
 def injection_flags(
@@ -77,18 +82,22 @@ def confusion(df: DataFrame, predicted: str, actual: str) -> DataFrame:
 
 def keyword_verdict(text: Column, invalid: Sequence[str], topics: Sequence[str] = ()) -> Column:
     """Deny a listed keyword; with topics given, also deny a text naming none of them."""
-    found = rules.words(text)
-    listed = F.array_sort(
-        F.array_intersect(found, F.array(*[F.lit(w.lower()) for w in invalid]))
-    )
-    bad = F.when(
-        F.size(listed) > 0, F.concat(F.lit("invalid keyword: "), F.get(listed, F.lit(0)))
-    )
-    reason = bad
-    if topics:
-        on_topic = F.arrays_overlap(found, F.array(*[F.lit(w.lower()) for w in topics]))
-        reason = F.coalesce(bad, F.when(~on_topic, F.lit("no valid topic")))
-    return rules.deny("keywords", "pre_call", reason, reason.isNotNull())
+    def reason(found: Column) -> Column:
+        listed = F.array_sort(
+            F.array_intersect(found, F.array(*[F.lit(w.lower()) for w in invalid]))
+        )
+        why = F.when(
+            F.size(listed) > 0, F.concat(F.lit("invalid keyword: "), F.get(listed, F.lit(0)))
+        )
+        if topics:
+            named = F.arrays_overlap(found, F.array(*[F.lit(w.lower()) for w in topics]))
+            why = F.coalesce(why, F.when(~named, F.lit("no valid topic")))
+        return why
+
+    def verdict(why: Column) -> Column:
+        return rules.deny("keywords", "pre_call", why, why.isNotNull())
+
+    return bound(bound(rules.words(text), reason), verdict)
 
 
 def keyword_policy(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.rules import words
 from tallyspan.operators.ordered import first_n
+from tallyspan.storage import settle
 
 # Questions scored per pass over the documents. More questions take more passes.
 QUESTION_SLICE = 512
@@ -253,7 +254,8 @@ def text_topk(
 ) -> DataFrame:
     """Best k documents for every question by the cosine of TF-IDF weighted words."""
     kind = dict(questions.dtypes)[question_key]
-    coded = docs.select(doc_key, word_buckets(F.col(text)).alias("_words"))
+    # Split into words once: the weights and every slice of questions read it again.
+    coded = settle(docs.select(doc_key, word_buckets(F.col(text)).alias("_words")), "words")
     weights = _word_weights(coded)
     asked = questions.select(question_key, word_buckets(F.col(question_text)).alias("_words"))
     found = None

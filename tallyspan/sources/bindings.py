@@ -17,6 +17,9 @@ from tallyspan.functions.responses import (
     policy_block,
 )
 
+# Tables whose rows are long texts, with their keys.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+
 # Provider and agent names of the request log, by user_id % 5.
 PROVIDERS = ["claude", "claude", "openai", "gemini", "gemini"]
 AGENTS = ["cursor", "claude_code", "codex_cli", "gemini_cli", "pi"]
@@ -32,7 +35,12 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table; long texts lying in fewer files than there are slots are spread over them."""
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        slots = self.spark.sparkContext.defaultParallelism
+        if name in TEXT_KEYS and len(df.inputFiles()) < slots:
+            df = df.repartition(slots, TEXT_KEYS[name])
+        return df
 
     # -- request log ------------------------------------------------------
 
