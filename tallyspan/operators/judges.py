@@ -76,7 +76,7 @@ def judge_sessions(
     by_name = {judge.name: judge for judge in judges}
     state_type = "session_id string, judge string, part bigint, state string"
 
-    def read(key, turns: pd.DataFrame) -> pd.DataFrame:
+    def read(key: tuple, turns: pd.DataFrame) -> pd.DataFrame:
         session, part = key
         ordered = turns.sort_values("turn")
         return pd.DataFrame(
@@ -91,14 +91,14 @@ def judge_sessions(
             whole = judge.merge(whole, state)
         return whole
 
-    def merge(key, states: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, states: pd.DataFrame) -> pd.DataFrame:
         session, name, stretch = key
         state = json.dumps(folded(by_name[name], states))
         return pd.DataFrame(
             [(session, name, stretch, state)], columns=["session_id", "judge", "part", "state"]
         )
 
-    def decide(key, states: pd.DataFrame) -> pd.DataFrame:
+    def decide(key: tuple, states: pd.DataFrame) -> pd.DataFrame:
         session, name = key
         value, reason = by_name[name].decide(folded(by_name[name], states))
         return pd.DataFrame(
