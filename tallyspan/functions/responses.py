@@ -91,7 +91,7 @@ def policy_block(body_text: Column, suffix: str = "service_policy") -> Column:
     Bodies naming neither are answered by two substring tests, unparsed.
     """
     path = F.concat(F.lit("$."), policy_key(body_text, suffix))
-    verdict = F.from_json(F.call_function("get_json_object", body_text, path), _POLICY)
+    found = F.from_json(F.call_function("get_json_object", body_text, path), _POLICY)
     finish = F.get_json_object(body_text, "$.choices[0].finish_reason")
     unknown = F.struct(
         F.lit("unknown").alias("name"),
@@ -99,11 +99,14 @@ def policy_block(body_text: Column, suffix: str = "service_policy") -> Column:
         F.lit(None).cast("string").alias("phase"),
         F.lit(None).cast("string").alias("reason"),
     )
+
+    def judged(verdict: Column) -> Column:
+        return F.when(verdict["action"] == "deny", verdict).when(
+            finish == "content_filter", unknown
+        )
+
     suspect = body_text.contains(suffix) | body_text.contains("content_filter")
-    return F.when(
-        suspect,
-        F.when(verdict["action"] == "deny", verdict).when(finish == "content_filter", unknown),
-    )
+    return F.when(suspect, bound(found, judged))
 
 
 def extract_answer(body: Column) -> Column:

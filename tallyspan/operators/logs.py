@@ -281,3 +281,14 @@ def rolling_rate(
         .agg(F.sum("n").alias("requests"), F.sum("tokens").alias("total_tokens"))
         .select(key, F.col("_window.start").alias("window_start"), "requests", "total_tokens")
     )
+
+
+def log_report(log: DataFrame, name: str, **parameters) -> DataFrame:
+    """A report by its name: ``all``, ``failed``, ``token_usage`` or ``system_usage``."""
+    reports = {
+        "all": all_requests,
+        "failed": failed_requests,
+        "token_usage": token_usage,
+        "system_usage": hourly_usage,
+    }
+    return reports[name](log, **parameters)

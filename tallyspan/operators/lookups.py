@@ -56,10 +56,15 @@ def pass_by_provider(results: DataFrame) -> DataFrame:
 
 
 def blocks_by_policy(results: DataFrame) -> DataFrame:
+    """Blocked rows per provider and policy.
+
+    Counted in the same pass that reads the policy; filtering first would have the
+    outcome, and with it the verdict, worked out twice.
+    """
     return (
-        blocked_only(results)
-        .groupBy("provider", F.coalesce("policy.name", F.lit(NO_POLICY)).alias("policy"))
-        .agg(F.count("*").alias("blocks"))
+        results.groupBy("provider", F.coalesce("policy.name", F.lit(NO_POLICY)).alias("policy"))
+        .agg(F.count_if(F.lower("actual_outcome") == "blocked").alias("blocks"))
+        .filter(F.col("blocks") > 0)
     )
 
 

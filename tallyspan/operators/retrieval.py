@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ from tallyspan.storage import settle
 QUESTION_SLICE = 512
 # Hash buckets of words: the size of the weight table every task holds (2 MB).
 WORD_BUCKETS = 1 << 18
+# Cells (64 MB) of the question weights a task holds; longer questions take more passes.
+TABLE_CELLS = 1 << 23
 # Scores are compared at this precision, so that equal texts tie wherever they lie.
 SCORE_DIGITS = 9
 
@@ -153,12 +157,9 @@ def similarity_topk(
 
 
 def centroids(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """Mean vector per key; summed per (key, position), so no key is gathered."""
-    at = df.select(key, F.posexplode(vector).alias("_i", "_x"))
-    means = at.groupBy(key, "_i").agg(F.avg(F.col("_x").cast("double")).alias("_m"))
-    # One row per vector position from here on.
-    listed = F.array_sort(F.collect_list(F.struct("_i", "_m")))
-    return means.groupBy(key).agg(F.transform(listed, lambda p: p["_m"]).alias("centroid"))
+    """Mean vector per key, averaged map-side first."""
+    mean = Summarizer.mean(array_to_vector(F.col(vector)))
+    return df.groupBy(key).agg(vector_to_array(mean).alias("centroid"))
 
 
 # -- approximate search -----------------------------------------------------
@@ -261,16 +262,28 @@ def text_topk(
     found = None
     for rows in _slices(asked, question_key, slice_size):
         terms = [_weighted(np.asarray(r[1], dtype=np.int64), weights) for r in rows]
-        known = np.unique(np.concatenate([ids for ids, _ in terms]))
-        table = np.zeros((len(known), len(rows)))
-        for q, (ids, values) in enumerate(terms):
-            table[np.searchsorted(known, ids), q] = values
-        part = _word_scan(coded, doc_key, question_key, kind, [r[0] for r in rows], k,
-                          weights, known, table)
-        found = part if found is None else found.unionByName(part)
+        for lo, hi in _fitting([len(ids) for ids, _ in terms]):
+            known = np.unique(np.concatenate([ids for ids, _ in terms[lo:hi]]))
+            table = np.zeros((len(known), hi - lo))
+            for q, (ids, values) in enumerate(terms[lo:hi]):
+                table[np.searchsorted(known, ids), q] = values
+            names = [r[0] for r in rows[lo:hi]]
+            part = _word_scan(coded, doc_key, question_key, kind, names, k, weights, known, table)
+            found = part if found is None else found.unionByName(part)
     return _ranked(found.filter(F.col("score") > 0), question_key, doc_key, k)
 
 
+def _fitting(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of neighbouring questions whose weight table stays within TABLE_CELLS."""
+    start, words_held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and (words_held + size) * (i - start + 1) > TABLE_CELLS:
+            yield start, i
+            start, words_held = i, 0
+        words_held += size
+    yield start, len(sizes)
+
+
 def _word_scan(docs, doc_key, question_key, kind, ids, k, weights, known, table):
     shared = docs.sparkSession.sparkContext.broadcast((weights, known, table))
 

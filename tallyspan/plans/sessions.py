@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions import pii_table, rules
 from tallyspan.functions.responses import format_results
-from tallyspan.operators import judges, lookups, policies, sessions
+from tallyspan.operators import judges, policies, scenarios, sessions
 from tallyspan.plans.registry import query
 
 # Keyword tables that suit the invented prose of the test messages.
@@ -190,6 +190,16 @@ def _(t):
     )
 
 
+@query("runnable_scenarios", over="t", sql="""
+SELECT session_id FROM c GROUP BY 1 HAVING count(*) FILTER (WHERE role = 'system') = 0""")
+def _(t):
+    """A session opened by a system message stands for one that needs the absent backend."""
+    needs = F.bool_or(F.col("role") == "system").alias("requires_complaint_agent")
+    return scenarios.runnable_scenarios(
+        t.conversation.groupBy("session_id").agg(needs), available=False
+    ).select("session_id")
+
+
 # -- guardrails -------------------------------------------------------------
 
 _SSN = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
@@ -690,9 +700,7 @@ def _hits(t):
 SELECT page_id, {_HOST} AS host FROM pages
 QUALIFY row_number() OVER (PARTITION BY {_HOST} ORDER BY page_id) <= 3""")
 def _(t):
-    from tallyspan.operators.scenarios import cap_per_group
-
-    return cap_per_group(_hits(t).select("page_id", "host"), "host", ["page_id"], 3)
+    return scenarios.cap_per_group(_hits(t).select("page_id", "host"), "host", ["page_id"], 3)
 
 
 @query("format_results", sql=f"""
@@ -702,9 +710,7 @@ SELECT host, 'Summary: ' || host || chr(10) || chr(10) ||
   string_agg('- [' || title || '](' || url || ')' || chr(10) || '  ' || substr(content, 1, 300),
              chr(10) || chr(10) ORDER BY page_id) AS text FROM h GROUP BY 1""")
 def _(t):
-    from tallyspan.operators.scenarios import cap_per_group
-
-    top = cap_per_group(_hits(t), "host", ["page_id"], 3)
+    top = scenarios.cap_per_group(_hits(t), "host", ["page_id"], 3)
     hit = F.struct("page_id", "title", "url", "content")
     listed = top.groupBy("host").agg(F.array_sort(F.collect_list(hit)).alias("hits"))
     results = F.transform("hits", lambda h: F.struct(h["title"], h["url"], h["content"]))

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallyspan-")
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
@@ -18,8 +24,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tallyspan-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/tallyspan/{label}-{uuid.uuid4().hex}"
 
 
