@@ -1,8 +1,9 @@
 """Rate limits and retries over logged calls.
 
-Both limiters order only the calls that can still be admitted - a bounded number
-per service and interval, cut map-side - and send one small row per interval back
-to all its calls. ``carried`` rows let a stream go on where its last batch ended.
+Groups are (service, window). Those of ordinary size are ranked with window
+functions, one shuffle for all of them. In a hot group only the calls that can
+still be admitted are ordered - a bounded number, cut map-side - and one row goes
+back to all its calls. ``carried`` rows let a stream go on where a batch ended.
 """
 
 from __future__ import annotations
@@ -11,25 +12,56 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.operators.ordered import first_n, spread_join
+from tallyspan.operators.ordered import first_n, hot_groups
+
+ORDER = ["event_time", "request_id"]
 
 
 def _calls(log: DataFrame, window: str) -> DataFrame:
     kind = dict(log.dtypes)["event_time"]
-    return log.withColumns(
-        {
-            "window_start": F.window("event_time", window)["start"].cast(kind),
-            "_at": F.struct("event_time", "request_id"),
-        }
-    )
+    start = F.window("event_time", window)["start"].cast(kind)
+    return log.withColumn("window_start", start)
 
 
 def _leading(calls: DataFrame, group: list[str], n: int) -> DataFrame:
-    return first_n(calls, group, [F.col("_at.event_time"), F.col("_at.request_id")], n)
+    """The first n calls of every group, with their rank and their place in time."""
+    at = F.struct(*ORDER).alias("_at")
+    others = [c for c in calls.columns if c not in (*group, *ORDER)]
+    narrow = calls.select(*group, *ORDER, *[c for c in others if c.startswith("_")])
+    return first_n(narrow, group, [F.col(c) for c in ORDER], n).select("*", at)
+
+
+def _before(group: list[str], order: list[str]):
+    spec = Window.partitionBy(*group).orderBy(*order)
+    return spec.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _with_verdict(calls: DataFrame, admitted: Column) -> DataFrame:
+    verdict = F.coalesce(admitted, F.lit(False))
+    return calls.withColumn("admitted", verdict).withColumn(
+        "limit_status", F.when(F.col("admitted"), 200).otherwise(429)
+    )
+
+
+def _split(calls: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    hot = hot_groups(calls, group)
+    if hot is None:
+        return calls, None
+    return calls.filter(~hot), calls.filter(hot)
 
 
-def _verdict(admitted: Column) -> dict[str, Column]:
-    return {"admitted": admitted, "limit_status": F.when(admitted, 200).otherwise(429)}
+# -- fixed windows ------------------------------------------------------------
+
+
+def _carry_in(calls: DataFrame, group: list[str], carried: DataFrame | None) -> DataFrame:
+    """Calls and tokens admitted before, as ``_calls`` and ``_spent``."""
+    if carried is None:
+        zero = F.lit(0).cast("bigint")
+        return calls.withColumns({"_calls": zero, "_spent": zero})
+    earlier = carried.select(
+        *group, F.col("calls").alias("_calls"), F.col("spent").alias("_spent")
+    )
+    return calls.join(earlier, group, "left").fillna(0, ["_calls", "_spent"])
 
 
 def window_balances(
@@ -42,25 +74,13 @@ def window_balances(
     """
     group = [key, "window_start"]
     tokens = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("bigint")
-    calls = _calls(log, window).select(*group, "_at", tokens.alias("_tokens"))
-    leading = _leading(calls, group, qpm)
-    if carried is None:
-        leading = leading.withColumns(
-            {"_calls": F.lit(0).cast("bigint"), "_spent": F.lit(0).cast("bigint")}
-        )
-    else:
-        earlier = carried.select(
-            *group, F.col("calls").alias("_calls"), F.col("spent").alias("_spent")
-        )
-        # At most qpm rows per window are left here, so no key is large.
-        leading = leading.join(earlier, group, "left").fillna(0, ["_calls", "_spent"])
-    before = (
-        Window.partitionBy(*group).orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    spent_before = F.col("_spent") + F.coalesce(F.sum("_tokens").over(before), F.lit(0))
+    calls = _calls(log, window).withColumn("_tokens", tokens)
+    # At most qpm rows per window are left here, so the join has no large key.
+    leading = _carry_in(_leading(calls, group, qpm), group, carried)
+    spent = F.col("_spent") + F.coalesce(F.sum("_tokens").over(_before(group, ["_rank"])), F.lit(0))
     fits = (F.col("_calls") + F.col("_rank") <= qpm) & (F.col("_before") < tpm)
-    balances = (
-        leading.withColumn("_before", spent_before)
+    return (
+        leading.withColumn("_before", spent)
         .groupBy(*group)
         .agg(
             F.max(F.when(fits, F.col("_at"))).alias("last_admitted"),
@@ -69,28 +89,11 @@ def window_balances(
             .alias("spent"),
         )
     )
-    return balances
-
-
-def apply_window_limit(
-    log: DataFrame, balances: DataFrame, tpm: int, window: str, key: str
-) -> DataFrame:
-    """Every call with its verdict, given the balances of its window."""
-    group = [key, "window_start"]
-    admitted = F.coalesce(F.col("_at") <= F.col("last_admitted"), F.lit(False))
-    return (
-        spread_join(_calls(log, window), balances.drop("calls"), group, "left")
-        .withColumns(_verdict(admitted))
-        .withColumn(
-            "limit_hit",
-            F.when(~F.col("admitted"), F.when(F.col("spent") >= tpm, "tpm").otherwise("qpm")),
-        )
-        .drop("_at", "last_admitted", "spent")
-    )
 
 
 def rate_limit_fixed(
-    log: DataFrame, qpm: int, tpm: int, window: str = "1 minute", key: str = "provider"
+    log: DataFrame, qpm: int, tpm: int, window: str = "1 minute", key: str = "provider",
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """Which calls a per-window limiter admits, and which ceiling stopped the rest.
 
@@ -99,26 +102,59 @@ def rate_limit_fixed(
     nothing, so the admitted calls are the first ones of the window. Ordered by
     (event_time, request_id); missing tokens count as 0.
     """
-    balances = window_balances(log, qpm, tpm, window, key)
-    return apply_window_limit(log, balances, tpm, window, key)
+    group = [key, "window_start"]
+    ordinary, hot = _split(_calls(log, window), group)
+    whole = Window.partitionBy(*group)
+    tokens = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("bigint")
+    ranked = _carry_in(ordinary, group, carried).withColumns(
+        {
+            "_rank": F.row_number().over(whole.orderBy(*ORDER)),
+            "_before": F.col("_spent")
+            + F.coalesce(F.sum(tokens).over(_before(group, ORDER)), F.lit(0)),
+        }
+    )
+    fits = (F.col("_calls") + F.col("_rank") <= qpm) & (F.col("_before") < tpm)
+    judged = _with_verdict(ranked, fits).withColumn(
+        "_spent", F.col("_spent") + F.coalesce(
+            F.sum(F.when(F.col("admitted"), tokens)).over(whole), F.lit(0))
+    )
+    result = _with_ceiling(judged, tpm).drop("_calls", "_rank", "_before", "_spent")
+    if hot is None:
+        return result
+    balances = window_balances(hot.drop("window_start"), qpm, tpm, window, key, carried)
+    side = balances.select(*group, "last_admitted", F.col("spent").alias("_spent"))
+    # One row per hot window, of which there are few: Spark broadcasts them.
+    admitted = F.struct(*ORDER) <= F.col("last_admitted")
+    late = _with_ceiling(_with_verdict(hot.join(side, group, "left"), admitted), tpm)
+    return result.unionByName(late.drop("last_admitted", "_spent"))
+
+
+def _with_ceiling(judged: DataFrame, tpm: int) -> DataFrame:
+    ceiling = F.when(F.col("_spent") >= tpm, "tpm").otherwise("qpm")
+    return judged.withColumn("limit_hit", F.when(~F.col("admitted"), ceiling))
+
+
+# -- token bucket -------------------------------------------------------------
 
 
 def bucket_levels(
     log: DataFrame, rate: int, burst: int, interval: str, key: str = "provider",
     carried: DataFrame | None = None,
 ) -> DataFrame:
-    """Per service and interval: the last call a token bucket admits, and the level after.
+    """Per service and interval: calls a token bucket grants, and the level it is left at.
 
     Every interval adds ``rate`` tokens, up to ``burst``; a call takes one. Within
-    an interval the level only falls, so its admitted calls are its first ones, at
-    most ``burst`` of them. Only their number per interval is walked through in
-    order: one row per service and interval, however many calls there were.
-    ``carried`` holds ``(key, window_start, level)`` of the last interval seen.
+    an interval the level only falls, so its admitted calls are its first ones. Only
+    their number per interval is walked through in order: one row per service and
+    interval, however many calls there were. ``carried`` holds
+    ``(key, window_start, level)`` of the last interval seen.
     """
     group = [key, "window_start"]
-    calls = _calls(log, interval).select(*group, "_at")
-    leading = _leading(calls, group, burst)
-    demand = leading.groupBy(*group).agg(F.count("*").alias("wanted"))
+    demand = (
+        _calls(log, interval)
+        .groupBy(*group)
+        .agg(F.least(F.count("*"), F.lit(burst).cast("bigint")).alias("wanted"))
+    )
     seconds = F.unix_timestamp(F.col("window_start").cast("timestamp"))
     steps = demand.select(
         key, "window_start", seconds.alias("at"), "wanted",
@@ -137,52 +173,53 @@ def bucket_levels(
         level, last = burst, None
         if len(known):
             level, last = int(known["level"].iloc[0]), int(known["at"].iloc[0])
-        rows = []
-        for start, at, wanted in zip(frame["window_start"], frame["at"], frame["wanted"]):
+        granted, left = [], []
+        for at, wanted in zip(frame["at"].tolist(), frame["wanted"].tolist()):
             if last is None:
                 last = at
             # Late calls take from what is left now; they earn no refill.
             level = min(burst, level + rate * max(0, (at - last) // width))
             last = max(last, at)
-            granted = min(wanted, level)
-            level -= granted
-            rows.append((frame[key].iloc[0], start, granted, level, len(rows)))
-        return pd.DataFrame(rows, columns=[key, "window_start", "granted", "level", "step"])
+            taken = min(wanted, level)
+            level -= taken
+            granted.append(taken)
+            left.append(level)
+        return frame[[key, "window_start"]].assign(
+            granted=granted, level=left, step=range(len(frame))
+        )
 
     kinds = dict(demand.dtypes)
     schema = (f"`{key}` {kinds[key]}, window_start {kinds['window_start']}, "
               "granted bigint, level bigint, step bigint")
-    levels = steps.groupBy(key).applyInPandas(walk, schema)
-    return (
-        leading.join(levels, group)
-        .groupBy(*group)
-        .agg(
-            F.max(F.when(F.col("_rank") <= F.col("granted"), F.col("_at")))
-            .alias("last_admitted"),
-            F.max("level").alias("level"),
-            F.max("step").alias("step"),
-        )
-    )
+    return steps.groupBy(key).applyInPandas(walk, schema)
 
 
-def apply_bucket(
-    log: DataFrame, levels: DataFrame, interval: str, key: str
-) -> DataFrame:
-    admitted = F.coalesce(F.col("_at") <= F.col("last_admitted"), F.lit(False))
-    return (
-        spread_join(
-            _calls(log, interval), levels.drop("level", "step"), [key, "window_start"], "left"
-        )
-        .withColumns(_verdict(admitted))
-        .drop("_at", "last_admitted")
+def grant(log: DataFrame, levels: DataFrame, burst: int, interval: str, key: str) -> DataFrame:
+    """Every call with its verdict, given what its interval grants."""
+    group = [key, "window_start"]
+    granted = levels.select(*group, F.col("granted").alias("_granted"))
+    ordinary, hot = _split(_calls(log, interval), group)
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*ORDER))
+    ranked = ordinary.withColumn("_rank", rank).join(granted, group, "left")
+    result = _with_verdict(ranked, F.col("_rank") <= F.col("_granted")).drop("_rank", "_granted")
+    if hot is None:
+        return result
+    fits = F.col("_rank") <= F.col("_granted")
+    last = (
+        _leading(hot, group, burst)
+        .join(granted, group)
+        .groupBy(*group)
+        .agg(F.max(F.when(fits, F.col("_at"))).alias("_last"))
     )
+    late = _with_verdict(hot.join(last, group, "left"), F.struct(*ORDER) <= F.col("_last"))
+    return result.unionByName(late.drop("_last"))
 
 
 def token_bucket(
     log: DataFrame, rate: int, burst: int, interval: str = "1 minute", key: str = "provider"
 ) -> DataFrame:
     """Calls admitted by a limiter that allows a burst and then refills at ``rate``."""
-    return apply_bucket(log, bucket_levels(log, rate, burst, interval, key), interval, key)
+    return grant(log, bucket_levels(log, rate, burst, interval, key), burst, interval, key)
 
 
 def final_attempt(attempts: DataFrame, first_backoff: int = 2) -> DataFrame:

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.operators.ordered import spread_join
-
 NO_POLICY = "—"
 
 
@@ -22,10 +20,10 @@ def scenario_agent_join(
     scenarios: DataFrame, agents: DataFrame, providers: DataFrame
 ) -> DataFrame:
     """Scenario -> agent -> provider -> model service; an unknown key is an error."""
-    routed = spread_join(scenarios, agents, ["agent"], "left").withColumn(
+    routed = scenarios.join(agents, "agent", "left").withColumn(
         "provider", _required("provider", "agent")
     )
-    return spread_join(routed, providers, ["provider"], "left").withColumn(
+    return routed.join(providers, "provider", "left").withColumn(
         "model_service", _required("model_service", "provider")
     )
 
@@ -34,7 +32,7 @@ def label_default_join(
     df: DataFrame, labels: DataFrame, key: str, label: str, default: str
 ) -> DataFrame:
     """Attach a label; keys without one get the default."""
-    return spread_join(df, labels.select(key, label), [key], "left").withColumn(
+    return df.join(labels.select(key, label), key, "left").withColumn(
         label, F.coalesce(F.col(label), F.lit(default))
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.operators.ordered import (
-    BLOCK_ROWS, next_value, number_rows, running_sums, spread_join,
+    BLOCK_ROWS, next_value, number_rows, running_sums,
 )
 from tallyspan.storage import settle
 
@@ -242,7 +242,7 @@ def append_prompt_version(registry: DataFrame, new: DataFrame, order: str) -> Da
     """The rows to append: each new text becomes the next version of its name."""
     current = registry.groupBy("name").agg(F.max("version").alias("_version"))
     numbered = number_rows(new, ["name"], [F.col(order)], position="_no")
-    return spread_join(numbered, current, ["name"], "left").select(
+    return numbered.join(current, "name", "left").select(
         "name",
         (F.coalesce(F.col("_version"), F.lit(0)) + F.col("_no")).cast("int").alias("version"),
         "template",

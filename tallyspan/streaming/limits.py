@@ -56,7 +56,7 @@ def stream_rate_limit(
 
     def step(batch: DataFrame, carried: DataFrame | None):
         now = settle(limits.window_balances(batch, qpm, tpm, window, key, carried), "balances")
-        verdicts = limits.apply_window_limit(batch, now, tpm, window, key)
+        verdicts = limits.rate_limit_fixed(batch, qpm, tpm, window, key, carried)
         kept = now.select(*group, "calls", "spent")
         if carried is not None:
             untouched = carried.select(*group, "calls", "spent").join(kept, group, "left_anti")
@@ -76,7 +76,7 @@ def stream_token_bucket(
         levels = settle(
             limits.bucket_levels(batch, rate, burst, interval, key, carried), "levels"
         )
-        verdicts = limits.apply_bucket(batch, levels, interval, key)
+        verdicts = limits.grant(batch, levels, burst, interval, key)
         kept = levels.groupBy(key).agg(
             F.max("window_start").alias("window_start"), F.max_by("level", "step").alias("level")
         )

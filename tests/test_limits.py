@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from tallyspan.operators import ordered
 from tallyspan.operators.limits import final_attempt, rate_limit_fixed, token_bucket
 from tallyspan.streaming.limits import stream_rate_limit, stream_token_bucket
 from tallyspan.streaming.runs import arrivals
@@ -13,6 +14,13 @@ START = datetime.datetime(2024, 1, 1)
 CALLS = "provider string, event_time timestamp, request_id bigint, total_tokens bigint"
 
 
+@pytest.fixture(params=["ordinary", "hot"])
+def size(request, monkeypatch):
+    """Run once with every group ordinary and once with the frequent ones treated as hot."""
+    if request.param == "hot":
+        monkeypatch.setattr(ordered, "HOT_ROWS", 0)
+
+
 def calls(seed, n=400, span=1200):
     rng = random.Random(seed)
     times = sorted(rng.randrange(span) for _ in range(n))
@@ -52,7 +60,7 @@ def sequential_bucket(rows, rate, burst):
 
 
 @pytest.mark.parametrize("seed,qpm,tpm", [(1, 8, 200), (2, 5, 10**6), (3, 100, 150), (4, 1, 1)])
-def test_fixed_window(spark, seed, qpm, tpm):
+def test_fixed_window(spark, size, seed, qpm, tpm):
     rows = calls(seed)
     got = rate_limit_fixed(spark.createDataFrame(rows, CALLS), qpm, tpm).collect()
     assert {r.request_id: (r.admitted, r.limit_hit) for r in got} == sequential_window(
@@ -62,7 +70,7 @@ def test_fixed_window(spark, seed, qpm, tpm):
 
 
 @pytest.mark.parametrize("seed,rate,burst", [(1, 4, 10), (2, 1, 1), (3, 20, 30)])
-def test_token_bucket(spark, seed, rate, burst):
+def test_token_bucket(spark, size, seed, rate, burst):
     rows = calls(seed)
     got = token_bucket(spark.createDataFrame(rows, CALLS), rate, burst).collect()
     assert {r.request_id: r.admitted for r in got} == sequential_bucket(rows, rate, burst)
@@ -76,7 +84,7 @@ def write_in_order(spark, rows, folder, parts=5):
         )
 
 
-def test_streams_equal_the_sequential_limiters(spark, tmp_path):
+def test_streams_equal_the_sequential_limiters(spark, size, tmp_path):
     rows = calls(9, n=300)
     folder = str(tmp_path / "calls")
     write_in_order(spark, rows, folder)
@@ -119,8 +127,19 @@ def test_final_attempt(spark):
     assert got == {"a": (3, 200, 1.5, 6), "b": (1, 200, 0.5, 0)}
 
 
-def test_the_busy_service_is_cut_before_the_shuffle(spark):
+def test_hot_windows_are_cut_before_the_shuffle(spark, monkeypatch):
     df = spark.createDataFrame(calls(1), CALLS)
-    plan = rate_limit_fixed(df, 8, 100)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
-    assert "Python" not in plan and "Pandas" not in plan
+    ordinary = rate_limit_fixed(df, 8, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in ordinary and "Join" not in ordinary
+    monkeypatch.setattr(ordered, "HOT_ROWS", 0)
+    hot = rate_limit_fixed(df, 8, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in hot
+    assert "Python" not in hot and "Pandas" not in hot
+
+
+def test_hot_groups_misses_no_frequent_key(spark):
+    df = spark.range(30000).selectExpr("IF(id % 3 = 0, -1, id) AS k")
+    assert ordered.hot_groups(df, ["k"]) is None
+    hot = ordered.hot_groups(df, ["k"], rows=1000)
+    assert df.filter(hot).filter("k = -1").count() == 10000
+    assert df.filter(hot).select("k").distinct().count() <= 1 / ordered.HOT_SHARE

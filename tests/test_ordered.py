@@ -114,8 +114,9 @@ def test_first_n_on_both_sides_of_the_group_limit(spark, frame, rows, threshold)
 
 def test_spread_join_keeps_every_row_once(spark, frame, rows):
     side = spark.createDataFrame([("hot", "H"), ("b", "B"), ("x", "X")], "key string, label string")
-    left = spread_join(frame, side, ["key"], "left", slots=7)
+    left = spread_join(frame, side, ["key"], "left", slots=7, rows=0)
+    assert "_slot" in left._jdf.queryExecution().executedPlan().toString()
     assert left.count() == len(rows)
     assert left.filter("label = 'H'").count() == sum(r[0] == "hot" for r in rows)
-    inner = spread_join(frame, side, ["key"], "inner", slots=7)
+    inner = spread_join(frame, side, ["key"], "inner", slots=7, rows=0)
     assert inner.count() == sum(r[0] in ("hot", "b") for r in rows)
