@@ -24,10 +24,10 @@ PII_PATTERNS = {
 
 # How each kind is named in a reason.
 PII_NAMES = {
-    "ssn": "social security number",
-    "credit_card": "credit card number",
-    "email": "email address",
-    "phone": "phone number",
+    "ssn": "a social security number",
+    "credit_card": "a credit card number",
+    "email": "an email address",
+    "phone": "a phone number",
 }
 
 # A character every match of the kind holds.

@@ -26,7 +26,7 @@ def pii_verdict(text: Column, phase: str = "pre_call") -> Column:
 
     def verdict(finding: Column) -> Column:
         reason = F.concat(
-            F.lit("Content contains a "), names[finding["kind"]], F.lit(": "), finding["value"],
+            F.lit("Content contains "), names[finding["kind"]], F.lit(": "), finding["value"],
             F.lit("."),
         )
         return rules.deny("PII", phase, reason, finding.isNotNull())

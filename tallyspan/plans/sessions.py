@@ -230,9 +230,9 @@ def findings_sql(source: str, key: str, text: str) -> str:
 
 def verdict_sql(name: str, found: str, key: str) -> str:
     """CTE ``name(key, reason)`` with the reason of the first finding."""
-    return f"""{name} AS (SELECT {key}, 'Content contains a ' || CASE kind
-      WHEN 'ssn' THEN 'social security number' WHEN 'credit_card' THEN 'credit card number'
-      WHEN 'email' THEN 'email address' ELSE 'phone number' END || ': ' || value || '.' AS reason
+    return f"""{name} AS (SELECT {key}, 'Content contains ' || CASE kind
+      WHEN 'ssn' THEN 'a social security number' WHEN 'credit_card' THEN 'a credit card number'
+      WHEN 'email' THEN 'an email address' ELSE 'a phone number' END || ': ' || value || '.' AS reason
     FROM {found} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY rank, pos) = 1)"""
 
 

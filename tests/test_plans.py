@@ -39,6 +39,17 @@ def test_time_and_endpoint_filters_reach_the_scan(spark, tiny):
     assert "user_id" not in text[text.index("ReadSchema"):].splitlines()[0]
 
 
+def test_reports_by_name(spark, tiny):
+    tables = Tables(spark, tiny)
+    assert logs.log_report(tables.payload, "all", limit=7).count() == 7
+    assert logs.log_report(tables.payload, "failed").count() == 50
+    month = {"as_of": "2024-02-01 00:00:00", "hours": 744}
+    assert logs.log_report(tables.payload, "token_usage", **month).count() == 2
+    assert logs.log_report(tables.calls, "system_usage", names=["x"], **month).count() == 0
+    with pytest.raises(KeyError):
+        logs.log_report(tables.payload, "unknown")
+
+
 def test_newest_rows_need_no_full_sort(spark, tiny):
     assert "TakeOrderedAndProject" in plan(logs.all_requests(Tables(spark, tiny).payload))
 
