@@ -4,6 +4,7 @@ Groups are (service, window). Those of ordinary size are ranked with window
 functions, one shuffle for all of them. In a hot group only the calls that can
 still be admitted are ordered - a bounded number, cut map-side - and one row goes
 back to all its calls. ``carried`` rows let a stream go on where a batch ended.
+The service key must not be null.
 """
 
 from __future__ import annotations

@@ -172,7 +172,7 @@ def chargeback(usage: DataFrame) -> DataFrame:
     )
     grand_total = usage.agg(F.sum("total_tokens")).scalar()
     return per_endpoint.withColumn(
-        "share", F.round(F.col("total_tokens") / grand_total, 6)
+        "share", F.round(F.try_divide(F.col("total_tokens"), grand_total), 6)
     ).orderBy(F.col("total_tokens").desc_nulls_last(), "endpoint_name")
 
 
@@ -208,7 +208,7 @@ def usage_cube(log: DataFrame) -> DataFrame:
             F.grouping_id().cast("long").alias("level"),
             F.sum("n").alias("request_count"),
             F.sum("tokens").alias("total_tokens"),
-            F.round(F.sum("latency") / F.sum("timed"), 2).alias("avg_latency_ms"),
+            F.round(F.try_divide(F.sum("latency"), F.sum("timed")), 2).alias("avg_latency_ms"),
         )
     )
 

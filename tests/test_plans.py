@@ -50,6 +50,15 @@ def test_reports_by_name(spark, tiny):
         logs.log_report(tables.payload, "unknown")
 
 
+def test_reports_over_rows_without_numbers(spark):
+    empty = spark.createDataFrame(
+        [("a", "p", None, None, None)],
+        "agent string, provider string, event_time timestamp, latency_ms double, response string")
+    assert {r.avg_latency_ms for r in logs.usage_cube(empty).collect()} == {None}
+    free = spark.createDataFrame([("e", 0), ("f", 0)], "endpoint_name string, total_tokens bigint")
+    assert [r.share for r in logs.chargeback(free).collect()] == [None, None]
+
+
 def test_newest_rows_need_no_full_sort(spark, tiny):
     assert "TakeOrderedAndProject" in plan(logs.all_requests(Tables(spark, tiny).payload))
 
