@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions import rules
 from tallyspan.operators.ordered import next_value, running_sums
-from tallyspan.operators.sessions import PART_TURNS, PLACEHOLDER, spoken
+from tallyspan.operators.sessions import PART_TURNS, PLACEHOLDER, session_rollup, spoken
 
 # The bands and labels of the built-in judges.
 RETENTION = ("excellent", "good", "fair", "poor")
@@ -120,6 +120,15 @@ def judge_sessions(
     )
 
 
+def evaluate_sessions(conv: DataFrame, judges: Sequence[SessionJudge]) -> DataFrame:
+    """Every session with its number of traces and each judge's value and reason."""
+    assessed = judge_sessions(conv, judges).withColumns(
+        {"seq": F.lit(1), "justification": F.lit(None).cast("string")}
+    )
+    traces = session_rollup(conv).select("session_id", F.col("traces").alias("num_traces"))
+    return traces.join(assessments_wide(assessed, [j.name for j in judges]), "session_id")
+
+
 # -- built-in session scores ------------------------------------------------
 
 

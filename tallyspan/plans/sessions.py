@@ -661,6 +661,17 @@ def _(t):
     return judges.judge_sessions(t.conversation, [ANSWERED])
 
 
+@query("evaluate_sessions", over="t", sql="""
+SELECT session_id, count(*) FILTER (WHERE role = 'user') AS num_traces,
+  CASE WHEN count(*) FILTER (WHERE role = 'assistant') >= count(*) FILTER (WHERE role = 'user')
+    THEN 'true' ELSE 'false' END AS "answered/value",
+  count(*) FILTER (WHERE role = 'assistant') || ' replies, '
+    || count(*) FILTER (WHERE role = 'user') || ' asked' AS "answered/reason"
+FROM c GROUP BY 1""")
+def _(t):
+    return judges.evaluate_sessions(t.conversation, [ANSWERED])
+
+
 @query("row_scorer", over="t", sql=_EVAL + """
 SELECT question_id, CAST(contains(lower(answer), facts[1]) AS DOUBLE) AS score FROM ev""")
 def _(t):
