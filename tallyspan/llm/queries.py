@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import packing, simhash
+from tallyspan.llm import packing, simhash, substrings
 from tallyspan.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, folder, "documents")).drop("kept")
