@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import packing, simhash, substrings
+from tallyspan.llm import decontaminate, packing, simhash, substrings
 from tallyspan.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,10 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_substring_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+@query("op7_benchmark_decontamination")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
