@@ -75,7 +75,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     found = [(a, 0, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+            parts = [part.lstrip("0") for part in m[0].split(".")]
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
                 found.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import decontaminate, packing, pii, simhash, substrings
+from tallyspan.llm import decontaminate, packing, pii, simhash, substrings, toxicity
 from tallyspan.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_personal_data")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.predictions(table(spark, folder, "documents"), table(spark, folder, "labels"))
