@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import decontaminate, packing, pii, simhash, substrings, toxicity
+from tallyspan.llm import decontaminate, langid, packing, pii, simhash, substrings, toxicity
 from tallyspan.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_toxicity")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predictions(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.predictions(table(spark, folder, "documents"))
