@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyspan.llm import decontaminate, langid, packing, pii, simhash, substrings, toxicity
+from tallyspan.llm import ann, decontaminate, langid, packing, pii, simhash, substrings, toxicity
 from tallyspan.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +65,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_language_id")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predictions(table(spark, folder, "documents"))
+
+
+@query("op5_nearest_neighbours")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
