@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import ann, decontaminate, langid, packing, pii, simhash, substrings, toxicity
+from tallyspan.llm import ann, decontaminate, langid, licenses, packing, pii, simhash, substrings, toxicity
 from tallyspan.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,23 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_nearest_neighbours")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return ann.neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def document_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files: thousands, then sources are directories, and some files are licences.
+
+    The tables hold no paths, so these are made from doc_id and source. Every document is a file.
+    """
+    docs = table(spark, folder, "documents")
+    top = F.floor(F.col("doc_id") / 1000)
+    path = (
+        F.when(F.col("doc_id") % 1000 < 20, F.concat_ws("/", top, F.lit("LICENSE")))
+        .when(F.col("doc_id") % 25 == 0, F.concat_ws("/", top, "source", F.lit("LICENSE.txt")))
+        .otherwise(F.concat_ws("/", top, "source", F.concat("doc_id", F.lit(".txt"))))
+    )
+    return docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(document_files(spark, folder))
