@@ -294,7 +294,8 @@ def redact(docs: DataFrame, **settings) -> DataFrame:
         right,
         F.expr("l.doc_id <=> r.doc_id and xxhash64(l.text) = r.text_key"), "left",
     ).select("l.*", F.col("r.spans").alias("_spans"))
-    position = docs.columns.index("text")
+    names = docs.columns
+    position = names.index("text")
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,7 +312,7 @@ def redact(docs: DataFrame, **settings) -> DataFrame:
                 texts.append(text)
             columns = list(batch.columns[:-1])
             columns[position] = pa.array(texts, type=columns[position].type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     cleaned = joined.mapInArrow(replace, docs.schema)
     if "n_chars" in docs.columns:

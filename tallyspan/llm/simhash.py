@@ -21,11 +21,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.llm.components import components
-from tallyspan.llm.tables import partitions
+from tallyspan.llm.tables import partitions, without_ids
 from tallyspan.storage import settle
 
 SHINGLE = 4
@@ -268,3 +268,25 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def first_of_each(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE
+) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, all columns kept.
+
+    The row with the smallest doc_id stays. Rows without a doc_id stay, and of rows that repeat
+    a doc_id in one group the same one stays whichever comes first: the one of the smallest text hash.
+    """
+    found = settle(near_duplicates(docs, shingle, radius, tile), "components")
+    gone = found.filter("doc_id != component_id").select("doc_id")
+    left = without_ids(docs, gone)
+    repeated = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
+    repeated = settle(repeated.select("doc_id"), "repeated-ids")
+    if repeated.isEmpty():
+        return left
+    # Rows that repeat a doc_id are told apart by their text; few documents go this way.
+    again = left.join(repeated, "doc_id", "left_semi")
+    spec = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    one = again.withColumn("_place", F.row_number().over(spec)).filter("_place = 1").drop("_place")
+    return without_ids(left, repeated).select(*docs.columns).union(one.select(*docs.columns))

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Ids sent to the tasks at most (about 50 MB); more of them are joined.
+SENT_IDS = 1_000_000
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -17,3 +21,14 @@ def partitions(spark: SparkSession) -> int:
 def remainder(column: str, divisor: int) -> Column:
     """``crc32(value as text) mod divisor``; null for null."""
     return F.crc32(F.col(column).cast("string")) % divisor
+
+
+def small_side(rows: DataFrame, most: int = SENT_IDS) -> DataFrame:
+    """``rows`` of a few numbers each, to be sent to the tasks if they are few enough."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``gone``; rows without a doc_id stay."""
+    ids = gone.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(small_side(ids), F.col("doc_id") == F.col("_gone"), "left_anti")

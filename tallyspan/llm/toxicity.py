@@ -9,8 +9,8 @@ get nearly the same probability from both models, and words seen by neither the
 
 A text is described by its length-normalised log-likelihood ratio, by the ratios of its words
 above a few levels (a long text dilutes a mean, not these), and by its length. A logistic
-regression on learned texts that the counts did not use turns this into a score. Labels, lang, source
-and doc_id are never inputs of it.
+regression turns this into a score; it is fitted on learned texts described by models that had not
+counted them. Labels, lang, source and doc_id are never inputs of a score.
 
 Null and empty texts get the score of a text without words. A doc_id with several labels is toxic if
 one says so; labels without a value or document are ignored. If the calibration texts lack one of
@@ -26,25 +26,19 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import remainder
+from tallyspan.llm.tables import remainder, small_side, without_ids
 from tallyspan.llm.wordscores import SENT_BYTES, sum_scores, word_counts
 from tallyspan.storage import settle
 
 DISCOUNT = 0.75
 LEVELS = (2.0, 3.0, 4.0)
 THRESHOLD = 0.3
-# Learned ids sent to the tasks at most; more are joined.
-SENT_IDS = 4_000_000
+FOLDS = 3
+HELD_OUT = 2  # of the remainders by 4
 # Used if there is nothing to calibrate on: no evidence scores low, one clear word high.
 FALLBACK = ([0.5, 0.5, 1.0, 1.0, 0.0], -3.0)
 
 
-def _with_fold(docs: DataFrame, learned: DataFrame, how: str) -> DataFrame:
-    """Join (doc_id, toxic, fold); the learned side is sent out if it has few enough rows."""
-    side = F.broadcast(learned) if learned.count() <= SENT_IDS else learned
-    return docs.join(side, "doc_id", how)
-
-
 def learned_rows(docs: DataFrame, labels: DataFrame, folds: Column) -> DataFrame:
     """``(doc_id, toxic, fold)``: one document of each distinct labelled text."""
     known = (
@@ -55,11 +49,9 @@ def learned_rows(docs: DataFrame, labels: DataFrame, folds: Column) -> DataFrame
         .filter("fold is not null")
     )
     known = settle(known, "labels")
-    texts = _with_fold(
-        docs.select(
-            "doc_id", F.xxhash64("text").alias("t"), F.hash("text").alias("u")
-        ), known, "inner",
-    )
+    texts = docs.select(
+        "doc_id", F.xxhash64("text").alias("t"), F.hash("text").alias("u")
+    ).join(small_side(known), "doc_id")
     return settle(
         texts.groupBy("t", "u").agg(
             F.min_by(F.struct("doc_id", "toxic", "fold"), "doc_id").alias("r")
@@ -102,31 +94,42 @@ def _features() -> Column:
     return F.array(mean, *above, F.log1p(F.col("words").cast("double")))
 
 
-def score(docs: DataFrame, labels: DataFrame, learn: Column, calibrate: Column,
+def _word_table(counts: DataFrame, left_out: int | None) -> tuple[DataFrame, list[float]]:
+    """Scores of words from the counts of all folds but one, and those of any other word."""
+    used = counts if left_out is None else counts.filter(F.col("fold") != left_out)
+    table, other = ratios(used.groupBy("group", "hash").agg(F.sum("n").alias("n")))
+    values = [F.col("ratio"), *[F.greatest(F.col("ratio") - t, F.lit(0.0)) for t in LEVELS]]
+    return (
+        settle(table.select("hash", F.array(*values).alias("values")), "word-ratios"),
+        [other, *[max(other - t, 0.0) for t in LEVELS]],
+    )
+
+
+def score(docs: DataFrame, labels: DataFrame, folds: Column,
           sent_bytes: int = SENT_BYTES) -> DataFrame:
     """``(doc_id, score)`` for every row of ``docs`` (doc_id, text).
 
-    ``learn`` and ``calibrate`` are tests on doc_id: whose labels make the counts, and
-    whose make the regression. Other labels are not looked at.
+    ``folds`` gives the fold, from 0 to ``FOLDS`` - 1, of a doc_id whose label may be learned from,
+    and null for all others, whose labels are not looked at. The models count all folds. For the
+    regression each learned text is described by models that left its own fold out.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    learned = learned_rows(docs, labels, F.when(learn, 0).when(calibrate, 1))
-    rows = _with_fold(docs, learned.filter("fold = 0"), "inner")
-    counts = settle(word_counts(rows, F.col("toxic"), once=True).drop("word"), "word-counts")
-    table, other = ratios(counts)
-    values = [F.col("ratio"), *[F.greatest(F.col("ratio") - t, F.lit(0.0)) for t in LEVELS]]
-    table = settle(table.select("hash", F.array(*values).alias("values")), "word-ratios")
-    others = [other, *[max(other - t, 0.0) for t in LEVELS]]
-
-    summed = settle(
-        sum_scores(docs, table, others, ["doc_id"], sent_bytes).select(
-            "doc_id", _features().alias("features")
-        ),
-        "text-features",
-    )
-    training = summed.join(learned.filter("fold = 1"), "doc_id").select(
-        array_to_vector("features").alias("features"), F.col("toxic").cast("double").alias("label")
+    learned = learned_rows(docs, labels, folds)
+    rows = settle(docs.join(small_side(learned), "doc_id"), "learned-texts")
+    counts = word_counts(rows, F.col("fold") * 2 + F.col("toxic"), once=True).select(
+        F.floor(F.col("group") / 2).alias("fold"), (F.col("group") % 2).alias("group"), "hash", "n"
     )
+    counts = settle(counts, "word-counts")
+
+    training = None
+    for fold in range(FOLDS):
+        table, others = _word_table(counts, fold)
+        part = sum_scores(
+            rows.filter(F.col("fold") == fold), table, others, ["toxic"], sent_bytes
+        ).select(
+            array_to_vector(_features()).alias("features"), F.col("toxic").cast("double").alias("label")
+        )
+        training = part if training is None else training.union(part)
     training = settle(training, "calibration")
     seen = training.agg(F.min("label").alias("a"), F.max("label").alias("b")).first()
     if seen["a"] == 0.0 and seen["b"] == 1.0:
@@ -134,22 +137,26 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, calibrate: Column,
         weights, intercept = [float(w) for w in model.coefficients], float(model.intercept)
     else:
         weights, intercept = FALLBACK
-    line = sum((F.col("features")[k] * w for k, w in enumerate(weights)), F.lit(intercept))
-    return summed.select("doc_id", (1 / (1 + F.exp(-line))).alias("score"))
+    table, others = _word_table(counts, None)
+    features = _features()
+    line = sum((features[k] * w for k, w in enumerate(weights)), F.lit(intercept))
+    return sum_scores(docs, table, others, ["doc_id"], sent_bytes).select(
+        "doc_id", (1 / (1 + F.exp(-line))).alias("score")
+    )
 
 
 def predictions(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Scores of all documents, learned without the labels of the held-out quarter."""
-    fold = remainder("doc_id", 4)
-    scored = score(docs, labels, fold.isin(0, 1), fold == 3)
+    part = remainder("doc_id", 4)
+    folds = F.when(part == 3, 2).when(part != HELD_OUT, part).cast("int")
+    scored = score(docs, labels, folds)
     return scored.select(
-        "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
+        "doc_id", F.coalesce(remainder("doc_id", 4) == HELD_OUT, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
 def ordinary(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those whose score reaches ``threshold``, all columns kept."""
-    scored = predictions(docs, labels, threshold).filter("predicted = 1").select("doc_id")
-    flagged = scored.distinct()
-    return docs.join(flagged, "doc_id", "left_anti").select(*docs.columns)
+    flagged = predictions(docs, labels, threshold).filter("predicted = 1").select("doc_id")
+    return without_ids(docs, settle(flagged, "flagged"))
