@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import ann, decontaminate, langid, licenses, packing, pii, simhash, substrings, toxicity
-from tallyspan.llm.tables import table
+from tallyspan.llm import ann, chat, decontaminate, langid, licenses, packing, pii, simhash, substrings, toxicity
+from tallyspan.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +90,24 @@ def document_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_license_scan")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(document_files(spark, folder))
+
+
+def transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as transcripts: one of three marker styles each, and no marker now and then."""
+    turns = table(spark, folder, "conversations")
+    style = F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 3, F.lit(0))
+    bare = F.crc32(F.concat_ws(":", F.col("conv_id").cast("string"), F.lit("t"), "turn")) % 5 == 0
+    name = F.lower("role")
+    marker = (
+        F.when(bare | F.col("role").isNull(), F.lit(""))
+        .when(style == 0, F.concat(F.initcap(name), F.lit(": ")))
+        .when(style == 1, F.concat(F.lit("### "), name, F.lit(": ")))
+        .otherwise(F.concat(F.lit("["), name, F.lit("] ")))
+    )
+    return turns.select("conv_id", "turn", "role", F.concat(marker, "text").alias("text"))
+
+
+@query("op4_chat_formatting")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    learned = F.coalesce(remainder("conv_id", 3) != 1, F.lit(False))
+    return chat.transcripts_to_turns(transcripts(spark, folder), learned)

@@ -1,12 +1,14 @@
 """Repeated passages: words covered by a window that also starts in an earlier document.
 
+Texts that stand whole under a smaller ``doc_id`` are set aside first: all their windows do, too.
+
 1. *Sketch.* Every task hashes its windows into the cells of a count-min sketch with two rows
    and hands on its counted cells, packed and cut into blocks of the sketch. Blocks are merged
    where they meet, so partial sketches never reach the driver. Of the merged sketch only two
    bits a cell go on: "twice or more" and "very often". It has ``cells`` cells a row, four per
    expected window up to ``MAX_CELLS``, which bounds what is broadcast; beyond that more windows
    pass, none is lost.
-2. *Exact pass.* Only windows estimated to occur twice or more are grouped, by 128 bits of hash.
+2. *Exact pass.* Only windows estimated to occur twice or more are grouped, by 96 bits of hash.
    They travel packed by ranges of the hash, and a range is sorted in one task. Windows
    estimated to occur very often are left out of that and grouped by a plain aggregate whose
    result is joined back, which Spark combines in the map tasks and splits where a key is hot.
@@ -14,7 +16,7 @@
    the words they cover.
 
 Null texts have no words. Rows that repeat a ``doc_id`` with the same text all come back with the
-same result; a null ``doc_id`` is neither smaller nor larger than any, so its windows count
+same result, and a doc_id is taken to have one text; a null ``doc_id`` is neither smaller nor larger than any, so its windows count
 nowhere. Extra columns of the input don't matter.
 """
 
@@ -36,7 +38,8 @@ from tallyspan.llm.bytewords import (
     span_hashes,
     window_hashes,
 )
-from tallyspan.llm.tables import partitions
+from tallyspan.llm.tables import SENT_IDS, partitions, small_side
+from tallyspan.storage import settle
 
 WINDOW = 13
 BYTES_PER_WINDOW = 6
@@ -45,7 +48,7 @@ MIN_CELLS = BLOCK
 MAX_CELLS = 1 << 28
 HOT = 20_000
 # Windows a task gathers before it hands on what it has packed.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 
 
 def _windows(column: pa.Array, size: int, exact: bool = False):
@@ -194,26 +197,45 @@ def sketch_cells(text_bytes: int, most: int = MAX_CELLS) -> int:
 
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers below 2**32 in as few bytes each as the largest one needs, with that width ahead."""
+    most = int(values.max(initial=0))
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
 def _entries(doc: np.ndarray, place, h, g) -> bytes:
-    """Windows sorted by hash, column by column, with the distinct documents ahead."""
-    order = np.argsort(h, kind="stable")
-    docs, index = np.unique(doc[order], return_inverse=True)
-    head = np.array([len(order), len(docs)], dtype="<u4")
+    """Windows in document order, column by column: 12 bytes of hash, and small differences."""
+    docs, counts = np.unique(doc, return_counts=True)
+    order = np.lexsort((place, doc))
+    steps = np.diff(place[order], prepend=0)
+    firsts = np.cumsum(counts) - counts
+    steps[firsts] = place[order][firsts]
+    far = np.flatnonzero(steps > 255)
+    head = np.array([len(order), len(docs), len(far)], dtype="<u4")
     return b"".join([
         head.tobytes(), docs.astype("<i8").tobytes(), h[order].astype("<u8").tobytes(),
-        g[order].astype("<u8").tobytes(), index.astype("<u4").tobytes(),
-        place[order].astype("<u4").tobytes(),
+        (g[order] >> np.uint64(32)).astype("<u4").tobytes(), far.astype("<u4").tobytes(),
+        steps[far].astype("<u4").tobytes(), np.minimum(steps, 255).astype("u1").tobytes(),
+        _narrow(counts),
     ])
 
 
 def _read(blob: bytes):
-    n, docs = np.frombuffer(blob, dtype="<u4", count=2).tolist()
-    at = 8
+    n, docs, far = np.frombuffer(blob, dtype="<u4", count=3).tolist()
+    at = 12
     out = []
-    for kind, count in (("<i8", docs), ("<u8", n), ("<u8", n), ("<u4", n), ("<u4", n)):
+    for kind, count in (("<i8", docs), ("<u8", n), ("<u4", n), ("<u4", far), ("<u4", far), ("u1", n)):
         out.append(np.frombuffer(blob, dtype=kind, count=count, offset=at))
         at += count * np.dtype(kind).itemsize
-    return out[0][out[3]], out[4], out[1], out[2]
+    names, h, g, where, steps, small = out
+    counts = np.frombuffer(blob, dtype=f"<u{blob[at]}", count=docs, offset=at + 1).astype(np.int64)
+    each = small.astype(np.int64)
+    each[where] = steps
+    total = np.cumsum(each)
+    firsts = np.cumsum(counts) - counts
+    place = total - np.repeat(total[firsts] - each[firsts], counts)
+    return np.repeat(names, counts), place, h, g
 
 
 def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) -> DataFrame:
@@ -252,7 +274,7 @@ def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) ->
         for part in scan(batches, hot=False):
             parts.append(part)
             held += len(part[0])
-            if held >= FLUSH // 4:
+            if held >= FLUSH // 2:
                 yield flush(parts)
                 parts, held = [], 0
         if held:
@@ -286,7 +308,7 @@ def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) ->
         for doc, place, h, g in scan(batches, hot=True):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc), pa.array(place.astype(np.int32)), pa.array(h.view(np.int64)),
-                 pa.array(g.view(np.int64))],
+                 pa.array((g >> np.uint64(32)).astype(np.int64))],
                 names=["doc_id", "place", "h", "g"],
             )
 
@@ -297,37 +319,48 @@ def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) ->
     )
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_CELLS,
-                   hot: int = HOT) -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept, kept_sha256)`` for every row of ``docs``.
+def copies(docs: DataFrame) -> DataFrame:
+    """``(doc_id, key)`` of rows whose whole text also stands under a smaller doc_id."""
+    keys = settle(
+        docs.filter("doc_id is not null and text is not null").select(
+            "doc_id", F.xxhash64("text").alias("key"), F.hash("text").alias("other"),
+            F.octet_length("text").alias("size"),
+        ),
+        "text-keys",
+    )
+    texts = keys.groupBy("key", "other", "size").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
+    ).filter("first < last")
+    return keys.join(texts, ["key", "other", "size"]).filter("doc_id > first").select(
+        "doc_id", "key"
+    ).distinct()
 
-    ``kept`` are the words that stay, joined by single spaces.
-    """
-    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    # Ranges of the hash that hold about half a million candidates each.
-    ranges = 1 << max(0, (size // BYTES_PER_WINDOW >> 20)).bit_length()
-    found = sketch(docs, sketch_cells(size, max_cells), hot, window)
-    places = covered_places(docs, window, ranges, found)
-    per_doc = places.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+
+_KEPT = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
+
+
+def _drop_words(window: int):
+    """Arrow function: rows (doc_id, text, copied, places) to what is left of them."""
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, removed, kept, digests = [], [], [], []
-            for text, places in zip(batch.column(1).cast(pa.large_binary()), batch.column(2)):
+            texts = batch.column(1).cast(pa.large_binary())
+            for text, copied, places in zip(texts, batch.column(2), batch.column(3)):
                 words = (text.as_py() or b"").split()
-                counts.append(len(words))
-                if places.is_valid:
+                n = len(words)
+                counts.append(n)
+                if copied.as_py() and n >= window:  # its windows all start in the earlier copy
+                    words = []
+                elif places.is_valid:
                     at = places.values.to_numpy()
-                    steps = np.zeros(len(words) + 1, dtype=np.int64)
+                    steps = np.zeros(n + 1, dtype=np.int64)
                     # A place beyond the text belongs to another text of the same doc_id.
-                    at = at[at + window <= len(words)]
+                    at = at[at + window <= n]
                     np.add.at(steps, at, 1)
                     np.add.at(steps, at + window, -1)
-                    gone = np.cumsum(steps[:-1]) > 0
-                    removed.append(int(gone.sum()))
-                    words = [words[k] for k in np.flatnonzero(~gone)]
-                else:
-                    removed.append(0)
+                    words = [words[k] for k in np.flatnonzero(np.cumsum(steps[:-1]) <= 0)]
+                removed.append(n - len(words))
                 line = b" ".join(words)
                 kept.append(line)
                 digests.append(hashlib.sha256(line).hexdigest())
@@ -339,11 +372,49 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_C
                 names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"],
             )
 
-    return (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(per_doc, "doc_id", "left")
-        .select("doc_id", "text", "places")
-        .mapInArrow(
-            drop, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
-        )
+    return drop
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_CELLS,
+                   hot: int = HOT, sent_ids: int = SENT_IDS) -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept, kept_sha256)`` for every row of ``docs``.
+
+    ``kept`` are the words that stay, joined by single spaces.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    copied = settle(copies(docs), "copies").select(
+        F.col("doc_id").alias("_doc"), F.col("key").alias("_key")
+    )
+    marked = docs.join(
+        small_side(copied, sent_ids),
+        (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left",
+    ).select("doc_id", "text", F.col("_doc").isNotNull().alias("copied"))
+    fresh = marked.filter("not copied").select("doc_id", "text")
+
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    # Ranges of the hash that hold about half a million candidates each.
+    ranges = 1 << max(0, (size // BYTES_PER_WINDOW >> 20)).bit_length()
+    found = sketch(fresh, sketch_cells(size, max_cells), hot, window)
+    per_doc = settle(
+        covered_places(fresh, window, ranges, found)
+        .groupBy("doc_id").agg(F.collect_list("place").alias("places")),
+        "covered-places",
+    )
+
+    none = F.lit(None).cast("array<int>").alias("places")
+    touched = per_doc.select(F.col("doc_id").alias("_id"))
+    drop = _drop_words(window)
+    if touched.count() > sent_ids:
+        whole = marked.join(per_doc, "doc_id", "left").select("doc_id", "text", "copied", "places")
+        return whole.mapInArrow(drop, _KEPT)
+    # Only texts that lose words meet their places; the others are not moved.
+    side = F.broadcast(touched)
+    same = F.col("doc_id") == F.col("_id")
+    losing = (
+        marked.filter("not copied").join(side, same, "left_semi").join(per_doc, "doc_id")
+        .select("doc_id", "text", "copied", "places")
     )
+    others = marked.filter("copied").union(
+        marked.filter("not copied").join(side, same, "left_anti")
+    ).select("doc_id", "text", "copied", none)
+    return losing.mapInArrow(drop, _KEPT).union(others.mapInArrow(drop, _KEPT))
