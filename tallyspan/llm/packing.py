@@ -22,7 +22,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -209,14 +208,10 @@ def match_large(counts: dict[int, int], capacity: int) -> list[tuple[list[int],
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
     """All bins, as ({length: pieces of it in one bin}, how many such bins)."""
     by_gap: dict[int, list[tuple[dict[int, int], int]]] = {}
-    gaps: list[int] = []
 
     def put(content: dict[int, int], number: int, gap: int) -> None:
         if number:
-            if not by_gap.get(gap):
-                by_gap[gap] = []
-                heappush(gaps, gap)
-            by_gap[gap].append((content, number))
+            by_gap.setdefault(gap, []).append((content, number))
 
     for lengths, number in match_large(counts, capacity):
         content: dict[int, int] = {}
@@ -224,7 +219,6 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[di
             content[n] = content.get(n, 0) + 1
         put(content, number, capacity - sum(lengths))
 
-    done: list[tuple[dict[int, int], int]] = []
     for n in sorted((n for n in counts if 3 * n <= capacity), reverse=True):
         rest = counts[n]
         touched = []
@@ -254,9 +248,7 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[di
                 touched.append(({n: rest % each}, 1, capacity - rest % each * n))
         for content, number, gap in touched:
             put(content, number, gap)
-    while gaps:
-        done += by_gap[heappop(gaps)]
-    return done
+    return [entry for gap in sorted(by_gap) for entry in by_gap[gap]]
 
 
 class Plan:
