@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspan.llm.tables import fresh_name
 from tallyspan.storage import settle
 
 KINDS = ("email", "ip", "card", "phone")
@@ -293,7 +294,7 @@ def redact(docs: DataFrame, **settings) -> DataFrame:
     joined = left.join(
         right,
         F.expr("l.doc_id <=> r.doc_id and xxhash64(l.text) = r.text_key"), "left",
-    ).select("l.*", F.col("r.spans").alias("_spans"))
+    ).select("l.*", F.col("r.spans").alias(fresh_name(docs, "_spans")))
     names = docs.columns
     position = names.index("text")
 

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import ann, chat, decontaminate, langid, licenses, packing, pii, simhash, substrings, toxicity
+from tallyspan.llm import (
+    ann,
+    chat,
+    decontaminate,
+    langid,
+    licenses,
+    oracles,
+    packing,
+    pii,
+    simhash,
+    substrings,
+    toxicity,
+)
 from tallyspan.llm.tables import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,16 +52,16 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
-@query("op10_substring_dedup")
+@query("op10_substring_dedup", oracles.SUBSTRINGS)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
-@query("op7_benchmark_decontamination")
+@query("op7_benchmark_decontamination", oracles.DECONTAMINATION)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
-    )
+    ).drop("longest", "longest_item", "item_word", "doc_word")
 
 
 @query("op9_personal_data")
@@ -87,7 +99,7 @@ def document_files(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
 
 
-@query("op6_license_scan")
+@query("op6_license_scan", oracles.LICENSES)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(document_files(spark, folder))
 

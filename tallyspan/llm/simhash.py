@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.llm.components import components
-from tallyspan.llm.tables import partitions, without_ids
+from tallyspan.llm.tables import fresh_name, partitions, without_ids
 from tallyspan.storage import settle
 
 SHINGLE = 4
@@ -286,7 +286,8 @@ def first_of_each(
     if repeated.isEmpty():
         return left
     # Rows that repeat a doc_id are told apart by their text; few documents go this way.
-    again = left.join(repeated, "doc_id", "left_semi")
+    again = left.join(repeated, left["doc_id"] == repeated["doc_id"], "left_semi")
     spec = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    one = again.withColumn("_place", F.row_number().over(spec)).filter("_place = 1").drop("_place")
-    return without_ids(left, repeated).select(*docs.columns).union(one.select(*docs.columns))
+    place = fresh_name(docs, "_place")
+    one = again.withColumn(place, F.row_number().over(spec)).filter(F.col(place) == 1).drop(place)
+    return without_ids(left, repeated).union(one)

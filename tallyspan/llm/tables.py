@@ -30,5 +30,13 @@ def small_side(rows: DataFrame, most: int = SENT_IDS) -> DataFrame:
 
 def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose doc_id is in ``gone``; rows without a doc_id stay."""
-    ids = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(small_side(ids), F.col("doc_id") == F.col("_gone"), "left_anti")
+    ids = small_side(gone.select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(ids, docs["doc_id"] == ids["_gone"], "left_anti")
+
+
+def fresh_name(docs: DataFrame, wanted: str) -> str:
+    """``wanted``, with marks behind it as long as ``docs`` has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
