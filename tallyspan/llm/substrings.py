@@ -45,7 +45,7 @@ WINDOW = 13
 BYTES_PER_WINDOW = 6
 BLOCK = 1 << 20
 MIN_CELLS = BLOCK
-MAX_CELLS = 1 << 28
+MAX_CELLS = 1 << 29
 HOT = 20_000
 # Windows a task gathers before it hands on what it has packed.
 FLUSH = 1 << 20
