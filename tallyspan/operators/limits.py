@@ -1,90 +1,112 @@
 """Rate limits and retries over logged calls.
 
-Groups are (service, window). Those of ordinary size are ranked with window
-functions, one shuffle for all of them. In a hot group only the calls that can
-still be admitted are ordered - a bounded number, cut map-side - and one row goes
-back to all its calls. ``carried`` rows let a stream go on where a batch ended.
-The service key must not be null.
+A limiter only needs the first calls of each window, so that is all it orders: calls delivered
+more than once are combined first, every map task then cuts each window to as many calls
+as its limit admits, and one row per window goes back to all its calls. There is one way for
+windows of every size; Spark splits the last join where a window is large.
+
+``carried`` rows let a stream go on where a batch ended. Calls delivered repeatedly
+(same service, time and request) share one verdict and consume once. Services without limits
+are not limited. Calls of limited services that carry no time belong to no window: they are rejected, with
+``no_time`` as the reason.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.operators.ordered import first_n, hot_groups
+from tallyspan.operators.ordered import first_n
 
 ORDER = ["event_time", "request_id"]
+# Intervals of one service that are folded in one expression.
+BLOCK = 256
 
 
 def _calls(log: DataFrame, window: str) -> DataFrame:
+    """Calls with their window's start; null where the call has no time."""
     kind = dict(log.dtypes)["event_time"]
-    start = F.window("event_time", window)["start"].cast(kind)
-    return log.withColumn("window_start", start)
+    # F.window leaves rows without a time out, so they get one for the while.
+    known = F.coalesce("event_time", F.lit("1970-01-01").cast(kind))
+    calls = log.withColumn("window_start", F.window(known, window)["start"].cast(kind))
+    return calls.withColumn(
+        "window_start", F.when(F.col("event_time").isNotNull(), F.col("window_start"))
+    )
 
 
-def _leading(calls: DataFrame, group: list[str], n: int) -> DataFrame:
-    """The first n calls of every group, with their rank and their place in time."""
-    at = F.struct(*ORDER).alias("_at")
-    others = [c for c in calls.columns if c not in (*group, *ORDER)]
-    narrow = calls.select(*group, *ORDER, *[c for c in others if c.startswith("_")])
-    return first_n(narrow, group, [F.col(c) for c in ORDER], n).select("*", at)
+def _distinct(calls: DataFrame, group: list[str]) -> DataFrame:
+    """One row per call of a window, however often it was delivered."""
+    tokens = F.max(F.coalesce(F.col("total_tokens"), F.lit(0)).cast("bigint"))
+    return (
+        calls.filter("window_start is not null")
+        .groupBy(*group, *ORDER).agg(tokens.alias("_tokens"))
+    )
 
 
-def _before(group: list[str], order: list[str]):
-    spec = Window.partitionBy(*group).orderBy(*order)
-    return spec.rowsBetween(Window.unboundedPreceding, -1)
+def _same(left: str, right: str, columns: list[str]) -> Column:
+    """Equality of all columns, in which nulls are equal."""
+    match = F.lit(True)
+    for name in columns:
+        match = match & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
+    return match
 
 
-def _with_verdict(calls: DataFrame, admitted: Column) -> DataFrame:
-    verdict = F.coalesce(admitted, F.lit(False))
-    return calls.withColumn("admitted", verdict).withColumn(
-        "limit_status", F.when(F.col("admitted"), 200).otherwise(429)
+def _beside(rows: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
+    """Rows with the columns of the side's row of the same key, null where there is none."""
+    added = [c for c in side.columns if c not in on]
+    return rows.alias("l").join(side.alias("r"), _same("l", "r", on), "left").select(
+        "l.*", *[f"r.{c}" for c in added]
     )
 
 
-def _split(calls: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame | None]:
-    hot = hot_groups(calls, group)
-    if hot is None:
-        return calls, None
-    return calls.filter(~hot), calls.filter(hot)
+# -- fixed windows ------------------------------------------------------------
 
 
-# -- fixed windows ------------------------------------------------------------
+def same_limits(log: DataFrame, qpm: int, tpm: int, key: str = "provider") -> DataFrame:
+    """The same limits for every service of a log."""
+    return log.select(key).distinct().withColumns({"qpm": F.lit(qpm), "tpm": F.lit(tpm)})
 
 
-def _carry_in(calls: DataFrame, group: list[str], carried: DataFrame | None) -> DataFrame:
-    """Calls and tokens admitted before, as ``_calls`` and ``_spent``."""
-    if carried is None:
-        zero = F.lit(0).cast("bigint")
-        return calls.withColumns({"_calls": zero, "_spent": zero})
-    earlier = carried.select(
-        *group, F.col("calls").alias("_calls"), F.col("spent").alias("_spent")
+def _limited(calls: DataFrame, limits: DataFrame, key: str) -> DataFrame:
+    """Calls with ``_qpm`` and ``_tpm``; a service must have both to be limited."""
+    side = limits.filter("qpm is not null and tpm is not null").select(
+        key, F.col("qpm").cast("bigint").alias("_qpm"), F.col("tpm").cast("bigint").alias("_tpm")
     )
-    return calls.join(earlier, group, "left").fillna(0, ["_calls", "_spent"])
+    return _beside(calls, side, [key])
 
 
 def window_balances(
-    log: DataFrame, qpm: int, tpm: int, window: str = "1 minute", key: str = "provider",
+    log: DataFrame, limits: DataFrame, window: str = "1 minute", key: str = "provider",
     carried: DataFrame | None = None,
 ) -> DataFrame:
-    """Per service and window: calls and tokens admitted so far, and the last admitted call.
+    """Per limited service and window: calls and tokens admitted, and the last admitted call.
 
-    ``carried`` holds earlier balances ``(key, window_start, calls, spent)``.
+    ``limits`` are (key, qpm, tpm), one row a service; ``carried`` holds earlier balances
+    ``(key, window_start, calls, spent)``.
     """
     group = [key, "window_start"]
-    tokens = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("bigint")
-    calls = _calls(log, window).withColumn("_tokens", tokens)
-    # At most qpm rows per window are left here, so the join has no large key.
-    leading = _carry_in(_leading(calls, group, qpm), group, carried)
-    spent = F.col("_spent") + F.coalesce(F.sum("_tokens").over(_before(group, ["_rank"])), F.lit(0))
-    fits = (F.col("_calls") + F.col("_rank") <= qpm) & (F.col("_before") < tpm)
+    limited = _limited(_distinct(_calls(log, window), group), limits, key)
+    most = limits.agg(F.max("qpm")).first()[0] or 0  # one number; bounds what a task keeps
+    leading = first_n(
+        limited.filter("_qpm is not null"), group, [F.col(c) for c in ORDER], int(most)
+    ).filter("_rank <= _qpm")
+    if carried is None:
+        zero = F.lit(0).cast("bigint")
+        leading = leading.withColumns({"_calls": zero, "_spent": zero})
+    else:
+        earlier = carried.select(
+            *group, F.col("calls").alias("_calls"), F.col("spent").alias("_spent")
+        )
+        leading = _beside(leading, earlier, group).fillna(0, ["_calls", "_spent"])
+    before = Window.partitionBy(*group).orderBy("_rank").rowsBetween(
+        Window.unboundedPreceding, -1)
+    spent = F.col("_spent") + F.coalesce(F.sum("_tokens").over(before), F.lit(0))
+    fits = (F.col("_calls") + F.col("_rank") <= F.col("_qpm")) & (F.col("_before") < F.col("_tpm"))
     return (
         leading.withColumn("_before", spent)
         .groupBy(*group)
         .agg(
-            F.max(F.when(fits, F.col("_at"))).alias("last_admitted"),
+            F.max(F.when(fits, F.struct(*ORDER))).alias("last_admitted"),
             (F.max("_calls") + F.count_if(fits)).alias("calls"),
             (F.max("_spent") + F.coalesce(F.sum(F.when(fits, F.col("_tokens"))), F.lit(0)))
             .alias("spent"),
@@ -93,127 +115,166 @@ def window_balances(
 
 
 def rate_limit_fixed(
-    log: DataFrame, qpm: int, tpm: int, window: str = "1 minute", key: str = "provider",
+    log: DataFrame, limits: DataFrame, window: str = "1 minute", key: str = "provider",
     carried: DataFrame | None = None,
 ) -> DataFrame:
     """Which calls a per-window limiter admits, and which ceiling stopped the rest.
 
-    A call is admitted while fewer than ``qpm`` calls and fewer than ``tpm``
-    tokens were admitted before it in its window; a rejected call consumes
-    nothing, so the admitted calls are the first ones of the window. Ordered by
-    (event_time, request_id); missing tokens count as 0.
+    A call is admitted while fewer than ``qpm`` calls and fewer than ``tpm`` tokens of its service
+    were admitted before it in its window; a rejected call consumes nothing, so the admitted
+    calls are the first ones of the window. Ordered by (event_time, request_id); missing
+    tokens count as 0.
     """
-    group = [key, "window_start"]
-    ordinary, hot = _split(_calls(log, window), group)
-    whole = Window.partitionBy(*group)
-    tokens = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("bigint")
-    ranked = _carry_in(ordinary, group, carried).withColumns(
-        {
-            "_rank": F.row_number().over(whole.orderBy(*ORDER)),
-            "_before": F.col("_spent")
-            + F.coalesce(F.sum(tokens).over(_before(group, ORDER)), F.lit(0)),
-        }
-    )
-    fits = (F.col("_calls") + F.col("_rank") <= qpm) & (F.col("_before") < tpm)
-    judged = _with_verdict(ranked, fits).withColumn(
-        "_spent", F.col("_spent") + F.coalesce(
-            F.sum(F.when(F.col("admitted"), tokens)).over(whole), F.lit(0))
-    )
-    result = _with_ceiling(judged, tpm).drop("_calls", "_rank", "_before", "_spent")
-    if hot is None:
-        return result
-    balances = window_balances(hot.drop("window_start"), qpm, tpm, window, key, carried)
-    side = balances.select(*group, "last_admitted", F.col("spent").alias("_spent"))
-    # One row per hot window, of which there are few: Spark broadcasts them.
-    admitted = F.struct(*ORDER) <= F.col("last_admitted")
-    late = _with_ceiling(_with_verdict(hot.join(side, group, "left"), admitted), tpm)
-    return result.unionByName(late.drop("last_admitted", "_spent"))
-
-
-def _with_ceiling(judged: DataFrame, tpm: int) -> DataFrame:
-    ceiling = F.when(F.col("_spent") >= tpm, "tpm").otherwise("qpm")
-    return judged.withColumn("limit_hit", F.when(~F.col("admitted"), ceiling))
+    balances = window_balances(log, limits, window, key, carried)
+    return judge(log, balances, limits, window, key)
+
+
+def judge(
+    log: DataFrame, balances: DataFrame, limits: DataFrame, window: str, key: str,
+    horizon: Column | None = None,
+) -> DataFrame:
+    """Every call with its verdict, given the balance of its window.
+
+    Calls of windows that begin before ``horizon`` come too late to be counted: they are
+    rejected as ``late``.
+    """
+    side = balances.select(
+        key, "window_start", F.col("last_admitted").alias("_last"), F.col("spent").alias("_spent")
+    )
+    calls = _beside(_limited(_calls(log, window), limits, key), side, [key, "window_start"])
+    late = F.lit(False) if horizon is None else F.coalesce(
+        F.col("window_start") < horizon, F.lit(False))
+    fits = F.coalesce(F.struct(*ORDER) <= F.col("_last"), F.lit(False)) & ~late
+    admitted = F.col("_qpm").isNull() | (F.col("window_start").isNotNull() & fits)
+    reason = (
+        F.when(F.col("window_start").isNull(), "no_time")
+        .when(late, "late")
+        .when(F.col("_spent") >= F.col("_tpm"), "tpm")
+        .otherwise("qpm")
+    )
+    return _with_verdict(calls, admitted).withColumn(
+        "limit_hit", F.when(~F.col("admitted"), reason)
+    ).drop("_qpm", "_tpm", "_last", "_spent")
+
+
+def _with_verdict(calls: DataFrame, admitted: Column) -> DataFrame:
+    return calls.withColumn("admitted", F.coalesce(admitted, F.lit(False))).withColumn(
+        "limit_status", F.when(F.col("admitted"), 200).otherwise(429)
+    )
 
 
 # -- token bucket -------------------------------------------------------------
 
 
+def _clamp(rate: int, burst: int) -> str:
+    """One interval after the state ``s`` (add, low, high, at): refill, then take."""
+    gain = f"({rate} * greatest(0L, x.at - s.at) - x.wanted)"
+    top = f"({burst}L - x.wanted)"
+    inside = f"least(greatest({{}} + {gain}, 0L), {top})"
+    return (
+        f"named_struct('add', s.add + {gain}, 'low', {inside.format('s.low')},"
+        f" 'high', {inside.format('s.high')}, 'at', greatest(s.at, x.at))"
+    )
+
+
 def bucket_levels(
     log: DataFrame, rate: int, burst: int, interval: str, key: str = "provider",
     carried: DataFrame | None = None,
 ) -> DataFrame:
     """Per service and interval: calls a token bucket grants, and the level it is left at.
 
-    Every interval adds ``rate`` tokens, up to ``burst``; a call takes one. Within
-    an interval the level only falls, so its admitted calls are its first ones. Only
-    their number per interval is walked through in order: one row per service and
-    interval, however many calls there were. ``carried`` holds
-    ``(key, window_start, level)`` of the last interval seen.
+    Every interval adds ``rate`` tokens, up to ``burst``; a call takes one. Within an interval the
+    level only falls, so its admitted calls are its first ones, and an interval turns a
+    level x into ``least(greatest(x + refill - wanted, 0), burst - wanted)``. Such clamps make up
+    another one, so blocks of ``BLOCK`` intervals are folded side by side; a service is then
+    walked through block by block, of which it has one for every ``BLOCK`` intervals of time however
+    many calls there were. ``carried`` holds ``(key, window_start, level)`` of the last
+    interval seen; late calls take from what is left now and earn no refill.
     """
     group = [key, "window_start"]
+    seconds = F.unix_timestamp(F.col("window_start").cast("timestamp"))
+    length = _seconds_of(interval)
+    at = F.floor(seconds / length).cast("bigint")
     demand = (
-        _calls(log, interval)
-        .groupBy(*group)
+        _distinct(_calls(log, interval), group).groupBy(*group)
         .agg(F.least(F.count("*"), F.lit(burst).cast("bigint")).alias("wanted"))
+        .withColumn("at", at)
     )
-    seconds = F.unix_timestamp(F.col("window_start").cast("timestamp"))
-    steps = demand.select(
-        key, "window_start", seconds.alias("at"), "wanted",
-        F.lit(None).cast("bigint").alias("level"),
-    )
-    if carried is not None:
-        steps = steps.unionByName(
-            carried.select(key, "window_start", seconds.alias("at"),
-                           F.lit(0).cast("bigint").alias("wanted"), "level")
-        )
-    width = int(pd.Timedelta(interval).total_seconds())
-
-    def walk(frame: pd.DataFrame) -> pd.DataFrame:
-        known = frame[frame["level"].notna()]
-        frame = frame[frame["level"].isna()].sort_values("at")
-        level, last = burst, None
-        if len(known):
-            level, last = int(known["level"].iloc[0]), int(known["at"].iloc[0])
-        granted, left = [], []
-        for at, wanted in zip(frame["at"].tolist(), frame["wanted"].tolist()):
-            if last is None:
-                last = at
-            # Late calls take from what is left now; they earn no refill.
-            level = min(burst, level + rate * max(0, (at - last) // width))
-            last = max(last, at)
-            taken = min(wanted, level)
-            level -= taken
-            granted.append(taken)
-            left.append(level)
-        return frame[[key, "window_start"]].assign(
-            granted=granted, level=left, step=range(len(frame))
-        )
-
-    kinds = dict(demand.dtypes)
-    schema = (f"`{key}` {kinds[key]}, window_start {kinds['window_start']}, "
-              "granted bigint, level bigint, step bigint")
-    return steps.groupBy(key).applyInPandas(walk, schema)
-
-
-def grant(log: DataFrame, levels: DataFrame, burst: int, interval: str, key: str) -> DataFrame:
+    if carried is None:
+        demand = demand.withColumns({
+            "_level": F.lit(None).cast("bigint"), "_since": F.lit(None).cast("bigint")
+        })
+    else:
+        before = carried.select(key, F.col("level").alias("_level"), at.alias("_since"))
+        demand = _beside(demand, before, [key])
+    # Late intervals take place now.
+    demand = demand.withColumn("now", F.greatest("at", "_since"))
+    blocks = demand.withColumn("block", F.floor(F.col("at") / BLOCK)).groupBy(key, "block").agg(
+        F.sort_array(F.collect_list(F.struct(
+            "window_start", F.col("now").alias("at"), "wanted"))).alias("steps"),
+        F.max("_level").alias("_level"), F.max("_since").alias("_since"),
+    )
+    # A block from the level it finds after its first refill; the start takes everything.
+    whole = f"named_struct('add', 0L, 'low', 0L, 'high', {burst}L, 'at', steps[0].at)"
+    folded = blocks.withColumn(
+        "clamp", F.expr(f"aggregate(steps, {whole}, (s, x) -> {_clamp(rate, burst)})")
+    )
+    chain = folded.groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct(
+            "block", F.col("steps")[0]["at"].alias("first"), F.col("clamp").alias("c")
+        ))).alias("all"),
+        F.max("_level").alias("_level"), F.max("_since").alias("_since"),
+    )
+    found = (
+        f"least({burst}L, s.level + {rate} * greatest(0L, x.first - s.at))"
+    )
+    entered = chain.withColumn("entries", F.expr(
+        "aggregate(all, named_struct("
+        f" 'level', coalesce(_level, {burst}L), 'at', coalesce(_since, all[0].first),"
+        " 'out', cast(array() as array<struct<block:bigint,level:bigint>>)),"
+        f" (s, x) -> named_struct('level', least(greatest({found} + x.c.add, x.c.low), x.c.high),"
+        "   'at', x.c.at,"
+        f"   'out', concat(s.out, array(named_struct('block', x.block, 'level', {found})))),"
+        " s -> s.out)"
+    )).select(key, F.explode("entries").alias("e")).select(
+        key, F.col("e.block").alias("block"), F.col("e.level").alias("entry")
+    )
+    level = f"least({burst}L, s.level + {rate} * greatest(0L, x.at - s.at))"
+    walked = _beside(folded, entered, [key, "block"]).select(key, F.explode(F.expr(
+        "aggregate(steps, named_struct('level', entry, 'at', steps[0].at, 'out',"
+        " cast(array() as array<struct<window_start:" + dict(demand.dtypes)["window_start"]
+        + ",granted:bigint,level:bigint>>)),"
+        f" (s, x) -> named_struct('level', {level} - least(x.wanted, {level}), 'at',"
+        "   greatest(s.at, x.at), 'out', concat(s.out, array(named_struct("
+        f"   'window_start', x.window_start, 'granted', least(x.wanted, {level}),"
+        f"   'level', {level} - least(x.wanted, {level}))))),"
+        " s -> s.out)"
+    )).alias("e"))
+    return walked.select(key, "e.*")
+
+
+def _seconds_of(interval: str) -> int:
+    number, unit = interval.split()
+    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    return int(number) * units[unit.rstrip("s")]
+
+
+def grant(
+    log: DataFrame, levels: DataFrame, burst: int, interval: str, key: str = "provider"
+) -> DataFrame:
     """Every call with its verdict, given what its interval grants."""
     group = [key, "window_start"]
     granted = levels.select(*group, F.col("granted").alias("_granted"))
-    ordinary, hot = _split(_calls(log, interval), group)
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*ORDER))
-    ranked = ordinary.withColumn("_rank", rank).join(granted, group, "left")
-    result = _with_verdict(ranked, F.col("_rank") <= F.col("_granted")).drop("_rank", "_granted")
-    if hot is None:
-        return result
-    fits = F.col("_rank") <= F.col("_granted")
+    leading = first_n(
+        _distinct(_calls(log, interval), group), group, [F.col(c) for c in ORDER], burst
+    )
     last = (
-        _leading(hot, group, burst)
-        .join(granted, group)
-        .groupBy(*group)
-        .agg(F.max(F.when(fits, F.col("_at"))).alias("_last"))
+        _beside(leading, granted, group).filter("_rank <= _granted")
+        .groupBy(*group).agg(F.max(F.struct(*ORDER)).alias("_last"))
     )
-    late = _with_verdict(hot.join(last, group, "left"), F.struct(*ORDER) <= F.col("_last"))
-    return result.unionByName(late.drop("_last"))
+    calls = _beside(_calls(log, interval), last, group)
+    fits = F.col("window_start").isNotNull() & (F.struct(*ORDER) <= F.col("_last"))
+    return _with_verdict(calls, fits).drop("_last")
 
 
 def token_bucket(

@@ -337,22 +337,9 @@ def _(t):
     ).drop("expected_outcome")
 
 
-@query("rate_limit_fixed", over="p", sql="""+
-n AS (SELECT *, date_trunc('hour', event_time) AS window_start,
-    row_number() OVER w AS call, coalesce(sum(coalesce(total_tokens, 0)) OVER
-      (PARTITION BY provider, date_trunc('hour', event_time) ORDER BY event_time, request_id
-       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM p WINDOW w AS (PARTITION BY provider, date_trunc('hour', event_time)
-                      ORDER BY event_time, request_id)),
-a AS (SELECT *, call <= 8 AND before < 1000 AS admitted FROM n),
-s AS (SELECT provider, window_start, sum(coalesce(total_tokens, 0)) AS spent
-      FROM a WHERE admitted GROUP BY 1, 2)
-SELECT request_id, provider, window_start, admitted,
-  CASE WHEN admitted THEN 200 ELSE 429 END AS limit_status,
-  CASE WHEN NOT admitted THEN CASE WHEN spent >= 1000 THEN 'tpm' ELSE 'qpm' END END AS limit_hit
-FROM a LEFT JOIN s USING (provider, window_start)""")
-def _(t):
-    return limits.rate_limit_fixed(t.calls, qpm=8, tpm=1000, window="1 hour").select(
+@query("rate_limit_fixed", over="l", sql="SELECT * FROM limited")
+def _(t):
+    return limits.rate_limit_fixed(t.limited_calls, t.service_limits, window="1 hour").select(
         "request_id", "provider", "window_start", "admitted", "limit_status", "limit_hit"
     )
 

@@ -81,22 +81,41 @@ def _(t):
                         "window_start")
 
 
-_LIMITED = """+
-n AS (SELECT *, row_number() OVER w AS call, coalesce(sum(coalesce(total_tokens, 0)) OVER
-      (PARTITION BY provider, date_trunc('hour', event_time) ORDER BY event_time, request_id
-       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM p WINDOW w AS (PARTITION BY provider, date_trunc('hour', event_time)
-                      ORDER BY event_time, request_id))
-SELECT request_id, provider, call <= 8 AND before < 1000 AS admitted FROM n"""
+def _in_order(t, calls, parts=4):
+    """The calls as files that arrive one after another, so that state goes from one to the next."""
+    path = shared_folder(t.spark, "arriving")
+    calls = calls.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    edges = calls.approxQuantile("_at", [k / parts for k in range(1, parts)], 0.001)
+    for low, high in zip([None, *edges], [*edges, None]):
+        at = F.col("_at")
+        later = F.lit(True) if low is None else at > low
+        part = calls.filter(later if high is None else later & (at <= high))
+        part.drop("_at").coalesce(1).write.mode("append").parquet(path)
+    return arrivals(t.spark, path, files_per_batch=1)
 
 
-@query("stream_rate_limit", over="p", sql=_LIMITED)
+def _in_order_by_hour(t, calls):
+    """Files cut at full hours: a bucket's interval is granted to one batch."""
+    at = F.unix_timestamp(F.date_trunc("hour", F.col("event_time").cast("timestamp")))
+    return _in_order(t, calls.withColumn("_at", at.cast("double")))
+
+
+def _timed(calls):
+    """``_at``: seconds, and for calls without a time those of the row in the test table."""
+    return calls.withColumn("_at", F.coalesce(
+        F.unix_timestamp(F.col("event_time").cast("timestamp")), F.lit(0)).cast("double"))
+
+
+@query("stream_rate_limit", over="l", sql="""
+SELECT request_id, provider, admitted, limit_hit FROM limited""")
 def _(t):
     path = shared_folder(t.spark, "limit")
+    calls = t.limited_calls.select("request_id", "provider", "event_time", "total_tokens")
     stream_limits.stream_rate_limit(
-        _stream(t).calls, path, qpm=8, tpm=1000, window="1 hour"
+        _in_order(t, _timed(calls)), path, t.service_limits, window="1 hour"
     ).awaitTermination()
-    return t.spark.read.parquet(f"{path}/verdicts").select("request_id", "provider", "admitted")
+    return t.spark.read.parquet(f"{path}/verdicts").select(
+        "request_id", "provider", "admitted", "limit_hit")
 
 
 _BUCKETED = """+
@@ -127,7 +146,8 @@ def _(t):
 @query("stream_token_bucket", over="p", sql=_BUCKETED)
 def _(t):
     path = shared_folder(t.spark, "bucket")
+    calls = t.calls.select("request_id", "provider", "event_time", "total_tokens")
     stream_limits.stream_token_bucket(
-        _stream(t).calls, path, rate=4, burst=10, interval="1 hour"
+        _in_order_by_hour(t, calls), path, rate=4, burst=10, interval="1 hour"
     ).awaitTermination()
     return t.spark.read.parquet(f"{path}/verdicts").select("request_id", "provider", "admitted")

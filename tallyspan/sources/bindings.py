@@ -80,6 +80,23 @@ class Tables:
             )
         )
 
+    @cached_property
+    def limited_calls(self) -> DataFrame:
+        """Calls as they arrive: some of them twice, some without a time."""
+        again = self.calls.filter(F.col("request_id") % 7 == 0)
+        timeless = F.col("request_id") % 101 == 0
+        kind = dict(self.calls.dtypes)["event_time"]
+        return self.calls.unionByName(again).withColumn(
+            "event_time", F.when(timeless, F.lit(None).cast(kind)).otherwise(F.col("event_time"))
+        )
+
+    @cached_property
+    def service_limits(self) -> DataFrame:
+        """Other limits for each provider, and none for one of them."""
+        return self.spark.createDataFrame(
+            [("claude", 8, 1000), ("openai", 3, 10**6)], "provider string, qpm int, tpm int"
+        )
+
     @cached_property
     def payload(self) -> DataFrame:
         """The log with JSON request and response bodies instead of token columns."""
@@ -267,6 +284,38 @@ p AS (
     status_code = 200 AND request_id % 11 = 0 AS denied
   FROM calls)"""
 
+_LIMITED = (
+    _CALLS
+    + """,
+sent AS (
+  SELECT request_id, provider, total_tokens,
+    CASE WHEN request_id % 101 <> 0 THEN event_time END AS event_time
+  FROM p),
+arrived AS (SELECT * FROM sent UNION ALL SELECT * FROM sent WHERE request_id % 7 = 0),
+service_limits(provider, qpm, tpm) AS (VALUES ('claude', 8, 1000), ('openai', 3, 1000000)),
+counted AS (
+  SELECT *, date_trunc('hour', event_time) AS window_start, row_number() OVER w AS call,
+    coalesce(sum(coalesce(total_tokens, 0)) OVER (
+      PARTITION BY provider, date_trunc('hour', event_time) ORDER BY event_time, request_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sent WINDOW w AS (PARTITION BY provider, date_trunc('hour', event_time)
+                         ORDER BY event_time, request_id)),
+judged AS (
+  SELECT c.*, qpm, tpm, CASE WHEN qpm IS NULL THEN true
+    ELSE event_time IS NOT NULL AND call <= qpm AND before < tpm END AS admitted
+  FROM counted c LEFT JOIN service_limits USING (provider)),
+spent AS (
+  SELECT provider, window_start, sum(coalesce(total_tokens, 0)) AS spent
+  FROM judged WHERE admitted GROUP BY 1, 2),
+verdict AS (
+  SELECT request_id, provider, j.window_start, admitted,
+    CASE WHEN admitted THEN 200 ELSE 429 END AS limit_status,
+    CASE WHEN admitted THEN NULL WHEN event_time IS NULL THEN 'no_time'
+         WHEN spent >= tpm THEN 'tpm' ELSE 'qpm' END AS limit_hit
+  FROM judged j LEFT JOIN spent USING (provider, window_start)),
+limited AS (SELECT v.* FROM arrived JOIN verdict v USING (request_id))"""
+)
+
 _RESULTS = (
     _CALLS
     + """,
@@ -320,6 +369,7 @@ tr AS (SELECT session_id, turn, text AS request,
 # The bindings as SQL: prefix a query with "WITH " + CTE[name].
 CTE = {
     "p": "WITH" + _CALLS,
+    "l": "WITH" + _LIMITED,
     "r": "WITH" + _RESULTS,
     "f": "WITH" + _FACT,
     "lt": "WITH" + _TIMINGS,

@@ -83,3 +83,25 @@ def missing_services(providers: DataFrame, tables: DataFrame) -> DataFrame:
 def covered_services(providers: DataFrame, tables: DataFrame) -> DataFrame:
     """Providers whose service has a log table."""
     return providers.join(tables, "model_service", "left_semi")
+
+
+def service_settings(configs: DataFrame) -> DataFrame:
+    """Rate limits and usage tracking of each service as they are configured."""
+    return parse_configs(configs).select(
+        "model_service", F.col("body.rate_limits").alias("rate_limits"),
+        F.col("body.usage_tracking").alias("usage_tracking"),
+    )
+
+
+def service_limits(configs: DataFrame) -> DataFrame:
+    """``(model_service, qpm, tpm)``: the lowest limits a minute of services that have both."""
+    limits = F.from_json(
+        "rate_limits", "array<struct<calls:bigint,tokens:bigint,renewal_period:string>>"
+    )
+    minute = F.filter(limits, lambda x: F.coalesce(x["renewal_period"], F.lit("minute")) == "minute")
+    return (
+        service_settings(configs)
+        .select("model_service", F.array_min(F.transform(minute, lambda x: x["calls"])).alias("qpm"),
+                F.array_min(F.transform(minute, lambda x: x["tokens"])).alias("tpm"))
+        .filter("qpm is not null and tpm is not null")
+    )

@@ -3,9 +3,9 @@
 Each micro-batch runs the batch limiter from the balances the batch before left.
 Verdicts and balances are written under the batch's number: a batch that is run
 again reads the same balances and replaces its own folders, so every call gets
-one verdict. Balances are one small row per service and live window. Calls must
-arrive in order of their windows, up to ``delay`` late; windows older than that
-are no longer carried.
+one verdict. Balances are one small row per service and live window. Calls may come
+up to ``delay`` after newer ones; the windows before that are closed, and a call that
+still comes for one is rejected as late.
 """
 
 from __future__ import annotations
@@ -42,26 +42,33 @@ def _numbered_batches(
     return writer.start()
 
 
-def _still_open(balances: DataFrame, delay: str) -> DataFrame:
-    newest = balances.agg(F.max("window_start")).scalar()
-    return balances.filter(F.col("window_start") >= newest - F.expr(f"INTERVAL {delay}"))
+def _horizon(balances: DataFrame, delay: str):
+    """The window start before which windows are closed."""
+    return balances.agg(F.max("window_start")).scalar() - F.expr(f"INTERVAL {delay}")
 
 
 def stream_rate_limit(
-    source: DataFrame, path: str, qpm: int, tpm: int, window: str = "1 minute",
+    source: DataFrame, path: str, limits_table: DataFrame, window: str = "1 minute",
     key: str = "provider", delay: str = "15 minutes", available_now: bool = True,
 ) -> StreamingQuery:
-    """The fixed-window limiter online; verdicts appear under ``path/verdicts``."""
+    """The fixed-window limiter online; verdicts appear under ``path/verdicts``.
+
+    ``limits_table`` is (key, qpm, tpm), as for the batch limiter.
+    """
     group = [key, "window_start"]
 
     def step(batch: DataFrame, carried: DataFrame | None):
-        now = settle(limits.window_balances(batch, qpm, tpm, window, key, carried), "balances")
-        verdicts = limits.rate_limit_fixed(batch, qpm, tpm, window, key, carried)
+        horizon = None if carried is None else _horizon(carried, delay)
+        now = limits.window_balances(batch, limits_table, window, key, carried)
+        if horizon is not None:
+            now = now.filter(F.col("window_start") >= horizon)
+        now = settle(now, "balances")
+        verdicts = limits.judge(batch, now, limits_table, window, key, horizon)
         kept = now.select(*group, "calls", "spent")
         if carried is not None:
             untouched = carried.select(*group, "calls", "spent").join(kept, group, "left_anti")
             kept = kept.unionByName(untouched)
-        return verdicts, _still_open(kept, delay)
+        return verdicts, kept.filter(F.col("window_start") >= _horizon(kept, delay))
 
     return _numbered_batches(source, path, step, available_now)
 
@@ -78,7 +85,8 @@ def stream_token_bucket(
         )
         verdicts = limits.grant(batch, levels, burst, interval, key)
         kept = levels.groupBy(key).agg(
-            F.max("window_start").alias("window_start"), F.max_by("level", "step").alias("level")
+            F.max("window_start").alias("window_start"),
+            F.max_by("level", "window_start").alias("level"),
         )
         if carried is not None:
             before = carried.select(key, "window_start", "level")

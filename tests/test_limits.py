@@ -5,8 +5,9 @@ import random
 
 import pytest
 
-from tallyspan.operators import ordered
-from tallyspan.operators.limits import final_attempt, rate_limit_fixed, token_bucket
+from tallyspan.operators.limits import (
+    final_attempt, rate_limit_fixed, same_limits, token_bucket,
+)
 from tallyspan.streaming.limits import stream_rate_limit, stream_token_bucket
 from tallyspan.streaming.runs import arrivals
 
@@ -14,13 +15,6 @@ START = datetime.datetime(2024, 1, 1)
 CALLS = "provider string, event_time timestamp, request_id bigint, total_tokens bigint"
 
 
-@pytest.fixture(params=["ordinary", "hot"])
-def size(request, monkeypatch):
-    """Run once with every group ordinary and once with the frequent ones treated as hot."""
-    if request.param == "hot":
-        monkeypatch.setattr(ordered, "HOT_ROWS", 0)
-
-
 def calls(seed, n=400, span=1200):
     rng = random.Random(seed)
     times = sorted(rng.randrange(span) for _ in range(n))
@@ -60,9 +54,10 @@ def sequential_bucket(rows, rate, burst):
 
 
 @pytest.mark.parametrize("seed,qpm,tpm", [(1, 8, 200), (2, 5, 10**6), (3, 100, 150), (4, 1, 1)])
-def test_fixed_window(spark, size, seed, qpm, tpm):
+def test_fixed_window(spark, seed, qpm, tpm):
     rows = calls(seed)
-    got = rate_limit_fixed(spark.createDataFrame(rows, CALLS), qpm, tpm).collect()
+    log = spark.createDataFrame(rows, CALLS)
+    got = rate_limit_fixed(log, same_limits(log, qpm, tpm)).collect()
     assert {r.request_id: (r.admitted, r.limit_hit) for r in got} == sequential_window(
         rows, qpm, tpm
     )
@@ -70,7 +65,7 @@ def test_fixed_window(spark, size, seed, qpm, tpm):
 
 
 @pytest.mark.parametrize("seed,rate,burst", [(1, 4, 10), (2, 1, 1), (3, 20, 30)])
-def test_token_bucket(spark, size, seed, rate, burst):
+def test_token_bucket(spark, seed, rate, burst):
     rows = calls(seed)
     got = token_bucket(spark.createDataFrame(rows, CALLS), rate, burst).collect()
     assert {r.request_id: r.admitted for r in got} == sequential_bucket(rows, rate, burst)
@@ -84,7 +79,7 @@ def write_in_order(spark, rows, folder, parts=5):
         )
 
 
-def test_streams_equal_the_sequential_limiters(spark, size, tmp_path):
+def test_streams_equal_the_sequential_limiters(spark, tmp_path):
     rows = calls(9, n=300)
     folder = str(tmp_path / "calls")
     write_in_order(spark, rows, folder)
@@ -93,7 +88,8 @@ def test_streams_equal_the_sequential_limiters(spark, size, tmp_path):
         return arrivals(spark, folder, files_per_batch=1)
 
     window = str(tmp_path / "window")
-    stream_rate_limit(source(), window, qpm=6, tpm=150).awaitTermination()
+    limits = same_limits(spark.createDataFrame(rows, CALLS), 6, 150)
+    stream_rate_limit(source(), window, limits).awaitTermination()
     got = spark.read.parquet(f"{window}/verdicts").collect()
     assert len(got) == len(rows) and len({r.batch for r in got}) == 5
     want = sequential_window(rows, 6, 150)
@@ -110,12 +106,13 @@ def test_a_batch_run_again_gives_the_same_verdicts(spark, tmp_path):
     folder, path = str(tmp_path / "calls"), str(tmp_path / "limit")
     write_in_order(spark, rows, folder, parts=3)
     source = arrivals(spark, folder, files_per_batch=1)
-    stream_rate_limit(source, path, qpm=4, tpm=10**6).awaitTermination()
+    limits = same_limits(spark.createDataFrame(rows, CALLS), 4, 10**6)
+    stream_rate_limit(source, path, limits).awaitTermination()
     first = sorted(map(tuple, spark.read.parquet(f"{path}/verdicts").drop("batch").collect()))
     # As after a crash before the last batch was committed.
     (tmp_path / "limit/checkpoint/commits/2").unlink()
     (tmp_path / "limit/checkpoint/commits/.2.crc").unlink(missing_ok=True)
-    stream_rate_limit(source, path, qpm=4, tpm=10**6).awaitTermination()
+    stream_rate_limit(source, path, limits).awaitTermination()
     again = sorted(map(tuple, spark.read.parquet(f"{path}/verdicts").drop("batch").collect()))
     assert again == first
 
@@ -127,19 +124,65 @@ def test_final_attempt(spark):
     assert got == {"a": (3, 200, 1.5, 6), "b": (1, 200, 0.5, 0)}
 
 
-def test_hot_windows_are_cut_before_the_shuffle(spark, monkeypatch):
+def test_windows_are_cut_before_the_shuffle(spark):
     df = spark.createDataFrame(calls(1), CALLS)
-    ordinary = rate_limit_fixed(df, 8, 100)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" not in ordinary and "Join" not in ordinary
-    monkeypatch.setattr(ordered, "HOT_ROWS", 0)
-    hot = rate_limit_fixed(df, 8, 100)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in hot
-    assert "Python" not in hot and "Pandas" not in hot
-
-
-def test_hot_groups_misses_no_frequent_key(spark):
-    df = spark.range(30000).selectExpr("IF(id % 3 = 0, -1, id) AS k")
-    assert ordered.hot_groups(df, ["k"]) is None
-    hot = ordered.hot_groups(df, ["k"], rows=1000)
-    assert df.filter(hot).filter("k = -1").count() == 10000
-    assert df.filter(hot).select("k").distinct().count() <= 1 / ordered.HOT_SHARE
+    for out in (rate_limit_fixed(df, same_limits(df, 8, 100)), token_bucket(df, 4, 10)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan and "Python" not in plan and "Pandas" not in plan
+
+
+def test_calls_delivered_again_and_without_a_time(spark):
+    rows = [("a", START, 1, 5), ("a", START, 2, 5), ("a", START + datetime.timedelta(seconds=5), 3, 5),
+            ("a", START + datetime.timedelta(seconds=6), 4, 5), ("a", None, 5, 5), ("free", START, 6, 1),
+            ("free", None, 7, 1), (None, START, 8, 1)]
+    log = spark.createDataFrame(rows + rows[:2] * 3 + rows[4:5], CALLS)
+    limits = spark.createDataFrame([("a", 3, 1000), ("half", 1, None)],
+                                   "provider string, qpm int, tpm int")
+    got = rate_limit_fixed(log, limits).collect()
+    assert len(got) == len(rows) + 7
+    verdicts = {(r.request_id, r.admitted, r.limit_hit) for r in got}
+    assert verdicts == {(1, True, None), (2, True, None), (3, True, None), (4, False, "qpm"),
+                        (5, False, "no_time"), (6, True, None), (7, True, None), (8, True, None)}
+    bucket = token_bucket(log, 1, 2).collect()
+    assert len(bucket) == len(rows) + 7
+    assert {(r.request_id, r.admitted) for r in bucket if r.provider == "a"} == {
+        (1, True), (2, True), (3, False), (4, False), (5, False)}
+
+
+def test_limits_differ_by_service(spark):
+    rows = calls(3)
+    log = spark.createDataFrame(rows, CALLS)
+    limits = spark.createDataFrame([("busy", 4, 10**6), ("calm", 2, 60)],
+                                   "provider string, qpm int, tpm int")
+    got = {r.request_id: r.admitted for r in rate_limit_fixed(log, limits).collect()}
+    for name, qpm, tpm in (("busy", 4, 10**6), ("calm", 2, 60)):
+        own = [r for r in rows if r[0] == name]
+        assert {r[2]: got[r[2]] for r in own} == {
+            k: v[0] for k, v in sequential_window(own, qpm, tpm).items()}
+
+
+def test_late_calls_of_closed_windows_are_rejected(spark, tmp_path):
+    hour = datetime.timedelta(hours=1)
+    batches = [
+        [("a", START + datetime.timedelta(seconds=k), k, 1) for k in range(3)],
+        [("a", START + 2 * hour, 10, 1)],
+        [("a", START + datetime.timedelta(seconds=9), 20, 1), ("a", START + 2 * hour, 21, 1)],
+    ]
+    folder, path = str(tmp_path / "calls"), str(tmp_path / "limit")
+    for rows in batches:
+        spark.createDataFrame(rows, CALLS).coalesce(1).write.mode("append").parquet(folder)
+    limits = spark.createDataFrame([("a", 3, 1000)], "provider string, qpm int, tpm int")
+    stream_rate_limit(arrivals(spark, folder, files_per_batch=1), path, limits).awaitTermination()
+    got = {r.request_id: (r.admitted, r.limit_hit)
+           for r in spark.read.parquet(f"{path}/verdicts").collect()}
+    assert got[20] == (False, "late") and got[21] == (True, None)
+    assert all(got[k][0] for k in (0, 1, 2, 10))
+
+
+def test_a_bucket_over_many_blocks(spark, monkeypatch):
+    from tallyspan.operators import limits
+
+    monkeypatch.setattr(limits, "BLOCK", 4)
+    rows = calls(11, n=500, span=6000)
+    got = token_bucket(spark.createDataFrame(rows, CALLS), 2, 7).collect()
+    assert {r.request_id: r.admitted for r in got} == sequential_bucket(rows, 2, 7)
