@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.operators.logs import exact_percentiles
-from tallyspan.operators.ordered import spread_join
 
 
 def money(column: str) -> Column:
@@ -143,7 +142,8 @@ def entity_match(df: DataFrame, text: str, known: DataFrame, name: str) -> DataF
     Two strings are within two edits only if deleting at most two characters from
     each can make them equal, so candidates come from an equality join on those
     shortened forms instead of comparing every text with every name. Each distinct
-    text is matched once, whatever the number of rows holding it.
+    text is matched once, whatever the number of rows holding it. Only texts as long as some
+    name, give or take two characters, are shortened, so long texts cost nothing.
     """
     wanted = df.select(F.lower(F.trim(F.col(text))).alias("_text")).filter(
         F.col("_text").isNotNull()
@@ -154,7 +154,11 @@ def entity_match(df: DataFrame, text: str, known: DataFrame, name: str) -> DataF
     exact = wanted.join(names, F.col("_text") == F.col("_folded")).groupBy("_text").agg(
         F.min("_name").alias("matched"), F.lit(0).alias("edits")
     )
-    left = wanted.join(exact, "_text", "left_anti").withColumn(
+    lengths = names.select(F.explode(F.sequence(
+        F.length("_folded") - 2, F.length("_folded") + 2)).alias("_length")).distinct()
+    near_length = wanted.withColumn("_length", F.length("_text")).join(
+        lengths, "_length", "left_semi").drop("_length")
+    left = near_length.join(exact, "_text", "left_anti").withColumn(
         "_key", F.explode(_shortened(F.col("_text")))
     )
     right = names.withColumn("_key", F.explode(_shortened(F.col("_folded"))))
@@ -172,7 +176,7 @@ def entity_match(df: DataFrame, text: str, known: DataFrame, name: str) -> DataF
     )
     found = exact.unionByName(near)
     keyed = df.withColumn("_text", F.lower(F.trim(F.col(text))))
-    return spread_join(keyed, found, ["_text"], "left").drop("_text")
+    return keyed.join(found, "_text", "left").drop("_text")
 
 
 def _shortened(text: Column) -> Column:

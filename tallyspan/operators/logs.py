@@ -170,7 +170,7 @@ def chargeback(usage: DataFrame) -> DataFrame:
     per_endpoint = usage.groupBy("endpoint_name").agg(
         F.count("*").alias("request_count"), F.sum("total_tokens").alias("total_tokens")
     )
-    grand_total = usage.agg(F.sum("total_tokens")).scalar()
+    grand_total = per_endpoint.agg(F.sum("total_tokens")).scalar()
     return per_endpoint.withColumn(
         "share", F.round(F.try_divide(F.col("total_tokens"), grand_total), 6)
     ).orderBy(F.col("total_tokens").desc_nulls_last(), "endpoint_name")
@@ -216,14 +216,14 @@ def usage_cube(log: DataFrame) -> DataFrame:
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
-    """Interpolated percentiles of a whole-number measure per group.
+    """Interpolated percentiles of a measure per group, whole or fractional.
 
     Rows are first counted per (group, value), map-side, so the state of a group
-    is its distinct milliseconds or days and not its rows.
+    is its distinct values and not its rows.
     """
     counted = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("long").alias("_value"))
+        .groupBy(*keys, F.col(value).alias("_value"))
         .agg(F.count("*").alias("_n"))
     )
     return counted.groupBy(*keys).agg(

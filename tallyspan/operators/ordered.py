@@ -7,7 +7,6 @@ functions here give the same numbers while a group of any size stays spread:
 * ``number_rows``      position in the group and sums before each row, any order
 * ``running_sums``     sums before each row where the order is a dense integer
 * ``next_value``       the following row's value, same precondition
-* ``hot_groups``       which groups need any of this, found in one pass
 """
 
 from __future__ import annotations
@@ -21,9 +20,6 @@ from tallyspan.storage import settle
 
 # Rows of one (key, block) that may meet in one task.
 BLOCK_ROWS = 4096
-# A group is hot if it may hold more than this share of a table of more than HOT_ROWS rows.
-HOT_SHARE = 0.001
-HOT_ROWS = 1_000_000
 # Spark inserts its map-side group limit up to this many rows per group.
 GROUP_LIMIT_DEFAULT = 1000
 
@@ -36,8 +32,12 @@ def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int)
     """First ``n`` rows of every group, as ``_rank`` 1..n.
 
     Up to the session's group-limit threshold Spark cuts each group to n rows
-    per map task before the shuffle; above it the rows are numbered in blocks.
+    per map task before the shuffle; above it the rows are numbered in blocks. Rows that tie
+    in ``order`` follow a hash of their columns, so both ways choose the same ones.
     """
+    order = [*order, F.xxhash64(*[
+        name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind
+    ])]
     limit = int(
         df.sparkSession.conf.get(
             "spark.sql.optimizer.windowGroupLimitThreshold", str(GROUP_LIMIT_DEFAULT)
@@ -205,48 +205,3 @@ def next_value(
         .withColumn(name, F.coalesce(F.lead("_value").over(inside), F.col("_edge")))
         .drop("_block", "_value", "_edge")
     )
-
-
-def hot_groups(
-    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, rows: int | None = None
-) -> Column | None:
-    """A test for rows of groups too large for one task, or None if there are none.
-
-    A group is suspect if it may hold more than ``share`` of the rows. Frequent
-    items finds those in one pass over the key columns: it misses none, and gives
-    at most 1 / share candidates. Tables of up to ``rows`` rows have no such group.
-    """
-    if df.count() <= (HOT_ROWS if rows is None else rows):
-        return None
-    key = F.xxhash64(*[F.col(c) for c in keys])
-    found = df.select(key.alias("_key")).stat.freqItems(["_key"], share).first()[0]
-    return key.isin(*[int(k) for k in found]) if found else None
-
-
-def spread_join(
-    df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left",
-    slots: int | None = None, rows: int | None = None,
-) -> DataFrame:
-    """Join rows to a large side with one row per key, hot keys cut into ``slots`` pieces.
-
-    Only the rows of hot keys get a slot, from a hash of the row itself, so it is
-    the same if a task runs again; only their side rows are repeated.
-    """
-    is_hot = hot_groups(df, on, rows=rows)
-    if is_hot is None:
-        return df.join(side, list(on), how)
-    pieces = slots or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    piece = F.pmod(F.xxhash64(*_hashable(df)), F.lit(pieces)).cast("int")
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))
-    return (
-        df.withColumn("_slot", F.when(is_hot, piece).otherwise(0))
-        .join(side.withColumn("_slot", F.explode(copies)), [*on, "_slot"], how)
-        .drop("_slot")
-    )
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    """Columns a row's slot is taken from: the short ones if there are any."""
-    short = {"bigint", "int", "double", "timestamp", "timestamp_ntz", "date"}
-    names = [name for name, kind in df.dtypes if kind in short]
-    return names or [name for name, kind in df.dtypes if kind == "string"]

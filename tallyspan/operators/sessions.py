@@ -112,7 +112,10 @@ def render_transcript(
     parted = conv.withColumn("part", F.floor(F.col("turn") / part_turns).cast("bigint"))
     lines = F.transform(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))),
-        lambda m: F.concat(m["role"], F.lit(": "), m["text"]),
+        # A message without a text keeps its line.
+        lambda m: F.concat(
+            F.coalesce(m["role"], F.lit("")), F.lit(": "), F.coalesce(m["text"], F.lit(""))
+        ),
     )
     parts = parted.groupBy("session_id", "part").agg(F.array_join(lines, "\n").alias("body"))
     # First and last part come from two integers per session; the text of a long
@@ -168,11 +171,12 @@ def span_tree(spans: DataFrame) -> DataFrame:
     """Depth and root of every span, by doubling: after round n each span knows its
     ancestor 2^n levels up, so a tree of depth d takes log2(d) joins, not d.
 
-    A span whose parent is not in the trace is a root. Spans on a cycle never
-    reach one: when a round resolves nothing, only those are left, with null.
+    A span whose parent is not in the trace is a root. A span delivered more than once
+    counts once, with the smallest parent named. Spans on a cycle never reach one: when a round resolves nothing, only those are left, with null.
     A parent with very many children is a skewed join key, which the adaptive
     skew join splits; the other side holds each span once.
     """
+    spans = spans.groupBy("trace_id", "span_id").agg(F.min("parent_id").alias("parent_id"))
     ids = spans.select(
         "trace_id", F.col("span_id").alias("up"), F.lit(True).alias("_there")
     ).distinct()
@@ -219,13 +223,6 @@ def span_tree(spans: DataFrame) -> DataFrame:
 # -- prompts ----------------------------------------------------------------
 
 
-def qualified(name: Column, catalog: str | None = None, schema: str | None = None) -> Column:
-    """``catalog.schema.name`` where a registry is configured, else the bare name."""
-    if catalog and schema:
-        return F.concat(F.lit(f"{catalog}.{schema}."), name)
-    return name
-
-
 def latest_prompt(registry: DataFrame, version: int | None = None) -> DataFrame:
     """Newest version of each prompt, or the pinned one."""
     if version is not None:
@@ -251,6 +248,14 @@ def append_prompt_version(registry: DataFrame, new: DataFrame, order: str) -> Da
 
 
 def register_if_missing(registry: DataFrame, new: DataFrame) -> DataFrame:
-    """The registry plus those prompts whose name it does not know yet."""
-    unknown = new.join(registry.select("name"), "name", "left_anti")
-    return registry.unionByName(unknown.select(*registry.columns))
+    """The registry plus those prompts whose name it does not know yet.
+
+    Of several new prompts of one name the first in order of the other columns is added.
+    """
+    others = [c for c in registry.columns if c != "name"]
+    unknown = (
+        new.join(registry.select("name"), "name", "left_anti")
+        .groupBy("name").agg(F.min(F.struct(*others)).alias("_row"))
+        .select("name", *[F.col("_row")[c].alias(c) for c in others])
+    )
+    return registry.unionByName(unknown)

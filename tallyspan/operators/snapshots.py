@@ -36,11 +36,19 @@ def changed_documents(old: DataFrame, new: DataFrame, key: str, text: str) -> Da
     return snapshot_diff(old, new, key, text).join(new.select(key, text), key, "left")
 
 
-def write_index_batch(changes: DataFrame, path: str, batch_id: int, key: str, text: str) -> None:
-    """Index one batch of changes in its own folder; running it again replaces that folder."""
+def write_index_batch(
+    changes: DataFrame, path: str, batch_id: int, key: str, text: str,
+    sequence: str | None = None,
+) -> None:
+    """Index one batch of changes in its own folder; running it again replaces that folder.
+
+    ``sequence`` orders the changes of one document within a batch (a commit time or number).
+    Without one a batch must hold one change per document.
+    """
+    order = F.col(sequence) if sequence else F.lit(0)
     (
         changes.select(
-            key, "change",
+            key, "change", order.alias("sequence"),
             F.when(F.col("change") != "deleted", word_buckets(F.col(text))).alias("terms"),
         )
         .write.mode("overwrite")
@@ -49,12 +57,15 @@ def write_index_batch(changes: DataFrame, path: str, batch_id: int, key: str, te
 
 
 def read_index(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The index as of the newest batch: the latest entry of each document, deletions gone."""
+    """The index as of the newest batch: the latest entry of each document, deletions gone.
+
+    Entries are ordered by batch and, within one, by their sequence.
+    """
     entry = F.struct("change", "terms")
     return (
         spark.read.parquet(path)
         .groupBy(key)
-        .agg(F.max_by(entry, "batch").alias("_entry"))
+        .agg(F.max_by(entry, F.struct("batch", "sequence")).alias("_entry"))
         .filter(F.col("_entry.change") != "deleted")
         .select(key, F.col("_entry.terms").alias("terms"))
     )

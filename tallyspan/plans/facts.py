@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from tallyspan.operators import facts, lookups, scenarios
+from tallyspan.operators import facts, sessions, lookups, scenarios
 from tallyspan.plans.registry import query
 from tallyspan.sources import configs, loads
 
@@ -17,10 +19,61 @@ def _(t):
     return loads.typed_fact(text_dates)
 
 
-@query("load_documents", sql="SELECT doc_id, length(text) AS chars, lang, source FROM documents")
+def _table_name(t, name):
+    """A table of its own in the checks' schema, which is made if need be."""
+    loads.ensure_schema(t.spark, "tallyspan_checks")
+    loads.ensure_schema(t.spark, "tallyspan_checks")
+    return f"tallyspan_checks.{name}_{uuid.uuid4().hex}"
+
+
+@query("load_documents", sql="""
+SELECT doc_id, text, lang, source, n_chars, sha256(text) AS content_hash FROM documents""")
+def _(t):
+    """Written as a table and read back."""
+    return loads.load_documents(t.read("documents"), _table_name(t, "documents"))
+
+
+@query("load_fact_table", over="f", sql="""
+SELECT CAST(disaster_id AS VARCHAR) AS disaster_id, CAST(year AS INTEGER) AS year, state,
+  disaster_type, severity, CAST(affected_population AS BIGINT) AS affected_population,
+  CAST(federal_aid_amount AS DOUBLE) AS federal_aid_amount, declaration_date,
+  'facts about orders' AS comment FROM f""")
+def _(t):
+    """Schema, typed table and comment, all read back."""
+    name = _table_name(t, "fact")
+    loaded = loads.load_fact(t.fact, name)
+    loads.comment_table(t.spark, name, "facts about orders")
+    comment = t.spark.catalog.getTable(name).description
+    return loaded.withColumn("comment", F.lit(comment))
+
+
+@query("read_log_table", over="p", sql="""
+SELECT request_id, status_code, requester, total_tokens FROM p""")
 def _(t):
-    return loads.versioned_documents(t.read("documents")).select(
-        "doc_id", F.length("text").alias("chars"), "lang", "source"
+    name = f"log-{uuid.uuid4().hex}_payload"
+    t.calls.createOrReplaceTempView(f"`{name}`")
+    return loads.read_log_table(t.spark, name).select(
+        "request_id", "status_code", "requester", "total_tokens"
+    )
+
+
+@query("append_traces", over="t", sql="""
+SELECT CAST(TIMESTAMP '2024-01-01' + to_days(CAST(turn % 3 AS INTEGER)) AS DATE) AS day,
+  2 * count(*) AS traces, count(DISTINCT session_id) AS sessions FROM tr GROUP BY 1""")
+def _(t):
+    """Every request twice, in two appends, counted by the days the table is divided in."""
+    pairs = sessions.turn_pairs(t.conversation)
+    rows = pairs.select(
+        F.concat("session_id", F.lit("/"), "turn").alias("trace_id"), "session_id",
+        (F.lit("2024-01-01").cast("timestamp_ntz")
+         + F.make_dt_interval((F.col("turn") % 3).cast("int"))).alias("request_time"),
+        "request", "response",
+    )
+    name = _table_name(t, "traces")
+    loads.append_traces(rows, name)
+    loads.append_traces(rows, name)
+    return t.spark.table(name).groupBy("day").agg(
+        F.count("*").alias("traces"), F.count_distinct("session_id").alias("sessions")
     )
 
 
@@ -53,9 +106,14 @@ def _(t):
     return facts.distinct_entities(t.fact, ["state", "year"])
 
 
-@query("approx_entities")
+@query("approx_entities", over="f", sql="""
+SELECT state, count(DISTINCT disaster_id) AS disasters, true AS close FROM f GROUP BY 1""")
 def _(t):
-    return facts.approx_entities(t.fact, ["state"])
+    # The estimate held against the exact number: within 10 %, five standard errors.
+    exact = facts.distinct_entities(t.fact, ["state"])
+    guess = facts.approx_entities(t.fact, ["state"]).withColumnRenamed("disasters", "guess")
+    near = F.abs(F.col("guess") - F.col("disasters")) <= 0.1 * F.col("disasters")
+    return exact.join(guess, "state").select("state", "disasters", near.alias("close"))
 
 
 @query("sum_by_category", over="f", sql="""

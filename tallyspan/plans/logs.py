@@ -172,6 +172,16 @@ def _(t):
     return logs.latency_percentiles(t.calls)
 
 
+@query("latency_fractions", over="p", sql="""
+SELECT provider, count(*) AS n, round(quantile_cont(latency_ms / 1000, 0.5), 6) AS p50,
+  round(quantile_cont(latency_ms / 1000, 0.95), 6) AS p95 FROM p GROUP BY 1""")
+def _(t):
+    """Percentiles of seconds with decimals."""
+    rows = t.calls.withColumn("latency_s", F.col("latency_ms") / 1000)
+    found = logs.exact_percentiles(rows, ["provider"], "latency_s", {"p50": 0.5, "p95": 0.95})
+    return found.withColumns({q: F.round(q, 6) for q in ("p50", "p95")})
+
+
 @query("attribution", over="p", sql="""
 SELECT agent, provider, endpoint_name AS model_service, count(*) AS requests,
   CAST(sum(total_tokens) AS BIGINT) AS total_tokens

@@ -476,17 +476,18 @@ def _(t):
 
 
 def _answered(t):
-    """Questions with the first three words of the request as the expected facts."""
-    first_words = F.slice(rules.words(F.col("request")), 1, 3)
+    """Questions with all words of the request as the facts an answer should hold."""
+    all_words = F.array_sort(F.array_distinct(rules.words(F.col("request"))))
     return sessions.turn_pairs(t.conversation).filter(F.col("response").isNotNull()).select(
         F.concat("session_id", F.lit("/"), "turn").alias("question_id"), "request",
-        first_words.alias("expected_facts"), F.col("response").alias("answer"),
+        all_words.alias("expected_facts"), F.col("response").alias("answer"),
     )
 
 
 _EVAL = f"""+
 ev AS (SELECT session_id || '/' || turn AS question_id, request, response AS answer,
-    ({words_sql('request')})[1:3] AS facts FROM tr WHERE response IS NOT NULL)
+    list_sort(list_distinct({words_sql('request')})) AS facts
+  FROM tr WHERE response IS NOT NULL)
 """
 
 
@@ -673,12 +674,20 @@ def _(t):
 
 
 @query("row_scorer", over="t", sql=_EVAL + """
-SELECT question_id, CAST(contains(lower(answer), facts[1]) AS DOUBLE) AS score FROM ev""")
+SELECT question_id, CASE WHEN len(facts) = 0 THEN 1.0 ELSE round(
+  len(list_filter(facts, lambda x: contains(lower(answer), x))) / len(facts), 6) END AS score
+FROM ev""")
 def _(t):
-    scorer = judges.row_scorer(lambda q, a, e: e in a.lower())
+    def share(question, answer, expected):
+        facts = [fact for fact in expected.split("; ") if fact]
+        held = sum(fact in answer.lower() for fact in facts)
+        return held / len(facts) if facts else 1.0
+
+    scorer = judges.row_scorer(share)
     return _answered(t).select(
         "question_id",
-        scorer("request", "answer", F.col("expected_facts")[0]).alias("score"),
+        F.round(scorer("request", "answer", F.array_join("expected_facts", "; ")), 6)
+        .alias("score"),
     )
 
 

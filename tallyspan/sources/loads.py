@@ -49,7 +49,7 @@ def versioned_documents(df: DataFrame) -> DataFrame:
     key = F.when(
         F.col("doc_id").isNull(), F.raise_error(F.lit("doc_id must not be null"))
     ).otherwise(F.col("doc_id"))
-    return df.withColumn("doc_id", key).withColumn("content_hash", F.xxhash64("text"))
+    return df.withColumn("doc_id", key).withColumn("content_hash", F.sha2("text", 256))
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspan.operators.ordered import (
-    first_n, next_value, number_rows, running_sums, spread_join,
+    first_n, next_value, number_rows, running_sums,
 )
 
 
@@ -112,11 +112,14 @@ def test_first_n_on_both_sides_of_the_group_limit(spark, frame, rows, threshold)
     assert {(r.key, r.turn, r._rank) for r in got} == want
 
 
-def test_spread_join_keeps_every_row_once(spark, frame, rows):
-    side = spark.createDataFrame([("hot", "H"), ("b", "B"), ("x", "X")], "key string, label string")
-    left = spread_join(frame, side, ["key"], "left", slots=7, rows=0)
-    assert "_slot" in left._jdf.queryExecution().executedPlan().toString()
-    assert left.count() == len(rows)
-    assert left.filter("label = 'H'").count() == sum(r[0] == "hot" for r in rows)
-    inner = spread_join(frame, side, ["key"], "inner", slots=7, rows=0)
-    assert inner.count() == sum(r[0] in ("hot", "b") for r in rows)
+def test_ties_give_the_same_rows_both_ways(spark):
+    df = spark.createDataFrame([("k", 1, n) for n in range(40)], "key string, turn int, n int")
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(name)
+    found = []
+    for threshold in (1000, 2):
+        spark.conf.set(name, threshold)
+        rows = first_n(df.repartition(3), ["key"], [F.col("turn")], 5).collect()
+        found.append({(r.n, r._rank) for r in rows})
+    spark.conf.set(name, before)
+    assert found[0] == found[1] and len(found[0]) == 5

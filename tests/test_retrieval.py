@@ -171,3 +171,22 @@ def test_snapshot_diff_and_index(spark, tmp_path):
                  for r in snapshots.read_index(spark, f"{path}/entries", "doc_id").collect()}
         want = {r.doc_id: len((r.text or "").split()) for r in after.collect()}
         assert index == want
+
+
+def test_changes_of_one_document_in_a_batch(spark, tmp_path):
+    kind = "doc_id bigint, change string, text string, at bigint"
+    rows = [(1, "inserted", "a b", 1), (1, "deleted", None, 2),
+            (2, "deleted", None, 1), (2, "inserted", "c", 2), (3, "updated", "x y z", 5)]
+    for n, order in enumerate((rows, rows[::-1])):
+        path = str(tmp_path / f"index{n}")
+        batch = spark.createDataFrame(order, kind)
+        snapshots.write_index_batch(batch, path, 0, "doc_id", "text", sequence="at")
+        got = {r.doc_id: len(r.terms) for r in snapshots.read_index(spark, path, "doc_id").collect()}
+        assert got == {2: 1, 3: 3}
+
+
+def test_long_texts_are_not_shortened(spark):
+    known = spark.createDataFrame([("Texas",), ("Ohio",)], "name string")
+    df = spark.createDataFrame([("x" * 20_000,), ("Texs",), (None,)], "t string")
+    got = {r.matched for r in entity_match(df, "t", known, "name").collect()}
+    assert got == {None, "Texas"}

@@ -83,9 +83,6 @@ def test_prompt_versions(spark):
     more = spark.createDataFrame([("a", 9, "no", "m"), ("k", 1, "yes", "m")], schemas.PROMPT)
     assert {r.name for r in sessions.register_if_missing(registry, more).collect()} == {
         "a", "b", "k"}
-    names = spark.createDataFrame([("p",)], "n string")
-    full = names.select(sessions.qualified(F.col("n"), "cat", "sch")).first()[0]
-    assert full == "cat.sch.p"
 
 
 def test_search_traces(spark):
@@ -200,3 +197,25 @@ def test_row_scores(spark):
     rules = [("has_number", r"[0-9]"), ("names_protocol", "protocol")]
     held = judges.score_guidelines(df, "a", rules).first()
     assert (held.has_number, held.names_protocol, held.all_hold) == (True, False, False)
+
+
+def test_a_message_without_text_keeps_its_line(spark):
+    rows = [("s", 0, "user", "a"), ("s", 1, "assistant", None), ("s", 2, "user", "b")]
+    conv = spark.createDataFrame(rows, "session_id string, turn bigint, role string, text string")
+    row = sessions.render_transcript(conv, sessions.PLACEHOLDER).first()
+    assert row.transcript == "user: a\nassistant: \nuser: b"
+
+
+def test_repeated_spans_count_once(spark):
+    rows = [("t", "1", None), ("t", "2", "1"), ("t", "3", "2"), ("t", "4", "3")]
+    spans = spark.createDataFrame(rows + rows[1:3], "trace_id string, span_id string, parent_id string")
+    got = sorted((r.span_id, r.depth, r.root) for r in sessions.span_tree(spans).collect())
+    assert got == [("1", 0, "1"), ("2", 1, "1"), ("3", 2, "1"), ("4", 3, "1")]
+
+
+def test_a_new_prompt_named_twice_is_added_once(spark):
+    kind = "name string, version int, template string, commit_message string"
+    known = spark.createDataFrame([("a", 1, "x", "m")], kind)
+    new = spark.createDataFrame([("b", 1, "z", "m"), ("b", 1, "y", "m"), ("a", 1, "q", "m")], kind)
+    got = sorted(tuple(r) for r in sessions.register_if_missing(known, new).collect())
+    assert got == [("a", 1, "x", "m"), ("b", 1, "y", "m")]
