@@ -23,23 +23,24 @@ from tallyspan.storage import settle
 
 # Questions scored per pass over the documents. More questions take more passes.
 QUESTION_SLICE = 512
-# Hash buckets of words: the size of the weight table every task holds (2 MB).
-WORD_BUCKETS = 1 << 18
 # Cells (64 MB) of the question weights a task holds; longer questions take more passes.
 TABLE_CELLS = 1 << 23
+# Documents that are laid out side by side for one matrix product.
+DOCS_AT_ONCE = 256
 # Scores are compared at this precision, so that equal texts tie wherever they lie.
 SCORE_DIGITS = 9
 
 
-def _slices(questions: DataFrame, key: str, size: int) -> Iterator[list]:
-    """The questions in collected slices of about ``size`` rows."""
-    total = questions.count()
-    parts = max(1, math.ceil(total / size))
-    for part in range(parts):
-        mine = F.pmod(F.xxhash64(key), F.lit(parts)) == part
-        rows = questions.filter(mine).orderBy(key).collect()
-        if rows:
+def _slices(questions: DataFrame, size: int) -> Iterator[list]:
+    """The questions in runs of ``size`` rows, fetched one run at a time."""
+    rows = []
+    for row in questions.toLocalIterator():
+        rows.append(row)
+        if len(rows) == size:
             yield rows
+            rows = []
+    if rows:
+        yield rows
 
 
 class _Best:
@@ -134,19 +135,25 @@ def question_doc_topk(
 ) -> DataFrame:
     """Exact best k documents for every question by cosine: ``(question, doc, score, rank)``."""
     kind = dict(questions.dtypes)[question_key]
-    wanted = questions.select(question_key, question_vector)
+    wanted = questions.select(question_key, question_vector).filter(
+        F.col(question_vector).isNotNull())
     found = None
-    for rows in _slices(wanted, question_key, slice_size):
+    for rows in _slices(wanted, slice_size):
         ids, targets = [r[0] for r in rows], [r[1] for r in rows]
         part = _vector_scan(docs, doc_key, vector, question_key, kind, ids, targets, k)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = docs.sparkSession.createDataFrame(
-            [], f"`{question_key}` {kind}, `{doc_key}` {dict(docs.dtypes)[doc_key]}, score double"
-        )
+        found = _nothing(docs, doc_key, question_key, kind)
     return _ranked(found, question_key, doc_key, k)
 
 
+def _nothing(docs: DataFrame, doc_key: str, question_key: str, question_kind: str) -> DataFrame:
+    doc_kind = dict(docs.dtypes)[doc_key]
+    return docs.sparkSession.createDataFrame(
+        [], f"`{question_key}` {question_kind}, `{doc_key}` {doc_kind}, score double"
+    )
+
+
 def similarity_topk(
     docs: DataFrame, query: Sequence[float], k: int = 3, doc_key: str = "doc_id",
     vector: str = "embedding",
@@ -207,45 +214,52 @@ def similarity_topk_lsh(
     table: DataFrame, query: Sequence[float], k: int = 3, doc_key: str = "doc_id",
     vector: str = "embedding", tables: int = 6, bits: int = 6, seed: int = 7,
 ) -> DataFrame:
-    """Approximate best k: exact scores of the documents sharing a bucket with the query,
-    or lying one plane away from one. Too few of them -> all documents are scored."""
+    """Approximate best k: exact scores of the documents sharing a bucket with the query.
+
+    Buckets one plane away are looked into as well, and further ones, a plane at a time, while
+    fewer than k documents were found. ``buckets`` says how many were looked into.
+    """
     target = np.asarray([list(query)], dtype=np.float64)
-    own = _codes(target, tables, bits, seed)[0]
-    probes = sorted({int(c) for c in own} | {int(c) ^ (1 << b) for c in own for b in range(bits)})
-    near = table.filter(F.col("bucket").isin(probes))
-    if near.select(doc_key).distinct().limit(k).count() < k:
-        near = table
+    probes = {int(c) for c in _codes(target, tables, bits, seed)[0]}
+    for _ in range(bits):
+        probes |= {c ^ (1 << b) for c in probes for b in range(bits)}
+        near = table.filter(F.col("bucket").isin(sorted(probes)))
+        if near.select(doc_key).distinct().limit(k).count() == k:
+            break
     # A document can turn up once per hash table.
     found = _vector_scan(near, doc_key, vector, "query", "int", [0], target.tolist(), k * tables)
-    return _ranked(found.dropDuplicates(["query", doc_key]), "query", doc_key, k).drop("query")
+    ranked = _ranked(found.dropDuplicates(["query", doc_key]), "query", doc_key, k).drop("query")
+    return ranked.withColumn("buckets", F.lit(len(probes)))
 
 
 # -- search by words --------------------------------------------------------
 
 
-def word_buckets(text: Column) -> Column:
-    """Every word of the whole text as the number of its hash bucket."""
-    return F.transform(
-        words(text), lambda w: F.pmod(F.xxhash64(w), F.lit(WORD_BUCKETS)).cast("int")
-    )
+def word_keys(text: Column) -> Column:
+    """Every word of the whole text as its 64-bit key."""
+    return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _word_weights(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency per bucket; at most WORD_BUCKETS rows reach the driver."""
-    seen = docs.select(F.explode(F.array_distinct("_words")).alias("b"))
-    rows = seen.groupBy("b").agg(F.count("*").alias("n")).collect()
-    weights = np.full(WORD_BUCKETS, math.log(docs.count() + 1.0))
-    for b, n in rows:
-        weights[b] -= math.log(n + 1.0)
-    return weights
+def _word_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
+    return (
+        rows.filter(F.col(text).isNotNull())
+        .select(F.col(key).alias("_id"), F.explode(word_keys(F.col(text))).alias("_word"))
+        .groupBy("_id", "_word").agg(F.count("*").alias("_n"))
+    )
 
 
-def _weighted(buckets: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets and their weights, scaled to length one."""
-    ids, counts = np.unique(buckets, return_counts=True)
-    values = counts * weights[ids]
-    norm = np.linalg.norm(values)
-    return ids, values / norm if norm > 0 else values
+def _word_vectors(counts: DataFrame, weights: DataFrame, rest: float) -> DataFrame:
+    """``(_id, _words, _values)`` of length one; words no document has weigh ``rest``."""
+    weighed = counts.join(weights, "_word", "left").select(
+        "_id", "_word", (F.col("_n") * F.coalesce("_weight", F.lit(rest))).alias("_value")
+    )
+    gathered = weighed.groupBy("_id").agg(
+        F.collect_list("_word").alias("_words"), F.collect_list("_value").alias("_values"),
+        F.sqrt(F.sum(F.col("_value") * F.col("_value"))).alias("_norm"),
+    )
+    return gathered.filter("_norm > 0").select(
+        "_id", "_words", F.transform("_values", lambda v: v / F.col("_norm")).alias("_values")
+    )
 
 
 def text_topk(
@@ -253,23 +267,37 @@ def text_topk(
     question_text: str = "question", doc_key: str = "doc_id", text: str = "text",
     slice_size: int = 128,
 ) -> DataFrame:
-    """Best k documents for every question by the cosine of TF-IDF weighted words."""
+    """Best k documents for every question by the cosine of TF-IDF weighted words.
+
+    Weights are joined on the words themselves. Questions and documents without words, or null, find
+    and are nothing.
+    """
     kind = dict(questions.dtypes)[question_key]
-    # Split into words once: the weights and every slice of questions read it again.
-    coded = settle(docs.select(doc_key, word_buckets(F.col(text)).alias("_words")), "words")
-    weights = _word_weights(coded)
-    asked = questions.select(question_key, word_buckets(F.col(question_text)).alias("_words"))
+    counts = settle(_word_counts(docs, doc_key, text), "word-counts")
+    total = docs.count()
+    weights = counts.groupBy("_word").agg(
+        (F.log(F.lit(total + 1.0)) - F.log(F.count("*") + F.lit(1.0))).alias("_weight")
+    )
+    weights = settle(weights, "word-weights")
+    # Laid out once: every slice of questions reads it again.
+    held = settle(_word_vectors(counts, weights, 0.0), "word-vectors").withColumnRenamed(
+        "_id", doc_key)
+    asked = _word_vectors(
+        _word_counts(questions, question_key, question_text), weights, math.log(total + 1.0)
+    )
     found = None
-    for rows in _slices(asked, question_key, slice_size):
-        terms = [_weighted(np.asarray(r[1], dtype=np.int64), weights) for r in rows]
+    for rows in _slices(asked, slice_size):
+        terms = [(np.asarray(r[1], dtype=np.int64), np.asarray(r[2])) for r in rows]
         for lo, hi in _fitting([len(ids) for ids, _ in terms]):
             known = np.unique(np.concatenate([ids for ids, _ in terms[lo:hi]]))
             table = np.zeros((len(known), hi - lo))
             for q, (ids, values) in enumerate(terms[lo:hi]):
                 table[np.searchsorted(known, ids), q] = values
             names = [r[0] for r in rows[lo:hi]]
-            part = _word_scan(coded, doc_key, question_key, kind, names, k, weights, known, table)
+            part = _word_scan(held, doc_key, question_key, kind, names, k, known, table)
             found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = _nothing(docs, doc_key, question_key, kind)
     return _ranked(found.filter(F.col("score") > 0), question_key, doc_key, k)
 
 
@@ -284,24 +312,30 @@ def _fitting(sizes: list[int]) -> Iterator[tuple[int, int]]:
     yield start, len(sizes)
 
 
-def _word_scan(docs, doc_key, question_key, kind, ids, k, weights, known, table):
-    shared = docs.sparkSession.sparkContext.broadcast((weights, known, table))
+def _word_scan(held, doc_key, question_key, kind, ids, k, known, table):
+    # At most TABLE_CELLS numbers, or one question.
+    shared = held.sparkSession.sparkContext.broadcast((known, table))
 
     def score(batch: pa.RecordBatch):
-        weights, known, table = shared.value
+        known, table = shared.value
         doc_ids = batch.column(0).to_pylist()
-        lists = batch.column(1)
+        lists, values = batch.column(1), batch.column(2)
         ends = lists.offsets.to_numpy()
-        flat = lists.values.to_numpy(zero_copy_only=False)
-        scores = np.zeros((len(doc_ids), table.shape[1]))
-        for i in range(len(doc_ids)):
-            ids, values = _weighted(flat[ends[i]:ends[i + 1]], weights)
-            at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
-            hit = known[at] == ids
-            scores[i] = values[hit] @ table[at[hit]]
-        yield scores, doc_ids
-
-    return _scan(docs, doc_key, question_key, kind, ids, k, score)
+        words_of = lists.values.to_numpy(zero_copy_only=False)
+        weight_of = values.values.to_numpy(zero_copy_only=False)
+        step = max(1, min(DOCS_AT_ONCE, TABLE_CELLS // max(1, len(known))))
+        for at in range(0, len(doc_ids), step):
+            top = min(at + step, len(doc_ids))
+            flat = words_of[ends[at]:ends[top]]
+            place = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+            hit = known[place] == flat
+            row = np.repeat(np.arange(top - at), np.diff(ends[at:top + 1]))
+            laid = np.zeros((top - at, len(known)))
+            laid[row[hit], place[hit]] = weight_of[ends[at]:ends[top]][hit]
+            yield laid @ table, doc_ids[at:top]
+
+    narrow = held.select(doc_key, "_words", "_values")
+    return _scan(narrow, doc_key, question_key, kind, ids, k, score)
 
 
 def data_plus_docs(summary: DataFrame, hits: DataFrame, topic: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.operators.retrieval import word_buckets
+from tallyspan.operators.retrieval import word_keys
 
 
 def content_hash(*columns: str) -> Column:
@@ -49,7 +49,7 @@ def write_index_batch(
     (
         changes.select(
             key, "change", order.alias("sequence"),
-            F.when(F.col("change") != "deleted", word_buckets(F.col(text))).alias("terms"),
+            F.when(F.col("change") != "deleted", word_keys(F.col(text))).alias("terms"),
         )
         .write.mode("overwrite")
         .parquet(f"{path}/batch={batch_id}")

@@ -75,7 +75,26 @@ def _(t):
     )
 
 
-@query("text_topk")
+def _counted_sql(source, key):
+    return f"""SELECT id, w, count(*) AS n FROM (
+      SELECT {key} AS id, unnest({words_sql('text')}) AS w FROM {source}) GROUP BY 1, 2"""
+
+
+@query("text_topk", sql=f"""
+WITH dc AS ({_counted_sql('documents', 'doc_id')}), qc AS ({_counted_sql('benchmark', 'item_id')}),
+t AS (SELECT count(*) AS total FROM documents),
+idf AS (SELECT w, ln(any_value(total) + 1.0) - ln(count(*) + 1.0) AS g FROM dc, t GROUP BY 1),
+dw AS (SELECT id, w, n * g AS x FROM dc JOIN idf USING (w)),
+qw AS (SELECT id, w, n * coalesce(g, ln(total + 1.0)) AS x FROM qc LEFT JOIN idf USING (w), t),
+dn AS (SELECT id, sqrt(sum(x * x)) AS norm FROM dw GROUP BY 1),
+qn AS (SELECT id, sqrt(sum(x * x)) AS norm FROM qw GROUP BY 1),
+s AS (SELECT q.id AS question_id, d.id AS doc_id,
+        round(sum(q.x * d.x) / any_value(qn.norm) / any_value(dn.norm), 9) AS score
+      FROM qw q JOIN dw d USING (w) JOIN qn ON qn.id = q.id JOIN dn ON dn.id = d.id
+      WHERE qn.norm > 0 AND dn.norm > 0 GROUP BY 1, 2)
+SELECT question_id, doc_id, round(score, 6) AS score, CAST(row_number() OVER (
+  PARTITION BY question_id ORDER BY s.score DESC, doc_id) AS INTEGER) AS rank
+FROM s WHERE score > 0 QUALIFY rank <= 3""")
 def _(t):
     asked = t.read("benchmark").select(
         F.col("item_id").alias("question_id"), F.col("text").alias("question")

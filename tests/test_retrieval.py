@@ -98,6 +98,19 @@ def brute_text(docs, questions, k):
     return out
 
 
+def test_questions_without_words_find_nothing(spark):
+    kind = "question_id bigint, question string"
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (4, "c")], "doc_id bigint, text string")
+    none = retrieval.text_topk(spark.createDataFrame([], kind), docs, 2)
+    assert none.count() == 0
+    asked = spark.createDataFrame([(1, None), (2, ""), (3, "zzz"), (4, "b c")], kind)
+    got = [(r.question_id, r.doc_id) for r in retrieval.text_topk(asked, docs, 2).collect()]
+    assert sorted(got) == [(4, 1), (4, 4)]
+    empty = spark.createDataFrame([], "question_id bigint, question array<double>")
+    vectors = spark.createDataFrame([(1, [1.0])], "doc_id bigint, embedding array<double>")
+    assert retrieval.question_doc_topk(empty, vectors, 2).count() == 0
+
+
 @pytest.mark.parametrize("slice_size", [128, 2])
 def test_text_topk(spark, slice_size):
     rng = random.Random(1)
