@@ -27,4 +27,4 @@ class PiiFinder:
 
 
 def register(spark: SparkSession, name: str = "find_pii") -> None:
-    spark.udtf.register(name, udtf(PiiFinder, returnType="kind string, value string"))
+    spark.udtf.register(name, udtf(PiiFinder, returnType="kind string, value string", useArrow=True))

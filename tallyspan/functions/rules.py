@@ -39,21 +39,25 @@ def may_hold(text: Column, kind: str) -> Column:
     return text.contains(_MARKS[kind]) if kind in _MARKS else text.rlike("[0-9]")
 
 
-# Phrases of instruction override, jailbreak and prompt leaking.
+# Wordings of instruction override, jailbreak, prompt leaking and malware requests: an act, and
+# within a few words what it is aimed at.
 INJECTION_RULES = [
-    ("override", r"ignore (all |your )?(previous|prior|safety) (instructions|guidelines)"),
-    ("override", r"disregard (your|the) (system prompt|instructions)"),
-    ("jailbreak", r"you are now [a-z]+ \(do anything now\)"),
-    ("jailbreak", r"freed from all restrictions|without refusal|developer mode"),
-    ("prompt_leak", r"(print|reveal|show) (your |the )?(full )?system prompt"),
-    ("malware", r"keylogger|ransomware|exfiltrat"),
+    ("override", r"\b(ignore|disregard|forget|override|bypass)\b.{0,40}"
+                 r"\b(instructions?|rules|guidelines|prompts?|polic(y|ies))\b"),
+    ("jailbreak", r"\b(you are|act as|pretend to be)\b.{0,60}"
+                  r"\b(anything|unrestricted|unfiltered|no (limits|restrictions|rules))\b"),
+    ("jailbreak", r"\b(developer|god) mode\b|\bwithout (any )?(restrictions|limits|refus[a-z]+)\b"),
+    ("prompt_leak", r"\b(print|reveal|show|repeat|output|tell)\b.{0,40}"
+                    r"\b(system|hidden|initial) (prompt|message|instructions)\b"),
+    ("malware", r"\b(write|create|build|make)\b.{0,40}"
+                r"\b(malware|ransomware|keyloggers?|virus|trojan)\b"),
 ]
 
-# Unsafe-content terms.
+# Common words of hate, violence and abuse.
 UNSAFE_RULES = [
-    ("hate", r"racist|slurs?|hate speech"),
-    ("violence", r"torture|human suffering|graphic violen"),
-    ("abuse", r"kill yourself|worthless idiot"),
+    ("hate", r"\b(racist|hateful|bigot(ed)?|slurs?)\b"),
+    ("violence", r"\b(tortur[a-z]*|massacre|behead[a-z]*|graphic violence)\b"),
+    ("abuse", r"\b(idiots?|morons?|scum|worthless|pathetic|losers?|disgusting|stupid|trash|clowns?)\b"),
 ]
 
 # How a model words a refusal.
