@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions import rules
 from tallyspan.operators.ordered import next_value, running_sums
-from tallyspan.operators.sessions import PART_TURNS, PLACEHOLDER, session_rollup, spoken
+from tallyspan.operators.sessions import (
+    PART_TURNS, PLACEHOLDER, render_transcript, session_rollup, spoken,
+)
 
 # The bands and labels of the built-in judges.
 RETENTION = ("excellent", "good", "fair", "poor")
@@ -120,6 +122,35 @@ def judge_sessions(
     )
 
 
+def judge_transcripts(
+    conv: DataFrame, name: str, template: str,
+    ask: Callable[[str], tuple[bool, str]], part_turns: int = PART_TURNS,
+) -> DataFrame:
+    """``(session_id, judge, value, reason)`` of a judge that reads the filled template.
+
+    ``ask`` gets the template with a part's transcript in its place and answers whether the part
+    holds up, and why. A session holds up if all its parts do; the reason is that of its
+    first part that does not, or else of its last one.
+    """
+    if PLACEHOLDER not in template:
+        raise ValueError(f"not session-level, the template lacks {PLACEHOLDER}: {name}")
+
+    @F.pandas_udf("good boolean, reason string")
+    def judged(prompts: pd.Series) -> pd.DataFrame:
+        answers = [ask(prompt) for prompt in prompts]
+        return pd.DataFrame(answers, columns=["good", "reason"])
+
+    parts = render_transcript(conv, template, part_turns).select(
+        "session_id", "part", judged("transcript").alias("v")
+    )
+    bad = F.when(~F.col("v.good"), F.col("part"))
+    return parts.groupBy("session_id").agg(
+        F.lit(name).alias("judge"),
+        F.bool_and("v.good").cast("string").alias("value"),
+        F.coalesce(F.min_by("v.reason", bad), F.max_by("v.reason", "part")).alias("reason"),
+    )
+
+
 def evaluate_sessions(conv: DataFrame, judges: Sequence[SessionJudge]) -> DataFrame:
     """Every session with its number of traces and each judge's value and reason."""
     assessed = judge_sessions(conv, judges).withColumns(

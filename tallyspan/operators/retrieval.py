@@ -265,15 +265,21 @@ def _word_vectors(counts: DataFrame, weights: DataFrame, rest: float) -> DataFra
 def text_topk(
     questions: DataFrame, docs: DataFrame, k: int = 3, question_key: str = "question_id",
     question_text: str = "question", doc_key: str = "doc_id", text: str = "text",
-    slice_size: int = 128,
+    slice_size: int = 128, terms: str | None = None,
 ) -> DataFrame:
     """Best k documents for every question by the cosine of TF-IDF weighted words.
 
     Weights are joined on the words themselves. Questions and documents without words, or null, find
-    and are nothing.
+    and are nothing. ``terms`` names a column that holds the documents' words as keys already, as the
+    entries of an index do; ``text`` is not read then.
     """
     kind = dict(questions.dtypes)[question_key]
-    counts = settle(_word_counts(docs, doc_key, text), "word-counts")
+    if terms is None:
+        keyed = _word_counts(docs, doc_key, text)
+    else:
+        keyed = docs.select(F.col(doc_key).alias("_id"), F.explode(terms).alias("_word")).groupBy(
+            "_id", "_word").agg(F.count("*").alias("_n"))
+    counts = settle(keyed, "word-counts")
     total = docs.count()
     weights = counts.groupBy("_word").agg(
         (F.log(F.lit(total + 1.0)) - F.log(F.count("*") + F.lit(1.0))).alias("_weight")
@@ -338,6 +344,18 @@ def _word_scan(held, doc_key, question_key, kind, ids, k, known, table):
     return _scan(narrow, doc_key, question_key, kind, ids, k, score)
 
 
+def answers_from_search(
+    questions: DataFrame, docs: DataFrame, question_key: str = "question_id",
+    question_text: str = "question", doc_key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """A predict function that answers with the best document found; null if there is none."""
+    best = text_topk(questions, docs, 1, question_key, question_text, doc_key, text)
+    found = best.join(docs.select(doc_key, F.col(text).alias("answer")), doc_key).select(
+        question_key, doc_key, "answer"
+    )
+    return questions.select(question_key, question_text).join(found, question_key, "left")
+
+
 def data_plus_docs(summary: DataFrame, hits: DataFrame, topic: str) -> DataFrame:
     """Questions needing both: each topic's figures next to its best documents."""
     return summary.join(hits, topic)

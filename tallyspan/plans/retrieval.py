@@ -80,9 +80,11 @@ def _counted_sql(source, key):
       SELECT {key} AS id, unnest({words_sql('text')}) AS w FROM {source}) GROUP BY 1, 2"""
 
 
-@query("text_topk", sql=f"""
-WITH dc AS ({_counted_sql('documents', 'doc_id')}), qc AS ({_counted_sql('benchmark', 'item_id')}),
-t AS (SELECT count(*) AS total FROM documents),
+def _searched(head, source, last, k=3):
+    """SQL of the best k documents of ``source`` for every benchmark item, as relation ``best``."""
+    return f"""{head}
+dc AS ({_counted_sql(source, 'doc_id')}), qc AS ({_counted_sql('benchmark', 'item_id')}),
+t AS (SELECT count(*) AS total FROM {source}),
 idf AS (SELECT w, ln(any_value(total) + 1.0) - ln(count(*) + 1.0) AS g FROM dc, t GROUP BY 1),
 dw AS (SELECT id, w, n * g AS x FROM dc JOIN idf USING (w)),
 qw AS (SELECT id, w, n * coalesce(g, ln(total + 1.0)) AS x FROM qc LEFT JOIN idf USING (w), t),
@@ -91,10 +93,14 @@ qn AS (SELECT id, sqrt(sum(x * x)) AS norm FROM qw GROUP BY 1),
 s AS (SELECT q.id AS question_id, d.id AS doc_id,
         round(sum(q.x * d.x) / any_value(qn.norm) / any_value(dn.norm), 9) AS score
       FROM qw q JOIN dw d USING (w) JOIN qn ON qn.id = q.id JOIN dn ON dn.id = d.id
-      WHERE qn.norm > 0 AND dn.norm > 0 GROUP BY 1, 2)
-SELECT question_id, doc_id, round(score, 6) AS score, CAST(row_number() OVER (
-  PARTITION BY question_id ORDER BY s.score DESC, doc_id) AS INTEGER) AS rank
-FROM s WHERE score > 0 QUALIFY rank <= 3""")
+      WHERE qn.norm > 0 AND dn.norm > 0 GROUP BY 1, 2),
+best AS (SELECT question_id, doc_id, round(score, 6) AS score, CAST(row_number() OVER (
+    PARTITION BY question_id ORDER BY s.score DESC, doc_id) AS INTEGER) AS rank
+  FROM s WHERE score > 0 QUALIFY rank <= {k})
+{last}"""
+
+
+@query("text_topk", sql=_searched("WITH", "documents", "SELECT * FROM best"))
 def _(t):
     asked = t.read("benchmark").select(
         F.col("item_id").alias("question_id"), F.col("text").alias("question")
@@ -149,9 +155,7 @@ def _(t):
     return snapshots.snapshot_diff(t.read("documents"), _cleaned(t), "doc_id", "text")
 
 
-@query("incremental_index", sql=_CLEANED + f"""
-SELECT doc_id, CAST(len({words_sql('text')}) AS INTEGER) AS words FROM new""")
-def _(t):
+def _index(t):
     """The documents are indexed, then the changes up to the cleaned snapshot."""
     path = shared_folder(t.spark, "index")
     old = t.read("documents").select("doc_id", "text")
@@ -161,6 +165,30 @@ def _(t):
         arrived.write.mode("append").parquet(f"{path}/changes")
         source = t.spark.readStream.schema(everything.schema).parquet(f"{path}/changes")
         incremental_index(source, path).awaitTermination()
-    return snapshots.read_index(t.spark, f"{path}/entries", "doc_id").select(
-        "doc_id", F.size("terms").alias("words")
+    return snapshots.read_index(t.spark, f"{path}/entries", "doc_id")
+
+
+@query("incremental_index", sql=_CLEANED + f"""
+SELECT doc_id, CAST(len({words_sql('text')}) AS INTEGER) AS words FROM new""")
+def _(t):
+    return _index(t).select("doc_id", F.size("terms").alias("words"))
+
+
+@query("index_search", sql=_searched(_CLEANED.rstrip() + ",", "new", "SELECT * FROM best"))
+def _(t):
+    """Benchmark items searched in the index as it stands after two syncs."""
+    index = _index(t).withColumnRenamed("terms", "_terms")
+    asked = t.read("benchmark").select(
+        F.col("item_id").alias("question_id"), F.col("text").alias("question")
+    )
+    return _rounded(retrieval.text_topk(asked, index, 3, terms="_terms"))
+
+
+@query("predict_by_search", sql=_searched("WITH", "documents", """
+SELECT item_id AS question_id, doc_id, d.text AS answer
+FROM benchmark b LEFT JOIN best ON question_id = item_id LEFT JOIN documents d USING (doc_id)""", 1))
+def _(t):
+    asked = t.read("benchmark").select(
+        F.col("item_id").alias("question_id"), F.col("text").alias("question")
     )
+    return retrieval.answers_from_search(asked, t.read("documents")).drop("question")

@@ -679,6 +679,28 @@ def _(t):
     return judges.judge_sessions(t.conversation, [ANSWERED])
 
 
+def _reads(prompt):
+    """Holds up if an assistant speaks in the transcript it was given."""
+    return "\nassistant: " in prompt, f"{len(prompt)} characters"
+
+
+@query("judge_transcripts", over="t", sql="""+
+pt AS (SELECT session_id, turn // 3 AS part,
+    string_agg(role || ': ' || coalesce(text, ''), chr(10) ORDER BY turn) AS body
+  FROM c GROUP BY 1, 2),
+pr AS (SELECT session_id, part, CASE WHEN part = min(part) OVER w THEN 'Read:' || chr(10) ELSE '' END
+    || body || CASE WHEN part = max(part) OVER w THEN chr(10) || 'Is it answered?' ELSE chr(10) END
+    AS prompt FROM pt WINDOW w AS (PARTITION BY session_id)),
+v AS (SELECT *, contains(prompt, chr(10) || 'assistant: ') AS good,
+    length(prompt) || ' characters' AS reason FROM pr)
+SELECT session_id, 'answered' AS judge, CASE WHEN bool_and(good) THEN 'true' ELSE 'false' END
+  AS value, coalesce(min_by(reason, part) FILTER (WHERE NOT good), max_by(reason, part)) AS reason
+FROM v GROUP BY 1""")
+def _(t):
+    template = "Read:\n" + sessions.PLACEHOLDER + "\nIs it answered?"
+    return judges.judge_transcripts(t.conversation, "answered", template, _reads, part_turns=3)
+
+
 @query("evaluate_sessions", over="t", sql="""
 SELECT session_id, count(*) FILTER (WHERE role = 'user') AS num_traces,
   CASE WHEN count(*) FILTER (WHERE role = 'assistant') >= count(*) FILTER (WHERE role = 'user')
