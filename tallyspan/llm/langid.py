@@ -13,11 +13,6 @@ from. Text of any length is one text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,19 +100,6 @@ def word_table(counts: DataFrame, languages: int, longest: int = LONGEST,
     return by_word.union(by_gram)
 
 
-def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whether each text has a letter; the ASCII ones, nearly all texts, take no loop."""
-    for batch in batches:
-        text = batch.column(0)
-        plain = pc.fill_null(pc.match_substring_regex(text, "[A-Za-z]"), False)
-        found = np.array(plain.to_numpy(zero_copy_only=False), dtype=bool)
-        for row in np.flatnonzero(~found):
-            found[row] = any(c.isalpha() for c in text[int(row)].as_py() or "")
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(found)], names=["text", *batch.schema.names[1:], "letters"]
-        )
-
-
 def identify(docs: DataFrame, learn: Column, longest: int = LONGEST,
              smoothing: float = SMOOTHING, sent_bytes: int = SENT_BYTES) -> DataFrame:
     """``(doc_id, lang_pred, score)`` for every row of ``docs`` (doc_id, text, lang).
@@ -135,9 +117,8 @@ def identify(docs: DataFrame, learn: Column, longest: int = LONGEST,
     place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("lang")) - 1
     counts = settle(word_counts(docs, F.when(learn, place).otherwise(-1)), "word-counts")
     table = settle(word_table(counts, len(names), longest, smoothing), "word-scores")
-    lettered = docs.select("text", "doc_id").mapInArrow(
-        _letters, "text string, doc_id long, letters boolean"
-    )
+    has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    lettered = docs.select("text", "doc_id", has_letter.alias("letters"))
     summed = sum_scores(lettered, table, [0.0] * len(names), ["doc_id", "letters"], sent_bytes)
     best = F.array_max("sums")
     known = F.col("letters") & (F.col("words") > 0)

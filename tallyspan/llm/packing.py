@@ -36,14 +36,14 @@ from tallyspan.storage import settle
 
 CAPACITY = 1024
 END = 2
-MEMO_UNITS = 1_000_000
+MEMO_UNITS = 300_000
 MEMO_LENGTH = 48
 # The splitting pattern of this family of tokenizers, a fixed value.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _SPACE = byte_class((0x20, 0x20), (0x0A, 0x0A))
 _PRINTED = byte_class((0x21, 0x7E))

@@ -115,8 +115,9 @@ def score(docs: DataFrame, labels: DataFrame, folds: Column,
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     learned = learned_rows(docs, labels, folds)
-    rows = settle(docs.join(small_side(learned), "doc_id"), "learned-texts")
-    counts = word_counts(rows, F.col("fold") * 2 + F.col("toxic"), once=True).select(
+    rows = docs.join(small_side(learned), "doc_id")
+    group = F.col("fold") * 2 + F.col("toxic")
+    counts = word_counts(rows, group, once=True, spelled=False).select(
         F.floor(F.col("group") / 2).alias("fold"), (F.col("group") % 2).alias("group"), "hash", "n"
     )
     counts = settle(counts, "word-counts")

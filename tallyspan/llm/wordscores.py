@@ -18,42 +18,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.llm.bytewords import byte_class, find_words, signed, slices, span_hashes
+from tallyspan.storage import settle
 
 LETTER = byte_class((0x61, 0x7A), (0x80, 0xFF))
-SENT_BYTES = 96 << 20
+SENT_BYTES = 64 << 20
 # Different (group, word) pairs a task gathers before it hands on their counts.
-FLUSH = 1 << 20
+FLUSH = 1 << 18
 
 
 def hashed_words(column: pa.Array):
     """Per run of rows: (run, word starts, word ends, first word of each row, hashes)."""
-    column = pc.utf8_lower(column.cast(pa.large_string()))
-    for run in slices(column):
-        starts, ends, bounds = find_words(run, LETTER)
-        yield run, starts, ends, bounds, span_hashes(run.data, starts, ends)
-
-
-def word_counts(docs: DataFrame, group: Column, once: bool = False) -> DataFrame:
-    """``(group, hash, word, n)``: how often each group of texts has each word.
-
-    ``group`` is an integer of each row. With ``once`` a text counts a word once.
+    for rows in slices(column):
+        # Lower-cased a run at a time, so that a batch is never held twice.
+        text = pc.utf8_lower(column.slice(rows.first, len(rows)).cast(pa.large_string()))
+        for run in slices(text, max(1, 2 * len(rows.data))):
+            run.first += rows.first
+            starts, ends, bounds = find_words(run, LETTER)
+            yield run, starts, ends, bounds, span_hashes(run.data, starts, ends)
+
+
+def word_counts(
+    docs: DataFrame, group: Column, once: bool = False, spelled: bool = True
+) -> DataFrame:
+    """``(group, hash, n, word)``: how often each group of texts has each word.
+
+    ``group`` is an integer of each row. With ``once`` a text counts a word once. Unless
+    ``spelled``, the words themselves are left out.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def merged(parts):
-            g, h, n, w = (np.concatenate(p) for p in zip(*parts))
+            g, h, n, *w = (np.concatenate(p) for p in zip(*parts))
             order = np.lexsort((h, g))
-            g, h, n, w = g[order], h[order], n[order], w[order]
+            g, h, n = g[order], h[order], n[order]
             new = np.ones(len(g), dtype=bool)
             new[1:] = (g[1:] != g[:-1]) | (h[1:] != h[:-1])
             at = np.flatnonzero(new)
-            return g[at], h[at], np.add.reduceat(n, at), w[at]
+            return g[at], h[at], np.add.reduceat(n, at), *(x[order[at]] for x in w)
 
-        def out(g, h, n, w):
+        def out(g, h, n, *w):
             return pa.RecordBatch.from_arrays(
-                [pa.array(g), pa.array(signed(h)), pa.array(w.tolist(), type=pa.string()),
-                 pa.array(n)],
-                names=["group", "hash", "word", "n"],
+                [pa.array(g), pa.array(signed(h)), pa.array(n),
+                 *(pa.array(x.tolist(), type=pa.string()) for x in w)],
+                names=["group", "hash", "n", "word"][: 3 + len(w)],
             )
 
         parts, held = [], 0
@@ -75,14 +82,17 @@ def word_counts(docs: DataFrame, group: Column, once: bool = False) -> DataFrame
                     n = np.add.reduceat(fresh.astype(np.int64), at)
                 else:
                     n = np.diff(np.append(at, len(g)))
-                raw = run.data.tobytes()
-                where = order[at]
-                words = np.empty(len(at), dtype=object)
-                words[:] = [
-                    raw[a:b].decode("utf-8", "replace")
-                    for a, b in zip(starts[where].tolist(), ends[where].tolist())
-                ]
-                parts.append((g[at], h[at], n, words))
+                part = (g[at], h[at], n)
+                if spelled:
+                    raw = run.data.tobytes()
+                    where = order[at]
+                    words = np.empty(len(at), dtype=object)
+                    words[:] = [
+                        raw[a:b].decode("utf-8", "replace")
+                        for a, b in zip(starts[where].tolist(), ends[where].tolist())
+                    ]
+                    part += (words,)
+                parts.append(part)
                 held += len(at)
                 if held >= FLUSH:
                     parts = [merged(parts)]
@@ -95,9 +105,9 @@ def word_counts(docs: DataFrame, group: Column, once: bool = False) -> DataFrame
 
     return (
         docs.select(F.coalesce("text", F.lit("")).alias("text"), group.cast("int").alias("group"))
-        .mapInArrow(count, "group int, hash long, word string, n long")
+        .mapInArrow(count, "group int, hash long, n long" + ", word string" * spelled)
         .groupBy("group", "hash")
-        .agg(F.sum("n").alias("n"), F.first("word").alias("word"))
+        .agg(F.sum("n").alias("n"), *[F.first("word").alias("word")] * spelled)
     )
 
 
@@ -125,7 +135,8 @@ def sum_scores(docs: DataFrame, scores: DataFrame, other: list[float],
     """The columns ``keep`` of every row, its number of words and its sums of word scores.
 
     ``scores`` has ``hash`` and ``values`` (an array as long as ``other``, which words without
-    a row get). The result has ``words`` and ``sums`` beside ``keep``.
+    a row get). The result has ``words`` and ``sums`` beside ``keep``, and is
+    written if the scores were sent, so that they need not be kept.
     """
     spark = docs.sparkSession
     width = len(other)
@@ -165,7 +176,9 @@ def sum_scores(docs: DataFrame, scores: DataFrame, other: list[float],
                     names=[*keep, "words", "sums"],
                 )
 
-        return source.mapInArrow(add, f"{kept}, words long, sums array<double>")
+        done = settle(source.mapInArrow(add, f"{kept}, words long, sums array<double>"), "sums")
+        shared.destroy()  # else the tasks' Python processes hold it on
+        return done
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
