@@ -170,13 +170,14 @@ def sketch(docs: DataFrame, cells: int, hot: int = HOT, size: int = WINDOW) -> S
                     names=["key", "twice", "often"],
                 )
 
-    merged = (
+    merged = settle(
         docs.select("text")
         .mapInArrow(count, "key int, blob binary")
         .repartition(partitions(docs.sparkSession), "key")
         .sortWithinPartitions("key")
-        .mapInArrow(merge, "key int, twice binary, often binary")
-    )
+        .mapInArrow(merge, "key int, twice binary, often binary"),
+        "sketch",
+    )  # written, so that blocks are merged side by side and fetched one after another
     # At most two bits for each of the sketch's cells, whatever the corpus.
     whole = Sketch(cells)
     often = ([], [])
