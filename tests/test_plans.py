@@ -2,25 +2,26 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from tallyspan.operators import logs
+from tallyspan.plans.all_plans import QUERIES
 from tallyspan.sources.bindings import Tables
 
 # Queries whose work is a user function or an array kernel by nature.
 PYTHON = {
     "judge_sessions", "evaluate_sessions", "row_scorer", "predict", "pii_finder", "similarity_topk",
-    "question_doc_topk", "similarity_topk_lsh", "text_topk", "data_plus_docs", "token_bucket",
+    "question_doc_topk", "similarity_topk_lsh", "text_topk", "data_plus_docs", "index_search",
+    "predict_by_search", "judge_transcripts",
 }
-EAGER = {name for name in entry.queries() if name.startswith("stream_")} | {"incremental_index"}
+EAGER = {name for name in QUERIES if name.startswith("stream_")} | {"incremental_index"}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_cross_join_and_no_stray_python(spark, tiny, name):
-    text = plan(entry.queries()[name](spark, tiny))
+    text = plan(QUERIES[name](spark, tiny))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text
     if name not in PYTHON:
@@ -64,7 +65,7 @@ def test_newest_rows_need_no_full_sort(spark, tiny):
 
 
 def test_capping_cuts_each_task_first(spark, tiny):
-    text = plan(entry.queries()["cap_per_group"](spark, tiny))
+    text = plan(QUERIES["cap_per_group"](spark, tiny))
     assert text.count("WindowGroupLimit") == 2
 
 
