@@ -13,9 +13,15 @@ from. Text of any length is one text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspan.llm.bytewords import signed, slices, span_hashes
 from tallyspan.llm.tables import remainder
 from tallyspan.llm.wordscores import SENT_BYTES, sum_scores, word_counts
 from tallyspan.storage import settle
@@ -25,14 +31,67 @@ LONGEST = 4
 UNDETERMINED = "und"
 
 
-def _grams(longest: int) -> Column:
-    """All character n-grams of ``^word$`` as (size, gram), each of at least one letter."""
-    marked = "concat('^', word, '$')"
-    return F.expr(
-        f"flatten(transform(sequence({longest}, 1, -1), k -> transform("
-        f"sequence(1, greatest(length({marked}) - k + 1, 1)),"
-        f" i -> struct(k as size, substr({marked}, i, k) as gram))))"
-    )
+def _grams(words: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """All runs of ``size`` characters of ``^word$``: the word's place, and the run's hash."""
+    marked = pc.binary_join_element_wise("^", words.cast(pa.large_string()), "$", "")
+    found_word, found_hash = [], []
+    for run in slices(marked):
+        begins = np.flatnonzero((run.data & 0xC0) != 0x80)  # of characters in UTF-8
+        if len(begins) < size:
+            continue
+        word = np.searchsorted(run.offsets, begins, side="right") - 1
+        ends = np.append(begins, len(run.data))[size:]
+        first = np.arange(len(begins) - size + 1)
+        whole = word[first] == word[first + size - 1]
+        starts, ends, word = begins[first][whole], ends[whole], word[first][whole]
+        if size == 1:
+            letter = (run.data[starts] != ord("^")) & (run.data[starts] != ord("$"))
+            starts, ends, word = starts[letter], ends[letter], word[letter]
+        found_word.append(run.first + word)
+        found_hash.append(span_hashes(run.data, starts, ends))
+    if not found_word:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    return np.concatenate(found_word), np.concatenate(found_hash)
+
+
+def _gram_counts(known: DataFrame, each: list[str], longest: int) -> DataFrame:
+    """``(size, gram, c0, c1, ...)`` of all n-grams of the known words, weighted by the counts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = np.stack([c.to_numpy() for c in batch.columns[1:]])
+            for size in range(1, longest + 1):
+                word, gram = _grams(batch.column(0), size)
+                if not len(gram):
+                    continue
+                order = np.argsort(gram, kind="stable")
+                gram = gram[order]
+                at = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+                sums = np.add.reduceat(counts[:, word[order]], at, axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), size, dtype=np.int32)),
+                     pa.array(signed(gram[at])), *map(pa.array, sums)],
+                    names=["size", "gram", *each],
+                )
+
+    fields = ", ".join(f"{c} long" for c in each)
+    return known.select("word", *each).mapInArrow(
+        count, f"size int, gram long, {fields}"
+    ).groupBy("size", "gram").agg(*[F.sum(c).alias(c) for c in each])
+
+
+def _gram_rows(words: DataFrame, size: int) -> DataFrame:
+    """``(hash, gram)`` of all n-grams of the words (hash, word)."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, gram = _grams(batch.column(1), size)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(word)), pa.array(signed(gram))],
+                names=["hash", "gram"],
+            )
+
+    return words.select("hash", "word").mapInArrow(explode, "hash long, gram long")
 
 
 def _frequencies(languages: int, smoothing: float, totals: list[float], kinds: float) -> Column:
@@ -68,36 +127,29 @@ def word_table(counts: DataFrame, languages: int, longest: int = LONGEST,
     totals, kinds = _totals(known, languages)
     by_word = known.select("hash", _frequencies(languages, smoothing, totals, kinds).alias("values"))
 
-    grams = settle(
-        known.select(F.explode(_grams(longest)).alias("g"), *each)
-        .filter("g.gram not in ('^', '$')")
-        .groupBy(F.col("g.size").alias("size"), F.col("g.gram").alias("gram"))
-        .agg(*[F.sum(c).alias(c) for c in each]),
-        "grams",
-    )
+    grams = settle(_gram_counts(known, each, longest), "grams")
     sizes = {
         r["size"]: r for r in grams.groupBy("size").agg(
             F.count("*").alias("kinds"), *[F.sum(c).alias(c) for c in each]
         ).collect()  # a row per n-gram length
     }
-    scored = None
-    for size, row in sizes.items():
-        part = grams.filter(F.col("size") == size).select(
-            "size", "gram",
-            _frequencies(languages, smoothing, [float(row[c]) for c in each],
-                         float(row["kinds"])).alias("values"),
+    # The longest n-grams first; a shorter length is tried for what they leave only.
+    left = unseen.select("hash", "word")
+    for size in sorted(sizes, reverse=True):
+        row = sizes[size]
+        values = _frequencies(
+            languages, smoothing, [float(row[c]) for c in each], float(row["kinds"])
         )
-        scored = part if scored is None else scored.union(part)
-    if scored is None:
-        return by_word
-    pieces = unseen.select("hash", F.explode(_grams(longest)).alias("g")).select(
-        "hash", "g.size", "g.gram"
-    )
-    by_size = pieces.join(scored, ["size", "gram"]).groupBy("hash", "size").agg(
-        F.array(*[F.avg(F.col("values")[k]) for k in range(languages)]).alias("values")
-    )
-    by_gram = by_size.groupBy("hash").agg(F.max_by("values", "size").alias("values"))
-    return by_word.union(by_gram)
+        scored = grams.filter(F.col("size") == size).select("gram", values.alias("values"))
+        found = settle(
+            _gram_rows(left, size).join(scored, "gram").groupBy("hash").agg(
+                F.array(*[F.avg(F.col("values")[k]) for k in range(languages)]).alias("values")
+            ),
+            "unseen-words",
+        )
+        by_word = by_word.union(found)
+        left = left.join(found, "hash", "left_anti")
+    return by_word
 
 
 def identify(docs: DataFrame, learn: Column, longest: int = LONGEST,
