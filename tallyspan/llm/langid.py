@@ -33,7 +33,7 @@ UNDETERMINED = "und"
 
 def _grams(words: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """All runs of ``size`` characters of ``^word$``: the word's place, and the run's hash."""
-    marked = pc.binary_join_element_wise("^", words.cast(pa.large_string()), "$", "")
+    marked = pc.binary_join_element_wise("^", words.cast(pa.string()), "$", "")
     found_word, found_hash = [], []
     for run in slices(marked):
         begins = np.flatnonzero((run.data & 0xC0) != 0x80)  # of characters in UTF-8
