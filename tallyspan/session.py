@@ -14,6 +14,7 @@ def local_session(name: str, extra: dict[str, str] | None = None, cpus: str = "8
         "spark.driver.memory": "12g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     settings.update(extra or {})
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(name)

@@ -14,8 +14,8 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tallyspan-")
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+def _own_folder(spark: SparkSession) -> str:
+    """What this application writes, below ``spark.checkpoint.dir``.
 
     The setting names storage every executor can reach. Only a local-mode
     session (one machine by definition) may go without it.
@@ -25,7 +25,18 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/tallyspan/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tallyspan/{spark.sparkContext.applicationId}"
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder that every executor can reach."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; results read from them are gone, too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

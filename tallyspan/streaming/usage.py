@@ -39,12 +39,10 @@ def stream_sessions(
 ) -> DataFrame:
     """A conversation closes after ``gap`` without a message.
 
-    Sessions are merged inside each map task before rows are shuffled, so a very
-    busy key arrives as its sessions and not as its rows.
+    With ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` set, sessions
+    are merged inside each map task before rows are shuffled, so a very busy key arrives
+    as its sessions and not as its rows.
     """
-    source.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
-    )
     return (
         source.withWatermark("event_time", delay)
         .groupBy(F.session_window("event_time", gap).alias("_session"), key)
