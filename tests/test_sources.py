@@ -132,3 +132,19 @@ def test_unknown_agent_is_an_error(spark):
     unknown = spark.createDataFrame([("s2", "nobody")], "name string, agent string")
     with pytest.raises(Exception, match="without a known agent"):
         scenario_agent_join(unknown, agents, services).collect()
+
+
+def test_limits_of_services(spark):
+    def service(name, limits):
+        return name, json.dumps({"rate_limits": limits, "usage_tracking": {"enabled": True}})
+
+    rows = [
+        service("a", [{"calls": 8, "tokens": 2000, "renewal_period": "minute"}, {"calls": 5}]),
+        service("b", [{"calls": 3, "renewal_period": "minute"}]),
+        service("c", [{"calls": 1, "tokens": 1, "renewal_period": "hour"}]),
+        service("d", None), ("e", "{}"),
+    ]
+    table = spark.createDataFrame(rows, schemas.SERVICE_CONFIG)
+    assert [tuple(r) for r in configs.service_limits(table).collect()] == [("a", 5, 2000)]
+    settings = {r.model_service: r.usage_tracking for r in configs.service_settings(table).collect()}
+    assert "enabled" in settings["a"] and settings["e"] is None
