@@ -3,8 +3,9 @@
 Each stage gets all documents its predecessor kept, with the columns of ``documents``, and its
 decisions take effect: toxic documents go, one document of each group of near duplicates stays,
 documents with benchmark passages go, personal data are replaced in the texts, and the
-texts that are left are packed into sequences. Rows with a null doc_id are kept by the first
-two stages, as nothing can be said against them; columns beyond those of ``documents`` pass through.
+texts that are left are packed into sequences. Every stage judges rows by their own texts, so rows
+with a null doc_id are dropped like others, and other texts of a dropped row's doc_id stay; columns beyond
+those of ``documents`` pass through.
 """
 
 from __future__ import annotations
@@ -19,15 +20,15 @@ from tallyspan.storage import settle
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose toxicity score reaches the threshold."""
-    return toxicity.ordinary(docs, table(spark, sf_dir, "labels"))
+    return toxicity.ordinary(docs, table(spark, sf_dir, "labels"), unnamed=True)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest doc_id of each group of linked fingerprints.
 
-    Of rows that repeat a doc_id within a group, one stays.
+    Of rows that repeat a doc_id within a group, one stays, and one of a group without any doc_id.
     """
-    return simhash.first_of_each(docs)
+    return simhash.first_of_each(docs, unnamed=True)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,11 +21,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.llm.components import components
-from tallyspan.llm.tables import fresh_name, partitions, without_ids
+from tallyspan.llm.tables import fresh_name, only_rows, partitions, text_keys, without_rows
 from tallyspan.storage import settle
 
 SHINGLE = 4
@@ -58,19 +58,26 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``, one row per row of ``docs``; ``fp`` holds the bits in a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """``(doc_id, fp)``, one row per row of ``docs``; ``fp`` holds the bits in a signed long.
+
+    The keys of the texts, ``t`` and ``u``, follow if ``keyed``.
+    """
+    keys = ["t", "u"] if keyed else []
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
+            more = batch.columns[2:]
             found = [fingerprint(t.as_py() or b"", shingle) for t in texts]
             fps = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), fps, *more], names=["doc_id", "fp", *keys]
+            )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        scan, "doc_id long, fp long"
-    )
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", *(text_keys() if keyed else [])
+    ).mapInArrow(scan, "doc_id long, fp long" + ", t long, u int" * keyed)
 
 
 def band_masks(count: int, radius: int = RADIUS) -> list[int]:
@@ -250,20 +257,34 @@ def links(distinct: DataFrame, count: int, radius: int = RADIUS, tile: int = TIL
     )
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE
-) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` for every row of ``docs``."""
-    prints = settle(fingerprints(docs, shingle), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+def _grouped(docs: DataFrame, shingle: int, radius: int, tile: int, keyed: bool = False) -> DataFrame:
+    """Every row's ``doc_id``, ``fp`` and ``component_id``.
+
+    With its text's keys and ``best``, the smallest (no id, doc_id, t, u) of its group, if ``keyed``.
+    """
+    prints = settle(fingerprints(docs, shingle, keyed), "fingerprints")
+    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t", "u"))
+    distinct = prints.groupBy("fp").agg(
+        F.min("doc_id").alias("first"), *([chosen.alias("best")] if keyed else [])
+    )
     distinct = settle(distinct, "distinct-fingerprints")
     joined = components(links(distinct.select("fp"), distinct.count(), radius, tile))
     rooted = (
         distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left")
         .withColumn("root", F.coalesce("root", "fp"))
     )
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "root")
-    return prints.join(named.select("fp", "component_id"), "fp").select(
+    best = [F.min("best").alias("best")] if keyed else []
+    named = rooted.drop("best").join(
+        rooted.groupBy("root").agg(F.min("first").alias("component_id"), *best), "root"
+    )
+    return prints.join(named.drop("root", "first"), "fp")
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE
+) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)`` for every row of ``docs``."""
+    return _grouped(docs, shingle, radius, tile).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -271,23 +292,31 @@ def near_duplicates(
 
 
 def first_of_each(
-    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE,
+    unnamed: bool = False,
 ) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, all columns kept.
+    """``docs`` with one row of each group of near duplicates, all columns kept.
 
-    The row with the smallest doc_id stays. Rows without a doc_id stay, and of rows that repeat
-    a doc_id in one group the same one stays whichever comes first: the one of the smallest text hash.
+    The row with the smallest doc_id stays, of several the one of the smallest text hash; rows
+    without a doc_id come last if ``unnamed``, and all stay if not. Rows are told apart by doc_id and
+    text, so a doc_id's texts in other groups are not concerned. Of rows equal in both one stays.
     """
-    found = settle(near_duplicates(docs, shingle, radius, tile), "components")
-    gone = found.filter("doc_id != component_id").select("doc_id")
-    left = without_ids(docs, gone)
-    repeated = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
-    repeated = settle(repeated.select("doc_id"), "repeated-ids")
+    key = ["doc_id", "t", "u"]
+    found = _grouped(docs, shingle, radius, tile, keyed=True).withColumn(
+        "stays",
+        F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
+        & (F.col("t") == F.col("best.t")) & (F.col("u") == F.col("best.u")),
+    ).select(*key, "stays")
+    if not unnamed:
+        found = found.filter("doc_id is not null")
+    found = settle(found, "components")
+    left = without_rows(docs, found.filter("not stays").select(*key))
+    repeated = found.filter("stays").groupBy(*key).count().filter("count > 1")
+    repeated = settle(repeated.select(*key), "repeated-rows")
     if repeated.isEmpty():
         return left
-    # Rows that repeat a doc_id are told apart by their text; few documents go this way.
-    again = left.join(repeated, left["doc_id"] == repeated["doc_id"], "left_semi")
-    spec = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    place = fresh_name(docs, "_place")
-    one = again.withColumn(place, F.row_number().over(spec)).filter(F.col(place) == 1).drop(place)
-    return without_ids(left, repeated).union(one)
+    # Combined in the map tasks, however many rows repeat one.
+    t, u = fresh_name(docs, "_t"), fresh_name(docs, "_u")
+    again = only_rows(left, repeated).withColumns({t: F.xxhash64("text"), u: F.hash("text")})
+    one = again.dropDuplicates(["doc_id", t, u]).drop(t, u)
+    return without_rows(left, repeated).union(one)

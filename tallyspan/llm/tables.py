@@ -28,10 +28,28 @@ def small_side(rows: DataFrame, most: int = SENT_IDS) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= most else rows
 
 
-def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``gone``; rows without a doc_id stay."""
-    ids = small_side(gone.select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(ids, docs["doc_id"] == ids["_gone"], "left_anti")
+def text_keys() -> list[Column]:
+    """``t`` and ``u``: 96 bits that tell the texts of rows apart."""
+    return [F.xxhash64("text").alias("t"), F.hash("text").alias("u")]
+
+
+def _in_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    named = keys.select(*[F.col(c).alias(f"_key_{c}") for c in keys.columns]).distinct()
+    named = small_side(named)
+    same = (F.xxhash64(docs["text"]) == named["_key_t"]) & (F.hash(docs["text"]) == named["_key_u"])
+    if "doc_id" in keys.columns:
+        same &= docs["doc_id"].cast("long").eqNullSafe(named["_key_doc_id"])
+    return docs.join(named, same, how)
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows of ``gone``: keys (t, u) of texts, or (doc_id, t, u) with nulls equal."""
+    return _in_keys(docs, gone, "left_anti")
+
+
+def only_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``without_rows`` drops."""
+    return _in_keys(docs, kept, "left_semi")
 
 
 def fresh_name(docs: DataFrame, wanted: str) -> str:

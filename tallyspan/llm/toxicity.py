@@ -26,7 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.tables import remainder, small_side, without_ids
+from tallyspan.llm.tables import remainder, small_side, text_keys, without_rows
 from tallyspan.llm.wordscores import SENT_BYTES, sum_scores, word_counts
 from tallyspan.storage import settle
 
@@ -106,14 +106,17 @@ def _word_table(counts: DataFrame, left_out: int | None) -> tuple[DataFrame, lis
 
 
 def score(docs: DataFrame, labels: DataFrame, folds: Column,
-          sent_bytes: int = SENT_BYTES) -> DataFrame:
-    """``(doc_id, score)`` for every row of ``docs`` (doc_id, text).
+          sent_bytes: int = SENT_BYTES, keyed: bool = False) -> DataFrame:
+    """``(doc_id, score)`` for every row of ``docs`` (doc_id, text); with its text's keys if ``keyed``.
 
     ``folds`` gives the fold, from 0 to ``FOLDS`` - 1, of a doc_id whose label may be learned from,
     and null for all others, whose labels are not looked at. The models count all folds. For the
     regression each learned text is described by models that left its own fold out.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keep = ["doc_id", "t", "u"] if keyed else ["doc_id"]
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", *(text_keys() if keyed else [])
+    )
     learned = learned_rows(docs, labels, folds)
     rows = docs.join(small_side(learned), "doc_id")
     group = F.col("fold") * 2 + F.col("toxic")
@@ -141,23 +144,34 @@ def score(docs: DataFrame, labels: DataFrame, folds: Column,
     table, others = _word_table(counts, None)
     features = _features()
     line = sum((features[k] * w for k, w in enumerate(weights)), F.lit(intercept))
-    return sum_scores(docs, table, others, ["doc_id"], sent_bytes).select(
-        "doc_id", (1 / (1 + F.exp(-line))).alias("score")
+    return sum_scores(docs, table, others, keep, sent_bytes).select(
+        *keep, (1 / (1 + F.exp(-line))).alias("score")
     )
 
 
+def _folds() -> Column:
+    part = remainder("doc_id", 4)
+    return F.when(part == 3, 2).when(part != HELD_OUT, part).cast("int")
+
+
 def predictions(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Scores of all documents, learned without the labels of the held-out quarter."""
-    part = remainder("doc_id", 4)
-    folds = F.when(part == 3, 2).when(part != HELD_OUT, part).cast("int")
-    scored = score(docs, labels, folds)
+    scored = score(docs, labels, _folds())
     return scored.select(
         "doc_id", F.coalesce(remainder("doc_id", 4) == HELD_OUT, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
-def ordinary(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without those whose score reaches ``threshold``, all columns kept."""
-    flagged = predictions(docs, labels, threshold).filter("predicted = 1").select("doc_id")
-    return without_ids(docs, settle(flagged, "flagged"))
+def ordinary(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
+             unnamed: bool = False) -> DataFrame:
+    """``docs`` without the rows whose own text's score reaches ``threshold``, all columns kept.
+
+    A score depends on nothing but the text, so rows are dropped by text and other texts of the same
+    doc_id stay. Rows without a doc_id are judged too if ``unnamed``, and all stay if not.
+    """
+    scored = score(docs, labels, _folds(), keyed=True).filter(F.col("score") >= threshold)
+    if unnamed:
+        return without_rows(docs, settle(scored.select("t", "u"), "flagged"))
+    scored = scored.filter("doc_id is not null")
+    return without_rows(docs, settle(scored.select("doc_id", "t", "u"), "flagged"))

@@ -93,6 +93,19 @@ class TestToxicity:
         assert kept.count() == docs.count() - flagged.count()
         assert kept.filter("doc_id is null").count() == 1
 
+    def test_rows_go_by_their_own_texts(self, spark, labelled):
+        docs, labels, truth = labelled
+        clean = next(r["text"] for r in docs.collect() if r["doc_id"] == 1)
+        more = spark.createDataFrame(
+            [(2000, "vileword badterm nastyone", None), (2000, clean, None)], docs.schema)
+        both = docs.union(more).union(spark.createDataFrame([(None, clean, None)], docs.schema))
+        kept = toxicity.ordinary(both, labels, unnamed=True)
+        assert [r["text"] for r in kept.filter("doc_id = 2000").collect()] == [clean]
+        assert [r["text"] for r in kept.filter("doc_id is null").collect()] == [clean]
+        kept = toxicity.ordinary(both, labels)
+        assert [r["text"] for r in kept.filter("doc_id = 2000").collect()] == [clean]
+        assert kept.filter("doc_id is null").count() == 2
+
 
 def test_word_scores_join_like_sent_ones(spark):
     docs = spark.createDataFrame(
@@ -327,6 +340,20 @@ class TestLicenses:
         assert licenses.scan(none).count() == 0
 
 
+def test_one_row_of_each_group_of_near_copies(spark):
+    random = np.random.default_rng(8)
+    words = ["".join(random.choice(list("aeioubdklmnrst"), size=6)) for _ in range(3000)]
+    a, b, c, d = (" ".join(random.choice(words, size=300)) for _ in range(4))
+    rows = [(None, a, "1"), (None, a, "2"), (None, a, "3"), (7, b, "4"), (7, c, "5"), (9, c, "6"),
+            (8, b, "7"), (5, d, "8"), (5, d, "9"), (None, d, "10")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, t string").repartition(3)
+    kept = simhash.first_of_each(docs, unnamed=True)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(None, a), (7, b), (7, c), (5, d)], key=str)
+    assert simhash.first_of_each(docs).filter("doc_id is null").count() == 4
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
