@@ -7,7 +7,8 @@ filed once in each of ``TABLES`` tables; a query looks into its own bucket and t
 
 How many buckets it looks into is measured, not guessed: ``SAMPLE`` queries are answered by
 brute force over all rows in one pass, and the number is the smallest one that finds ``RECALL`` of
-their neighbours. The sample is all that the index is fitted on; every row is filed.
+their neighbours. The sample is all that the index is fitted on; every row is filed. Queries that
+find too few rows there look into eight times as many buckets, and so on, at last into all of them.
 
 Candidates are not written out as pairs. The vectors of a bucket and the queries that look into it
 meet in one task, in parts of at most ``PART`` vectors, and every query takes its best few from
@@ -266,23 +267,46 @@ def neighbours(vectors: DataFrame, asked: Column, count: int = 5, tables: int =
     parts = filed.groupBy("table", "bucket").agg(
         F.ceil(F.count("*") / part).cast("int").alias("parts")
     )
-    looked = asking.mapInArrow(file(look), places)
     key = F.xxhash64("table", "bucket", "part").alias("key")
     left = filed.join(parts, ["table", "bucket"]).withColumn(
         "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     ).select(key, F.lit(0).alias("side"), "id")
-    right = looked.join(parts, ["table", "bucket"]).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    ).select(key, F.lit(1).alias("side"), "id")
-    met = left.union(right).join(base, "id").select("key", "side", "id", "embedding")
-    found = (
-        met.repartition(partitions(spark), "key")
-        .sortWithinPartitions("key", "side")
-        .mapInArrow(_search(dimension, count + 1), "query long, id long, score double")
-    )
-    best = found.groupBy("query", "id").agg(F.max("score").alias("score"))
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    classes = best.withColumn("n", F.row_number().over(ranked)).filter(F.col("n") <= count + 1)
+
+    def nearest(looked: DataFrame) -> DataFrame:
+        right = looked.join(parts, ["table", "bucket"]).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        ).select(key, F.lit(1).alias("side"), "id")
+        met = left.union(right).join(base, "id").select("key", "side", "id", "embedding")
+        found = (
+            met.repartition(partitions(spark), "key")
+            .sortWithinPartitions("key", "side")
+            .mapInArrow(_search(dimension, count + 1), "query long, id long, score double")
+        )
+        best = found.groupBy("query", "id").agg(F.max("score").alias("score"))
+        best = best.withColumn("n", F.row_number().over(ranked)).filter(F.col("n") <= count + 1)
+        return settle(best.drop("n"), "nearest")
+
+    classes = nearest(asking.mapInArrow(file(look), places))
+    members = named.select("id", F.size("ids").alias("members"))
+    while look < index.buckets:
+        enough = classes.join(members, "id").groupBy("query").agg(F.sum("members").alias("rows"))
+        enough = enough.filter(F.col("rows") > count).select(F.col("query").alias("id"))
+        short = settle(asking.join(enough, "id", "left_anti"), "short-queries")
+        if short.isEmpty():
+            break
+        look *= 8
+        if look * 4 > index.buckets:
+            # One table holds every vector.
+            look = index.buckets
+            everywhere = filed.filter("table = 0").select("table", "bucket").distinct()
+            looked = short.select("id").crossJoin(everywhere).select("table", "bucket", "id")
+        else:
+            looked = short.mapInArrow(file(look), places)
+        known = classes.join(
+            short.select(F.col("id").alias("query")), "query", "left_anti"
+        ).select("query", "id", "score")
+        classes = known.union(nearest(looked))
     each = classes.join(named.select("id", "ids"), "id").select(
         "query", "score", F.explode("ids").alias("vec_id")
     )

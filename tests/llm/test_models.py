@@ -290,6 +290,16 @@ class TestNeighbours:
             hit += r["score"] >= np.sort(near)[-5] - 1e-12
         assert len(got) == 5 * len({r["query_id"] for r in got}) and hit >= 0.9 * len(got)
 
+    def test_isolated_queries_find_five(self, spark):
+        random = np.random.default_rng(12)
+        centres = random.normal(size=(3, 64))
+        rows = [(k, (centres[k % 3] + 0.01 * random.normal(size=64)).tolist()) for k in range(400)]
+        rows += [(1000 + k, random.normal(size=64).tolist()) for k in range(6)]
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = ann.neighbours(vectors, F.col("vec_id") % 4 <= 1).groupBy("query_id").count().collect()
+        assert len(got) == sum(k % 4 <= 1 for k, _ in rows)
+        assert {r["count"] for r in got} == {5}
+
     def test_few_vectors(self, spark):
         none = spark.createDataFrame([], "vec_id long, embedding array<float>")
         assert ann.neighbours(none, F.lit(True)).count() == 0
