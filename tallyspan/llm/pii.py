@@ -7,7 +7,8 @@
    and instances form a bipartite graph. In rounds, a pattern's confidence for a kind is the
    share of its instances known to be of that kind, each counted by its own
    confidence, and a mention takes the best confidence of its patterns. Patterns need
-   ``SUPPORT`` different known instances and a confidence of ``CONFIDENCE``.
+   ``SUPPORT`` different known instances and a confidence of ``CONFIDENCE``. Confidences are whole
+   millionths and only rise, so rounds go on until none changes.
 3. Mentions that stand in a pattern accepted in the last round and have its kind's shape are new
    spans. Base spans always stay.
 
@@ -34,7 +35,7 @@ from tallyspan.storage import settle
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
 CONFIDENCE = 0.8
-ROUNDS = 3
+MILLION = 1_000_000
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -197,42 +198,43 @@ def _structs(lists: list[list[tuple]], kind: pa.StructType) -> pa.Array:
 
 
 def accepted_patterns(edges: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE,
-                      rounds: int = ROUNDS) -> DataFrame:
+                      rounds: int | None = None) -> DataFrame:
     """``(pattern, kind, score)`` after scoring patterns and instances in turn.
 
     ``edges`` are distinct (pattern, instance, kind, shapes); ``kind`` is null for mentions.
+    Without ``rounds``, until the accepted patterns and their scores stay as they are.
     """
     sizes = edges.groupBy("pattern").agg(F.countDistinct("instance").alias("size"))
     # Patterns without enough seeds can still gain them, but none without any instance more.
     sizes = sizes.filter(F.col("size") >= support)
     known = edges.filter("kind is not null").select("instance", "kind").distinct().withColumn(
-        "score", F.lit(1.0)
+        "score", F.lit(MILLION).cast("long")
     )
     open_ = edges.filter("kind is null").select("pattern", "instance", "shapes").distinct()
     links = edges.select("pattern", "instance").distinct()
-    scores, before, good = known, 0, None
-    for _ in range(rounds):
+    scores, before, done = known, None, 0
+    while True:
         good = (
             links.join(scores, "instance")
             .groupBy("pattern", "kind").agg(F.sum("score").alias("weight"))
-            .filter(F.col("weight") >= support)
+            .filter(F.col("weight") >= support * MILLION)
             .join(sizes, "pattern")
-            .select("pattern", "kind", (F.col("weight") / F.col("size")).alias("score"))
-            .filter(F.col("score") >= confidence)
+            .select("pattern", "kind", F.expr("weight div size").alias("score"))
+            .filter(F.col("score") >= confidence * MILLION)
         )
         good = settle(good, "patterns")
+        now = good.agg(F.count("*").alias("n"), F.sum("score").alias("s")).first()
+        done += 1
+        if now == before or not now["n"] or done == rounds:
+            return good.withColumn("score", F.col("score") / MILLION)
+        before = now
         allowed = F.expr("shiftright(shapes, kind) & 1 = 1")
         fresh = (
             open_.join(good, "pattern").filter(allowed)
             .groupBy("instance", "kind").agg(F.max("score").alias("score"))
         )
         fresh = settle(fresh, "instances")
-        count = fresh.count()
-        if count == before:
-            break
-        before = count
         scores = known.union(fresh).groupBy("instance", "kind").agg(F.max("score").alias("score"))
-    return good
 
 
 def _names(column: str) -> F.Column:
@@ -244,7 +246,7 @@ def _names(column: str) -> F.Column:
 
 
 def find(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE,
-         rounds: int = ROUNDS) -> DataFrame:
+         rounds: int | None = None) -> DataFrame:
     """One row per row of ``docs``: the base spans and all spans, in order.
 
     ``base`` and ``spans`` are arrays of (start, kind, stop).

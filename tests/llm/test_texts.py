@@ -308,6 +308,18 @@ class TestPersonalData:
         assert found[51]["spans"] == "" and found[52]["spans"] == ""
         assert found[53]["spans"] == "" and found[53]["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
+    def test_rounds_go_on_until_nothing_changes(self, spark):
+        # Pattern k holds the mentions of level k - 1 and k; seeds stand in pattern 1 only.
+        rows = [(1, k, 0, 0) for k in range(40)]
+        for level in range(1, 7):
+            fresh = range(1000 * level, 1000 * level + 8 // level)
+            rows += [(level, k, None, 1) for k in fresh]
+            rows += [(level + 1, k, None, 1) for k in fresh]
+        edges = spark.createDataFrame(rows, "pattern long, instance long, kind int, shapes int")
+        got = {r["pattern"] for r in pii.accepted_patterns(edges, 1, 0.3).collect()}
+        early = {r["pattern"] for r in pii.accepted_patterns(edges, 1, 0.3, rounds=3).collect()}
+        assert early < got and max(got) > 3
+
     def test_report_and_redaction(self, spark, docs):
         frame, data = docs
         extra = [(900, "call +1 (555) 123-4567 or 4111 1111 1111 1111, 10.0.0.1"), (901, "é a@b.cd")]
