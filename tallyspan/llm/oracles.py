@@ -143,3 +143,68 @@ LICENSES = (
     .replace("{license_file}", LICENSE_FILE)
     .replace("{similarity}", str(SIMILARITY))
 )
+
+MERKLE = r"""
+with recursive
+marked as (
+  select *, list_reduce(
+      list_concat([4294967295::bigint],
+                  list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+      lambda a, b: list_reduce(
+        [xor(a, b), 0::bigint, 0::bigint, 0::bigint, 0::bigint, 0::bigint, 0::bigint, 0::bigint,
+         0::bigint],
+        lambda c, z: xor(c >> 1, (3988292384 * (c & 1))::bigint) + z)) as crc,
+    row_number() over () as row,
+    sha256({fields} || {text}) as leaf,
+    sha256({fields} || {without}) as less
+  from (select *, replace(text, chr(10), '') as joined from documents)),
+leaves as (
+  select doc_id, leaf, case when xor(crc, 4294967295::bigint) % 2 = 0 then less else leaf end as given,
+    dense_rank() over (order by source nulls first) - 1 as tree,
+    row_number() over (partition by source order by doc_id nulls first, leaf, row) - 1 as pos
+  from marked),
+trees as (
+  select tree, 0 as level, list(leaf order by pos) as l from leaves group by tree
+  union all
+  select tree, level + 1, list_transform(range(0, (len(l) + 2) // 3),
+                                         lambda i: sha256(array_to_string(l[3 * i + 1 : 3 * i + 3], '')))
+  from trees where len(l) > 1),
+subroots as (select tree, l[1] as subroot from trees where len(l) = 1),
+tops as (
+  select 0 as level, list(subroot order by tree) as l from subroots
+  union all
+  select level + 1, list_transform(range(0, (len(l) + 2) // 3),
+                                   lambda i: sha256(array_to_string(l[3 * i + 1 : 3 * i + 3], '')))
+  from tops where len(l) > 1),
+places as (
+  select tree, pos, level, l, pos // (3 ** level)::bigint as i from leaves join trees using (tree)
+  where len(l) > 1
+  union all
+  select x.tree, x.pos, 1000 + level, l, x.tree // (3 ** level)::bigint from leaves x, tops where len(l) > 1),
+steps as (
+  select tree, pos, level, array_to_string(l[i // 3 * 3 + 1 : i], '') as l,
+         array_to_string(l[i + 2 : i // 3 * 3 + 3], '') as r
+  from places),
+paths as (
+  select tree, pos, list({'l': l, 'r': r} order by level) as path,
+         string_agg(l || r, '' order by level) as siblings
+  from steps group by tree, pos),
+folded as (
+  select doc_id, leaf, subroot, (select l[1] from tops where len(l) = 1) as root,
+         sha256(coalesce(siblings, '')) as proof_sha256,
+         list_reduce(
+           list_concat([{'l': given, 'r': ''}], coalesce(path, [])),
+           lambda a, s: {'l': sha256(s.l || a.l || s.r), 'r': ''}).l as folded_root
+  from leaves join subroots using (tree) left join paths using (tree, pos))
+select *, folded_root = root as verified from folded
+"""
+
+
+def _field(name: str) -> str:
+    return f"coalesce(strlen({name}::varchar)::varchar || ':' || {name}::varchar, '-')"
+
+
+MERKLE = (
+    MERKLE.replace("{fields}", " || ".join(map(_field, ["doc_id", "source", "lang", "n_chars"])))
+    .replace("{text}", _field("text")).replace("{without}", _field("joined"))
+)

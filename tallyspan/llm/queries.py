@@ -13,6 +13,7 @@ from tallyspan.llm import (
     decontaminate,
     langid,
     licenses,
+    merkle,
     oracles,
     packing,
     pii,
@@ -123,3 +124,9 @@ def transcripts(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     learned = F.coalesce(remainder("conv_id", 3) != 1, F.lit(False))
     return chat.transcripts_to_turns(transcripts(spark, folder), learned)
+
+
+@query("op11_merkle_manifest", oracles.MERKLE)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    even = F.coalesce(remainder("doc_id", 2) == 0, F.lit(False))
+    return merkle.verified(table(spark, folder, "documents"), even)
