@@ -208,3 +208,27 @@ MERKLE = (
     MERKLE.replace("{fields}", " || ".join(map(_field, ["doc_id", "source", "lang", "n_chars"])))
     .replace("{text}", _field("text")).replace("{without}", _field("joined"))
 )
+
+
+HARD_NEGATIVES = r"""
+with rows as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+         list_inner_product(a.v, b.v)::bigint as score
+  from rows a join rows b on a is distinct from b and len(a.v) = len(b.v)
+  where a.vec_id % 50 = 0),
+positives as (
+  select anchor_id, other as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select anchor_id, positive_id,
+       (row_number() over (partition by anchor_id, positive_id order by score desc, other))::int as rank,
+       other as negative_id, positive_score, score as negative_score
+from positives join pairs using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, other) <= 3
+"""

@@ -11,6 +11,7 @@ from tallyspan.llm import (
     ann,
     chat,
     decontaminate,
+    hard_negatives,
     langid,
     licenses,
     merkle,
@@ -130,3 +131,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     even = F.coalesce(remainder("doc_id", 2) == 0, F.lit(False))
     return merkle.verified(table(spark, folder, "documents"), even)
+
+
+@query("op12_hard_negatives", oracles.HARD_NEGATIVES)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = hard_negatives.whole_numbers(table(spark, folder, "embeddings"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select("vec_id", label.alias("label"), "vector")
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
