@@ -15,6 +15,7 @@ from tallyspan.llm import (
     langid,
     licenses,
     merkle,
+    near_vectors,
     oracles,
     packing,
     pii,
@@ -139,3 +140,8 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = vectors.select("vec_id", label.alias("label"), "vector")
     return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+@query("op13_embedding_near_dedup")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, folder, "embeddings"))
