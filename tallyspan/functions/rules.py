@@ -53,11 +53,15 @@ INJECTION_RULES = [
                 r"\b(malware|ransomware|keyloggers?|virus|trojan)\b"),
 ]
 
-# Common words of hate, violence and abuse.
+# Wordings of hate, threats and incitement: general ones, one feature among others of the classifier
+# that judges unsafe content (``operators.classifiers``).
 UNSAFE_RULES = [
-    ("hate", r"\b(racist|hateful|bigot(ed)?|slurs?)\b"),
+    ("hate", r"\b(racist|hateful|bigot(ed)?|slurs?|subhuman|inferior race)\b"),
     ("violence", r"\b(tortur[a-z]*|massacre|behead[a-z]*|graphic violence)\b"),
-    ("abuse", r"\b(idiots?|morons?|scum|worthless|pathetic|losers?|disgusting|stupid|trash|clowns?)\b"),
+    ("threat", r"\b(i|we)('ll| will| am going to| are going to) (kill|hurt|hunt|beat|destroy) (you|them)\b"),
+    ("self_harm", r"\b(kill|hang|hurt) (yourself|yourselves)\b"),
+    ("insult", r"\byou('re| are)( all)? (an? |such an? )?(complete |utter |absolute )?"
+               r"(idiots?|fools?|cretins?|imbeciles?|disgrace)\b"),
 ]
 
 # How a model words a refusal.

@@ -302,13 +302,18 @@ def score_relevance(question: Column, answer: Column) -> Column:
     return F.when(size > 0, F.round(both / size, 6)).otherwise(0.0)
 
 
-def score_safety(answer: Column) -> Column:
-    """True if the answer holds no personal data, injection phrase or unsafe term."""
-    return (
+def score_safety(answer: Column, unsafe: Column | None = None) -> Column:
+    """True if the answer holds no personal data, no injection phrase and nothing unsafe.
+
+    ``unsafe``: what a classifier says of the answer (``flagged`` of ``policies.unsafe_flags``), besides
+    the general rules.
+    """
+    by_rules = (
         rules.first_pii(answer).isNull()
         & ~rules.any_rule(answer, rules.INJECTION_RULES)
         & ~rules.any_rule(answer, rules.UNSAFE_RULES)
     )
+    return by_rules if unsafe is None else by_rules & ~unsafe
 
 
 def score_guidelines(

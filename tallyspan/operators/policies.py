@@ -1,8 +1,8 @@
 """Content policies as column work.
 
-The detectors are patterns and keyword rules. They keep the contract of a
-gateway's policies - verdict, phase, reason - and do not claim the judgement of
-a model-based classifier.
+The detectors of personal data, injections and keywords are patterns and rules; unsafe content is
+judged by a classifier fitted on labelled texts. All keep the contract of a gateway's policies:
+verdict, phase, reason.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions import rules
 from tallyspan.functions.columns import bound
+from tallyspan.operators.classifiers import TextClassifier, fit_classifier
 
 
 def pii_findings(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -66,10 +67,14 @@ def injection_flags(
     return df.withColumn("flags", flags).withColumn("flagged", F.size("flags") > 0)
 
 
-def unsafe_flags(
-    df: DataFrame, text: str, table: Sequence[tuple[str, str]] = tuple(rules.UNSAFE_RULES)
-) -> DataFrame:
-    return injection_flags(df, text, table)
+def unsafe_flags(df: DataFrame, text: str, classifier: TextClassifier) -> DataFrame:
+    """Texts a fitted classifier finds unsafe; ``flags`` names the general rules they hit."""
+    return classifier.flags(df, text)
+
+
+def fit_unsafe(labelled: DataFrame, text: str, label: str, **how) -> TextClassifier:
+    """The classifier of unsafe content, with the general rules among its features."""
+    return fit_classifier(labelled, text, label, rules.UNSAFE_RULES, **how)
 
 
 def confusion(df: DataFrame, predicted: str, actual: str) -> DataFrame:
