@@ -68,20 +68,31 @@ def same_limits(log: DataFrame, qpm: int, tpm: int, key: str = "provider") -> Da
 
 
 def _limited(calls: DataFrame, limits: DataFrame, key: str) -> DataFrame:
-    """Calls with ``_qpm`` and ``_tpm``; a service must have both to be limited."""
-    side = limits.filter("qpm is not null and tpm is not null").select(
-        key, F.col("qpm").cast("bigint").alias("_qpm"), F.col("tpm").cast("bigint").alias("_tpm")
+    """Calls with ``_qpm`` and ``_tpm``; a service must have both to be limited.
+
+    Of several rows of a service the lowest limits hold.
+    """
+    side = limits.filter("qpm is not null and tpm is not null").groupBy(key).agg(
+        F.min(F.col("qpm").cast("bigint")).alias("_qpm"),
+        F.min(F.col("tpm").cast("bigint")).alias("_tpm"),
     )
     return _beside(calls, side, [key])
 
 
+def limited_calls(
+    log: DataFrame, limits: DataFrame, window: str = "1 minute", key: str = "provider"
+) -> DataFrame:
+    """Calls with ``window_start``, and ``_qpm`` and ``_tpm`` where their service is limited."""
+    return _limited(_calls(log, window), limits, key)
+
+
 def window_balances(
     log: DataFrame, limits: DataFrame, window: str = "1 minute", key: str = "provider",
     carried: DataFrame | None = None,
 ) -> DataFrame:
     """Per limited service and window: calls and tokens admitted, and the last admitted call.
 
-    ``limits`` are (key, qpm, tpm), one row a service; ``carried`` holds earlier balances
+    ``limits`` are (key, qpm, tpm); ``carried`` holds earlier balances
     ``(key, window_start, calls, spent)``.
     """
     group = [key, "window_start"]
@@ -193,7 +204,7 @@ def bucket_levels(
     """
     group = [key, "window_start"]
     seconds = F.unix_timestamp(F.col("window_start").cast("timestamp"))
-    length = _seconds_of(interval)
+    length = seconds_of(interval)
     at = F.floor(seconds / length).cast("bigint")
     demand = (
         _distinct(_calls(log, interval), group).groupBy(*group)
@@ -253,7 +264,7 @@ def bucket_levels(
     return walked.select(key, "e.*")
 
 
-def _seconds_of(interval: str) -> int:
+def seconds_of(interval: str) -> int:
     number, unit = interval.split()
     units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
     return int(number) * units[unit.rstrip("s")]

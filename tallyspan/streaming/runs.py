@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspan.storage import shared_folder
@@ -31,3 +34,25 @@ def arrivals(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(folder)
+
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started here keep their state in the store that keyed state and timers need.
+
+    A stream takes the setting when it starts and keeps it in its checkpoint; the session's own is put back.
+    """
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(
+        _PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)

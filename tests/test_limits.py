@@ -186,3 +186,47 @@ def test_a_bucket_over_many_blocks(spark, monkeypatch):
     rows = calls(11, n=500, span=6000)
     got = token_bucket(spark.createDataFrame(rows, CALLS), 2, 7).collect()
     assert {r.request_id: r.admitted for r in got} == sequential_bucket(rows, 2, 7)
+
+
+def batches_of(spark, folder, batches):
+    for rows in batches:
+        spark.createDataFrame(rows, CALLS).coalesce(1).write.mode("append").parquet(folder)
+    return arrivals(spark, folder, files_per_batch=1)
+
+
+def test_calls_delivered_again_in_later_batches_consume_once(spark, tmp_path):
+    second = datetime.timedelta(seconds=1)
+    first = ("a", START, 1, 5)
+    batches = [[first], [first, ("a", START + second, 2, 5)], [first, ("a", START + 2 * second, 3, 5)],
+               [("a", START + 3 * second, 4, 5), first, ("a", START + second, 2, 5)]]
+    path = str(tmp_path / "limit")
+    limits = spark.createDataFrame([("a", 3, 1000)], "provider string, qpm int, tpm int")
+    stream_rate_limit(
+        batches_of(spark, str(tmp_path / "calls"), batches), path, limits).awaitTermination()
+    rows = spark.read.parquet(f"{path}/verdicts").collect()
+    assert len(rows) == sum(map(len, batches))
+    assert {(r.request_id, r.admitted, r.limit_hit) for r in rows} == {
+        (1, True, None), (2, True, None), (3, True, None), (4, False, "qpm")}
+
+
+def test_calls_without_a_service_are_one_service(spark, tmp_path):
+    batches = [[(None, START + datetime.timedelta(seconds=k), k, 1), ("a", START, 10 + k, 1)]
+               for k in range(4)]
+    source = batches_of(spark, str(tmp_path / "calls"), batches)
+    limits = spark.createDataFrame([(None, 3, 1000)], "provider string, qpm int, tpm int")
+    window, bucket = str(tmp_path / "window"), str(tmp_path / "bucket")
+    stream_rate_limit(source, window, limits).awaitTermination()
+    got = {r.request_id: r.admitted for r in spark.read.parquet(f"{window}/verdicts").collect()}
+    assert got == {0: True, 1: True, 2: True, 3: False, **{10 + k: True for k in range(4)}}
+    stream_token_bucket(source, bucket, rate=1, burst=3).awaitTermination()
+    got = {r.request_id: r.admitted for r in spark.read.parquet(f"{bucket}/verdicts").collect()}
+    assert got == {**{k: k < 3 for k in range(4)}, **{10 + k: k < 3 for k in range(4)}}
+    assert spark.read.parquet(f"{bucket}/balances/batch=3").count() == 2
+
+
+def test_a_service_listed_twice_has_its_lowest_limits(spark):
+    log = spark.createDataFrame([("a", START, k, 1) for k in range(4)], CALLS)
+    limits = spark.createDataFrame([("a", 3, 100), ("a", 2, 1000)], "provider string, qpm int, tpm int")
+    got = rate_limit_fixed(log, limits).collect()
+    assert {r.request_id: r.admitted for r in got} == {0: True, 1: True, 2: False, 3: False}
+    assert len(got) == 4
