@@ -11,7 +11,7 @@ from tallyspan.plans.registry import query
 from tallyspan.sources.bindings import Tables
 from tallyspan.storage import shared_folder
 from tallyspan.streaming import limits as stream_limits
-from tallyspan.streaming import usage
+from tallyspan.streaming import transcripts, usage
 from tallyspan.streaming.runs import arrivals, drain
 
 
@@ -118,6 +118,30 @@ def _(t):
         "request_id", "provider", "admitted", "limit_hit")
 
 
+@query("stream_transcripts", over="t", sql="""+
+said AS (SELECT *, TIMESTAMP '2024-01-01' + to_minutes(
+    10 * CAST(substr(session_id, 9) AS BIGINT) + turn) AS event_time FROM c)
+SELECT session_id, min(event_time) AS session_start, max(event_time) + INTERVAL 30 MINUTE AS session_end,
+  count(*) AS turns, CAST(0 AS BIGINT) AS part, 'Judge this:' || chr(10) || string_agg(
+    coalesce(role, '') || ': ' || coalesce(text, ''), chr(10) ORDER BY event_time) || chr(10)
+    || 'Value?' AS transcript
+FROM said GROUP BY session_id
+HAVING session_end <= (SELECT max(event_time) - INTERVAL 15 MINUTE FROM said)""")
+def _(t):
+    """A conversation begins every ten minutes and has a message a minute; half an hour closes it."""
+    number = F.substring_index("session_id", "-", -1).cast("bigint")
+    seconds = 1_704_067_200 + 60 * (10 * number + F.col("turn"))
+    messages = t.conversation.withColumns({
+        "_at": seconds.cast("double"), "event_time": F.timestamp_seconds(seconds),
+    })
+    rows = drain(
+        transcripts.stream_transcripts(
+            _in_order(t, messages), 1800, template="Judge this:\n{{ conversation }}\nValue?"),
+        "transcripts", keyed=True,
+    )
+    return _plain_times(rows, "session_start", "session_end")
+
+
 _BUCKETED = """+
 h AS (SELECT provider, date_trunc('hour', event_time) AS w, count(*) AS c FROM p GROUP BY 1, 2),
 o AS (SELECT *, row_number() OVER (PARTITION BY provider ORDER BY w) AS i,

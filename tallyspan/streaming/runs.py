@@ -3,24 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspan.storage import shared_folder
 
 
-def drain(stream: DataFrame, label: str) -> DataFrame:
-    """Process all available input, append to Parquet, and return the rows written."""
+def drain(stream: DataFrame, label: str, keyed: bool = False) -> DataFrame:
+    """Process all available input, append to Parquet, and return the rows written.
+
+    ``keyed``: the stream has keyed state with timers (see ``keyed_state``).
+    """
     path = shared_folder(stream.sparkSession, label)
-    (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True)
-        .start(f"{path}/rows")
-        .awaitTermination()
     )
+    with keyed_state(stream.sparkSession) if keyed else nullcontext():
+        query = writer.start(f"{path}/rows")
+    query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
