@@ -1,46 +1,53 @@
 """Similarity search over documents, by vector or by words.
 
-Documents are read once, in Arrow batches, against a slice of the questions that
-a task can hold; each task keeps its best k per question, so what is shuffled is
-k rows per question and partition and never a question-document pair.
+No question passes through the driver, and no plan grows with their number. By vector, blocks of questions
+meet parts of the documents in tasks that keep their best k per question, so what is shuffled on is k rows per
+question and part and never a question-document pair. By words, questions look into an inverted
+index whose posting lists are cut into blocks by weight; blocks that cannot change an answer are not opened.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyspan.functions.rules import words
 from tallyspan.operators.ordered import first_n
 from tallyspan.storage import settle
 
-# Questions scored per pass over the documents. More questions take more passes.
-QUESTION_SLICE = 512
-# Cells (64 MB) of the question weights a task holds; longer questions take more passes.
-TABLE_CELLS = 1 << 23
-# Documents that are laid out side by side for one matrix product.
-DOCS_AT_ONCE = 256
+# Questions that meet a part of the documents in one task, and numbers (64 MB) in such a part.
+QUESTION_BLOCK = 2048
+PART_CELLS = 1 << 23
 # Scores are compared at this precision, so that equal texts tie wherever they lie.
 SCORE_DIGITS = 9
-
-
-def _slices(questions: DataFrame, size: int) -> Iterator[list]:
-    """The questions in runs of ``size`` rows, fetched one run at a time."""
-    rows = []
-    for row in questions.toLocalIterator():
-        rows.append(row)
-        if len(rows) == size:
-            yield rows
-            rows = []
-    if rows:
-        yield rows
+# Postings in a block of a word's list; words whose first blocks give a question its first bound.
+POSTINGS = 1 << 16
+# Word weights (32 MB) that are sent to the tasks at most; more of them are joined.
+SENT_WORDS = 1 << 21
+# Pairs of two ids that are sent at most.
+SENT_PAIRS = 1 << 18
+LEADING_WORDS = 8
+# Lists stay shut if all of them together are worth less than this share of a question's bound; a
+# larger share opens fewer lists and leaves more documents to score in full.
+SLACK = 0.1
+
+
+def finite(vector: Column) -> Column:
+    """True for a vector that can be compared: not null, not empty, all components numbers."""
+    return F.coalesce(
+        vector.isNotNull() & (F.size(vector) > 0)
+        & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))),
+        F.lit(False),
+    )
 
 
 class _Best:
@@ -75,19 +82,14 @@ class _Best:
         )
 
 
-def _arrow_type(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def _scan(
     docs: DataFrame, doc_key: str, question_key: str, question_kind: str, question_ids: list,
     k: int, score: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, list]]],
 ) -> DataFrame:
-    """Score all documents against one slice of questions; best k per partition."""
-    doc_kind = dict(docs.dtypes)[doc_key]
+    """Score all documents against a few given vectors; best k per partition."""
+    doc_kind = docs.schema[doc_key].dataType
     schema = pa.schema(
-        [(question_key, _arrow_type(question_kind)), (doc_key, _arrow_type(doc_kind)),
-         ("score", pa.float64())]
+        [(question_key, pa.int32()), (doc_key, to_arrow_type(doc_kind)), ("score", pa.float64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +100,7 @@ def _scan(
         yield best.batch(question_ids, schema)
 
     return docs.mapInArrow(
-        run, f"`{question_key}` {question_kind}, `{doc_key}` {doc_kind}, score double"
+        run, f"`{question_key}` {question_kind}, `{doc_key}` {doc_kind.simpleString()}, score double"
     )
 
 
@@ -124,34 +126,97 @@ def _vector_scan(docs, doc_key, vector, question_key, question_kind, ids, target
         if batch.num_rows:
             yield _unit_rows(_vectors(batch.column(1))) @ unit.T, batch.column(0).to_pylist()
 
-    held = docs.select(doc_key, vector).filter(F.col(vector).isNotNull())
+    same = F.size(vector) == unit.shape[1]
+    held = docs.select(doc_key, vector).filter(finite(F.col(vector)) & same)
     return _scan(held, doc_key, question_key, question_kind, ids, k, score)
 
 
+def _best_in_parts(question_type, doc_type, k: int):
+    """Rows (unit, side, question, doc, vector), questions first, to each question's best of the unit."""
+    schema = pa.schema([("question", question_type), ("doc", doc_type), ("score", pa.float64())])
+
+    def best(held: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        cut = int(np.searchsorted(rows.column("side").to_numpy(), 1))
+        if cut in (0, rows.num_rows):
+            return None
+        sides = [_unit_rows(_vectors(part.column("vector").combine_chunks()))
+                 for part in (rows.slice(0, cut), rows.slice(cut))]
+        ids = rows.slice(cut).column("doc").to_pylist()
+        found = _Best(cut, k)
+        for at in range(0, len(ids), 4096):
+            scores = sides[1][at : at + 4096] @ sides[0].T
+            found.offer(np.round(scores, SCORE_DIGITS), ids[at : at + 4096])
+        return found.batch(rows.slice(0, cut).column("question").to_pylist(), schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, unit = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            units = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(units[1:] != units[:-1]) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(units)]):
+                if held and units[a] != unit:
+                    if (out := best(held)) is not None:
+                        yield out
+                    held = []
+                unit = units[a]
+                held.append(batch.slice(a, b - a))
+        if held and (out := best(held)) is not None:
+            yield out
+
+    return run
+
+
 def question_doc_topk(
     questions: DataFrame, docs: DataFrame, k: int = 3, question_key: str = "question_id",
     question_vector: str = "question", doc_key: str = "doc_id", vector: str = "embedding",
-    slice_size: int = QUESTION_SLICE,
+    block: int = QUESTION_BLOCK, part_cells: int = PART_CELLS,
 ) -> DataFrame:
-    """Exact best k documents for every question by cosine: ``(question, doc, score, rank)``."""
-    kind = dict(questions.dtypes)[question_key]
-    wanted = questions.select(question_key, question_vector).filter(
-        F.col(question_vector).isNotNull())
-    found = None
-    for rows in _slices(wanted, slice_size):
-        ids, targets = [r[0] for r in rows], [r[1] for r in rows]
-        part = _vector_scan(docs, doc_key, vector, question_key, kind, ids, targets, k)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = _nothing(docs, doc_key, question_key, kind)
-    return _ranked(found, question_key, doc_key, k)
+    """Exact best k documents for every question by cosine: ``(question, doc, score, rank)``.
 
-
-def _nothing(docs: DataFrame, doc_key: str, question_key: str, question_kind: str) -> DataFrame:
-    doc_kind = dict(docs.dtypes)[doc_key]
-    return docs.sparkSession.createDataFrame(
-        [], f"`{question_key}` {question_kind}, `{doc_key}` {doc_kind}, score double"
-    )
+    Vectors that are null, empty or hold null or non-finite components take no part; a question meets the
+    documents of its own vector length. The documents go once to every ``block`` questions, in parts of ``part_cells``
+    numbers, and a task holds one block and one part.
+    """
+    def ready(rows: DataFrame, key: str, value: str) -> DataFrame:
+        held = F.col(value).cast("array<double>")
+        return rows.filter(finite(F.col(value))).select(F.col(key).alias("id"), held.alias("vector"))
+
+    asked = ready(questions, question_key, question_vector)
+    held = ready(docs, doc_key, vector)
+    # One row per vector length.
+    sizes = asked.groupBy(F.size("vector").alias("n")).agg(
+        F.ceil(F.count("*") / block).alias("blocks")
+    ).join(held.groupBy(F.size("vector").alias("n")).agg(
+        F.ceil(F.count("*") * F.first(F.size("vector")) / part_cells).alias("parts")), "n")
+    sizes = settle(sizes, "vector-sizes")
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        met = rows.withColumn("n", F.size("vector")).join(sizes, "n")
+        mine = F.pmod(F.xxhash64("id"), F.col(own))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        return met.select("n", "id", "vector", mine.alias(own[:-1]), every.alias(other[:-1]))
+
+    q_type, d_type = (rows.schema["id"].dataType for rows in (asked, held))
+    unit = F.xxhash64("n", "block", "part").alias("unit")
+    left = dealt(asked, "blocks", "parts").select(
+        unit, F.lit(0).alias("side"), F.col("id").alias("question"),
+        F.lit(None).cast(d_type).alias("doc"), "vector", "n", "block", "part")
+    right = dealt(held, "parts", "blocks").select(
+        unit, F.lit(1).alias("side"), F.lit(None).cast(q_type).alias("question"),
+        F.col("id").alias("doc"), "vector", "n", "block", "part")
+    found = (
+        left.union(right)
+        .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "unit")
+        .sortWithinPartitions("unit", "side").select("unit", "side", "question", "doc", "vector")
+        .mapInArrow(
+            _best_in_parts(to_arrow_type(q_type), to_arrow_type(d_type), k),
+            f"question {q_type.simpleString()}, doc {d_type.simpleString()}, score double",
+        )
+    ).toDF(question_key, doc_key, "score")
+    return _ranked(found, question_key, doc_key, k)
 
 
 def similarity_topk(
@@ -196,14 +261,16 @@ def lsh_table(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                buckets = _codes(_vectors(batch.column(1)), tables, bits, seed)
+            lengths = batch.column(1).value_lengths().to_numpy()
+            for n in np.unique(lengths):
+                rows = batch.take(pa.array(np.flatnonzero(lengths == n)))
+                buckets = _codes(_vectors(rows.column(1)), tables, bits, seed)
                 values = pa.array(buckets.tolist(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, values], names=[*batch.schema.names, "buckets"]
+                    [*rows.columns, values], names=[*rows.schema.names, "buckets"]
                 )
 
-    held = docs.select(doc_key, vector).filter(F.col(vector).isNotNull())
+    held = docs.select(doc_key, vector).filter(finite(F.col(vector)))
     coded = held.mapInArrow(
         run, f"`{doc_key}` {kind[doc_key]}, `{vector}` {kind[vector]}, buckets array<bigint>"
     )
@@ -220,6 +287,7 @@ def similarity_topk_lsh(
     fewer than k documents were found. ``buckets`` says how many were looked into.
     """
     target = np.asarray([list(query)], dtype=np.float64)
+    table = table.filter(F.size(vector) == target.shape[1])
     probes = {int(c) for c in _codes(target, tables, bits, seed)[0]}
     for _ in range(bits):
         probes |= {c ^ (1 << b) for c in probes for b in range(bits)}
@@ -240,108 +308,236 @@ def word_keys(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _word_counts(rows: DataFrame, key: str, text: str) -> DataFrame:
-    return (
-        rows.filter(F.col(text).isNotNull())
-        .select(F.col(key).alias("_id"), F.explode(word_keys(F.col(text))).alias("_word"))
-        .groupBy("_id", "_word").agg(F.count("*").alias("_n"))
-    )
-
-
-def _word_vectors(counts: DataFrame, weights: DataFrame, rest: float) -> DataFrame:
-    """``(_id, _words, _values)`` of length one; words no document has weigh ``rest``."""
-    weighed = counts.join(weights, "_word", "left").select(
+def _word_counts(rows: DataFrame, key: str, terms: Column) -> DataFrame:
+    """``(_id, _words, _counts)``: each row's distinct word keys in order; rows without words are left out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = batch.column(1).offsets.to_numpy()
+            flat = batch.column(1).values.to_numpy(zero_copy_only=False)
+            found = [np.unique(flat[a:b], return_counts=True) for a, b in zip(ends, ends[1:])]
+            cuts = pa.array(np.cumsum([0, *[len(w) for w, _ in found]]).astype(np.int32))
+            columns = [
+                pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(
+                    [np.zeros(0, dtype=np.int64), *[x[side] for x in found]])))
+                for side in (0, 1)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *columns], names=["_id", "_words", "_counts"])
+
+    held = rows.select(F.col(key).alias("_id"), terms.alias("_terms")).filter(F.size("_terms") > 0)
+    kind = dict(held.dtypes)["_id"]
+    return held.mapInArrow(run, f"_id {kind}, _words array<bigint>, _counts array<bigint>")
+
+
+def _word_vectors(counts: DataFrame, weights: DataFrame, rest: float, most: int) -> DataFrame:
+    """``(_id, _words, _values)`` of length one; words no document has weigh ``rest``.
+
+    Weights of at most ``most`` words go to the tasks as two sorted arrays; more of them are joined.
+    """
+    if weights.limit(most + 1).count() <= most:
+        table = weights.select("_word", "_weight").toArrow()
+        keys, values = (table.column(c).to_numpy() for c in ("_word", "_weight"))
+        order = np.argsort(keys)
+        shared = counts.sparkSession.sparkContext.broadcast((keys[order], values[order]))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, weight = shared.value
+            for batch in batches:
+                lists = batch.column(1)
+                flat = lists.values.to_numpy(zero_copy_only=False)
+                value = np.full(len(flat), rest)
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+                    value = np.where(known[place] == flat, weight[place], rest)
+                value = value * batch.column(2).values.to_numpy(zero_copy_only=False)
+                ends = lists.offsets.to_numpy()
+                row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+                norm = np.sqrt(np.bincount(row, weights=value * value, minlength=batch.num_rows))
+                value = value / np.where(norm > 0, norm, 1.0)[row]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), lists, pa.ListArray.from_arrays(lists.offsets, pa.array(value)),
+                     pa.array(norm)], names=["_id", "_words", "_values", "_norm"])
+
+        kind = dict(counts.dtypes)["_id"]
+        return counts.mapInArrow(
+            run, f"_id {kind}, _words array<bigint>, _values array<double>, _norm double"
+        ).filter("_norm > 0").drop("_norm")
+    single = counts.select("_id", F.explode(F.arrays_zip("_words", "_counts")).alias("x")).select(
+        "_id", F.col("x._words").alias("_word"), F.col("x._counts").alias("_n"))
+    weighed = single.join(weights, "_word", "left").select(
         "_id", "_word", (F.col("_n") * F.coalesce("_weight", F.lit(rest))).alias("_value")
     )
     gathered = weighed.groupBy("_id").agg(
-        F.collect_list("_word").alias("_words"), F.collect_list("_value").alias("_values"),
+        F.array_sort(F.collect_list(F.struct("_word", "_value"))).alias("x"),
         F.sqrt(F.sum(F.col("_value") * F.col("_value"))).alias("_norm"),
     )
     return gathered.filter("_norm > 0").select(
-        "_id", "_words", F.transform("_values", lambda v: v / F.col("_norm")).alias("_values")
+        "_id", F.col("x._word").alias("_words"),
+        F.transform("x", lambda x: x["_value"] / F.col("_norm")).alias("_values"),
     )
 
 
-def text_topk(
-    questions: DataFrame, docs: DataFrame, k: int = 3, question_key: str = "question_id",
-    question_text: str = "question", doc_key: str = "doc_id", text: str = "text",
-    slice_size: int = 128, terms: str | None = None,
-) -> DataFrame:
-    """Best k documents for every question by the cosine of TF-IDF weighted words.
+class TextIndex(NamedTuple):
+    """An inverted index over documents, written once."""
+
+    #: (_word, level, part, most, docs, values): a word's postings, in blocks of like value.
+    blocks: DataFrame
+    #: (_word, _weight)
+    weights: DataFrame
+    #: (_id, _words, _values): each document's words in order of their keys, of length one.
+    vectors: DataFrame
+    documents: int
+
+
+def text_index(
+    docs: DataFrame, doc_key: str = "doc_id", text: str = "text", terms: str | None = None,
+    postings: int = POSTINGS, sent: int = SENT_WORDS,
+) -> TextIndex:
+    """The index of ``docs``, whose keys are unique. ``terms`` names a column that holds their words as keys
+    already, as the entries of an incremental index do; ``text`` is not read then.
 
-    Weights are joined on the words themselves. Questions and documents without words, or null, find
-    and are nothing. ``terms`` names a column that holds the documents' words as keys already, as the
-    entries of an index do; ``text`` is not read then.
+    Blocks hold the postings of a word whose values are within a half power of two; ``postings`` is what they
+    are cut to on average for a word of all documents.
     """
-    kind = dict(questions.dtypes)[question_key]
-    if terms is None:
-        keyed = _word_counts(docs, doc_key, text)
-    else:
-        keyed = docs.select(F.col(doc_key).alias("_id"), F.explode(terms).alias("_word")).groupBy(
-            "_id", "_word").agg(F.count("*").alias("_n"))
-    counts = settle(keyed, "word-counts")
+    counts = settle(
+        _word_counts(docs, doc_key, word_keys(F.col(text)) if terms is None else F.col(terms)),
+        "word-counts",
+    )
     total = docs.count()
-    weights = counts.groupBy("_word").agg(
+    weights = settle(counts.select(F.explode("_words").alias("_word")).groupBy("_word").agg(
         (F.log(F.lit(total + 1.0)) - F.log(F.count("*") + F.lit(1.0))).alias("_weight")
+    ), "word-weights")
+    vectors = settle(_word_vectors(counts, weights, 0.0, sent), "word-vectors")
+    single = vectors.select("_id", F.explode(F.arrays_zip("_words", "_values")).alias("x")).select(
+        F.col("x._words").alias("_word"), "_id", F.col("x._values").alias("_value")
+    ).filter("_value > 0")
+    level = F.least(F.floor(F.log2("_value") * -2), F.lit(40)).cast("int")
+    blocks = single.groupBy(
+        "_word", level.alias("level"),
+        F.pmod(F.xxhash64("_id"), F.lit(math.ceil(total / postings) or 1)).alias("part"),
+    ).agg(
+        F.max("_value").alias("most"), F.collect_list("_id").alias("docs"),
+        F.collect_list("_value").alias("values"),
     )
-    weights = settle(weights, "word-weights")
-    # Laid out once: every slice of questions reads it again.
-    held = settle(_word_vectors(counts, weights, 0.0), "word-vectors").withColumnRenamed(
-        "_id", doc_key)
-    asked = _word_vectors(
-        _word_counts(questions, question_key, question_text), weights, math.log(total + 1.0)
+    return TextIndex(settle(blocks, "posting-blocks"), weights, vectors, total)
+
+
+def _dots():
+    """The inner product of the two vectors of each row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = [batch.column(c).offsets.to_numpy() for c in (2, 4)]
+            flat = [batch.column(c).values.to_numpy(zero_copy_only=False) for c in (2, 3, 4, 5)]
+            scores = np.zeros(batch.num_rows)
+            for i in range(batch.num_rows):
+                a, b = (slice(e[i], e[i + 1]) for e in ends)
+                _, p, q = np.intersect1d(flat[0][a], flat[2][b], assume_unique=True, return_indices=True)
+                scores[i] = flat[1][a][p] @ flat[3][b][q]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.round(scores, SCORE_DIGITS))],
+                names=["_question", "_id", "score"],
+            )
+
+    return run
+
+
+def _scored(pairs: DataFrame, asked: DataFrame, index: TextIndex) -> DataFrame:
+    """Pairs (_question, _id) with their whole score; few pairs go to the vectors, many meet them."""
+    pairs = settle(pairs, "question-documents")
+    if pairs.limit(SENT_PAIRS + 1).count() <= SENT_PAIRS:
+        pairs = F.broadcast(pairs)
+    both = index.vectors.toDF("_id", "_doc_words", "_doc_values").join(pairs, "_id").join(
+        asked, "_question"
+    ).select("_question", "_id", "_words", "_values", "_doc_words", "_doc_values")
+    kinds = dict(both.dtypes)
+    return both.mapInArrow(
+        _dots(), f"_question {kinds['_question']}, _id {kinds['_id']}, score double"
     )
-    found = None
-    for rows in _slices(asked, slice_size):
-        terms = [(np.asarray(r[1], dtype=np.int64), np.asarray(r[2])) for r in rows]
-        for lo, hi in _fitting([len(ids) for ids, _ in terms]):
-            known = np.unique(np.concatenate([ids for ids, _ in terms[lo:hi]]))
-            table = np.zeros((len(known), hi - lo))
-            for q, (ids, values) in enumerate(terms[lo:hi]):
-                table[np.searchsorted(known, ids), q] = values
-            names = [r[0] for r in rows[lo:hi]]
-            part = _word_scan(held, doc_key, question_key, kind, names, k, known, table)
-            found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = _nothing(docs, doc_key, question_key, kind)
-    return _ranked(found.filter(F.col("score") > 0), question_key, doc_key, k)
-
-
-def _fitting(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Runs of neighbouring questions whose weight table stays within TABLE_CELLS."""
-    start, words_held = 0, 0
-    for i, size in enumerate(sizes):
-        if i > start and (words_held + size) * (i - start + 1) > TABLE_CELLS:
-            yield start, i
-            start, words_held = i, 0
-        words_held += size
-    yield start, len(sizes)
-
-
-def _word_scan(held, doc_key, question_key, kind, ids, k, known, table):
-    # At most TABLE_CELLS numbers, or one question.
-    shared = held.sparkSession.sparkContext.broadcast((known, table))
 
-    def score(batch: pa.RecordBatch):
-        known, table = shared.value
-        doc_ids = batch.column(0).to_pylist()
-        lists, values = batch.column(1), batch.column(2)
-        ends = lists.offsets.to_numpy()
-        words_of = lists.values.to_numpy(zero_copy_only=False)
-        weight_of = values.values.to_numpy(zero_copy_only=False)
-        step = max(1, min(DOCS_AT_ONCE, TABLE_CELLS // max(1, len(known))))
-        for at in range(0, len(doc_ids), step):
-            top = min(at + step, len(doc_ids))
-            flat = words_of[ends[at]:ends[top]]
-            place = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-            hit = known[place] == flat
-            row = np.repeat(np.arange(top - at), np.diff(ends[at:top + 1]))
-            laid = np.zeros((top - at, len(known)))
-            laid[row[hit], place[hit]] = weight_of[ends[at]:ends[top]][hit]
-            yield laid @ table, doc_ids[at:top]
-
-    narrow = held.select(doc_key, "_words", "_values")
-    return _scan(narrow, doc_key, question_key, kind, ids, k, score)
+
+def search_index(
+    questions: DataFrame, index: TextIndex, k: int = 3, question_key: str = "question_id",
+    question_text: str = "question", doc_key: str = "doc_id", leading: int = LEADING_WORDS,
+    sent: int = SENT_WORDS,
+) -> DataFrame:
+    """Best k documents of an index for every question: ``(question, doc, score, rank)``.
+
+    The first blocks of a question's ``leading`` weightiest words give documents to score, and so a score that
+    the k-th answer cannot fall below. Vectors have length one, so documents that hold only the lightest of
+    a question's words score at most the length of that part of the question: the lists of words for
+    which this is small against the bound stay shut. What the others give, and the most that the shut
+    ones can add to it, leaves few documents to score in full.
+    """
+    vectors = _word_vectors(
+        _word_counts(questions, question_key, word_keys(F.col(question_text))), index.weights,
+        math.log(index.documents + 1.0), sent,
+    )
+    asked = settle(vectors.withColumnRenamed("_id", "_question"), "questions")
+    used = asked.select("_question", F.explode(F.arrays_zip("_words", "_values")).alias("x")).select(
+        "_question", F.col("x._words").alias("_word"), F.col("x._values").alias("weight")
+    )
+    blocks = index.blocks
+    tops = blocks.join(used.select("_word").distinct(), "_word", "left_semi").groupBy("_word").agg(
+        F.max("most").alias("top"), F.min("level").alias("first"))
+    worth = used.join(tops, "_word")
+    # A question's words meet in one task: they are bounded by its text.
+    falling = Window.partitionBy("_question").orderBy(F.col("weight").desc(), "_word")
+    from_here = falling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    worth = settle(worth.select(
+        "*", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(from_here)).alias("reach"),
+        F.row_number().over(Window.partitionBy("_question").orderBy(
+            (F.col("weight") * F.col("top")).desc(), "_word")).alias("place"),
+    ), "question-words")
+    begun = worth.filter(F.col("place") <= leading).join(
+        blocks, (worth["_word"] == blocks["_word"]) & (worth["first"] == blocks["level"])
+    ).select(
+        "_question", "weight", F.explode(F.arrays_zip("docs", "values")).alias("x")
+    ).groupBy("_question", F.col("x.docs").alias("_id")).agg(
+        F.sum(F.col("weight") * F.col("x.values")).alias("part"))
+
+    def bounds(promising: DataFrame) -> DataFrame:
+        """The k-th best whole score among the most promising documents of each question."""
+        tried = first_n(promising, ["_question"], [F.col("part").desc(), F.col("_id")], 8 * k)
+        sure = first_n(
+            _scored(tried.select("_question", "_id"), asked, index), ["_question"],
+            [F.col("score").desc(), F.col("_id")], k,
+        )
+        least = F.when(F.count("*") == k, F.min("score") - 2 * 10.0**-SCORE_DIGITS).otherwise(0.0)
+        return settle(sure.groupBy("_question").agg(least.alias("bound")), "question-bounds")
+
+    bound = bounds(begun)
+    ranked = worth.join(bound, "_question", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)))
+    needed = F.col("reach") * (1 + 1e-9) >= F.col("bound") * SLACK
+    # What all the words that stay shut can be worth.
+    shut = ranked.filter(~needed).groupBy("_question").agg(F.max("reach").alias("shut"))
+    opened = ranked.filter(needed).join(blocks, "_word").select(
+        "_question", "weight", F.explode(F.arrays_zip("docs", "values")).alias("x")
+    ).groupBy("_question", F.col("x.docs").alias("_id")).agg(
+        F.sum(F.col("weight") * F.col("x.values")).alias("part"),
+        F.sum(F.col("x.values") * F.col("x.values")).alias("held"),
+    )
+    opened = settle(opened, "opened-postings")
+    # Now that most of each score is known, the bound rises to about the k-th best score itself.
+    higher = bounds(opened)
+    left = F.sqrt(F.greatest(1 + 1e-9 - F.col("held"), F.lit(0.0)))
+    candidates = opened.join(shut, "_question", "left").join(higher, "_question").filter(
+        F.col("part") + F.coalesce("shut", F.lit(0.0)) * left >= F.col("bound")
+    ).select("_question", "_id")
+    scored = _scored(candidates, asked, index).filter("score > 0").toDF(question_key, doc_key, "score")
+    return _ranked(scored, question_key, doc_key, k)
+
+
+def text_topk(
+    questions: DataFrame, docs: DataFrame, k: int = 3, question_key: str = "question_id",
+    question_text: str = "question", doc_key: str = "doc_id", text: str = "text",
+    terms: str | None = None,
+) -> DataFrame:
+    """Best k documents for every question by the cosine of TF-IDF weighted words.
+
+    Questions and documents without words, or null, find and are nothing. ``terms`` as in ``text_index``.
+    """
+    index = text_index(docs, doc_key, text, terms)
+    return search_index(questions, index, k, question_key, question_text, doc_key)
 
 
 def answers_from_search(

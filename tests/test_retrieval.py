@@ -35,12 +35,12 @@ def best(vectors, query, k):
     return sorted(range(len(v)), key=lambda i: (-scores[i], i))[:k]
 
 
-@pytest.mark.parametrize("slice_size", [512, 3])
-def test_question_doc_topk(spark, docs, vectors, slice_size):
+@pytest.mark.parametrize("how", [{}, {"block": 3, "part_cells": 16 * 90}])
+def test_question_doc_topk(spark, docs, vectors, how):
     queries = [vectors[5], vectors[200], vectors[7] + vectors[8], -vectors[9]] * 3
     rows = [(f"q{i}", [float(x) for x in q]) for i, q in enumerate(queries)]
     asked = spark.createDataFrame(rows, "question_id string, question array<double>")
-    got = retrieval.question_doc_topk(asked, docs, 7, slice_size=slice_size).collect()
+    got = retrieval.question_doc_topk(asked, docs, 7, **how).collect()
     for name, query in rows:
         mine = sorted((r for r in got if r.question_id == name), key=lambda r: r.rank)
         assert [r.doc_id for r in mine] == best(vectors, np.asarray(query), 7), name
@@ -111,23 +111,69 @@ def test_questions_without_words_find_nothing(spark):
     assert retrieval.question_doc_topk(empty, vectors, 2).count() == 0
 
 
-@pytest.mark.parametrize("slice_size", [128, 2])
-def test_text_topk(spark, slice_size):
+@pytest.mark.parametrize("postings,leading,sent", [(1024, 8, 10**6), (4, 1, 0), (1, 2, 10**6)])
+def test_text_topk(spark, postings, leading, sent):
     rng = random.Random(1)
     vocabulary = [f"w{i}" for i in range(60)]
     docs = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(1, 40)))) for i in range(120)]
     docs += [(200 + i, docs[3][1]) for i in range(60)]
     questions = [(i, " ".join(rng.choices(vocabulary + ["unseen"], k=4))) for i in range(6)]
-    got = retrieval.text_topk(
-        spark.createDataFrame(questions, "question_id bigint, question string"),
-        spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5),
-        4, slice_size=slice_size,
+    index = retrieval.text_index(
+        spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5), postings=postings, sent=sent)
+    got = retrieval.search_index(
+        spark.createDataFrame(questions, "question_id bigint, question string"), index, 4, leading=leading, sent=sent
     ).orderBy("question_id", "rank").collect()
     want = brute_text(docs, questions, 4)
     for q, _ in questions:
         assert [r.doc_id for r in got if r.question_id == q] == want[q]
 
 
+def test_shut_lists_change_nothing(spark, monkeypatch):
+    """A frequent word next to a rare one: few of the frequent word's postings are scored."""
+    docs = [(i, "often " * (1 + i % 3) + f"own{i} filler{i % 7}") for i in range(600)]
+    docs += [(1000 + i, "often rare") for i in range(4)] + [(2000 + i, f"other{i}") for i in range(40)]
+    questions = [(0, "often rare"), (1, "often"), (2, "filler3 often rare own10")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    index = retrieval.text_index(frame, postings=16)
+    asked = spark.createDataFrame(questions, "question_id bigint, question string")
+    opened, whole = [], retrieval._scored
+    monkeypatch.setattr(
+        retrieval, "_scored", lambda pairs, *more: (opened.append(pairs.count()), whole(pairs, *more))[1])
+    got = retrieval.search_index(asked, index, 4).orderBy("question_id", "rank").collect()
+    want = brute_text(docs, questions, 4)
+    for q, _ in questions:
+        assert [r.doc_id for r in got if r.question_id == q] == want[q]
+    assert opened[-1] < 300  # of 1,808 pairs that share a word
+    assert index.blocks.groupBy("_word").count().agg(F.max("count")).first()[0] > 30
+
+
+def test_plans_do_not_grow_with_the_questions(spark, docs):
+    def nodes(count):
+        rows = [(i, [float(i + 1)] + [1.0] * (DIM - 1)) for i in range(count)]
+        asked = spark.createDataFrame(rows, "question_id int, question array<double>")
+        plan = retrieval.question_doc_topk(asked, docs, 2)._jdf.queryExecution().executedPlan().toString()
+        texts = spark.createDataFrame([(i, f"w{i}") for i in range(count)], "question_id int, question string")
+        texts = retrieval.text_topk(texts, docs.select("doc_id", F.concat(F.lit("w"), "doc_id").alias("text")), 2)
+        words = texts._jdf.queryExecution().executedPlan().toString()
+        return [(p.count("MapInArrow"), p.count("Scan")) for p in (plan, words)]
+
+    assert nodes(3) == nodes(2000)
+
+
+def test_vectors_that_cannot_be_compared_take_no_part(spark):
+    rows = [(1, [0.0, None]), (2, [float("nan"), 1.0]), (3, None), (4, []), (5, [float("inf"), 1.0]),
+            (6, [-1.0, 0.0]), (7, [1.0, 0.1]), (8, [1.0, 0.0, 0.0]), (9, [0.0, 0.0])]
+    docs = spark.createDataFrame(rows, "doc_id smallint, embedding array<double>")
+    got = retrieval.similarity_topk(docs, [1.0, 0.0], 5).orderBy("rank").collect()
+    assert [r.doc_id for r in got] == [7, 9, 6] and got[2].score == -1.0
+    rough = retrieval.similarity_topk_lsh(retrieval.lsh_table(docs), [1.0, 0.0], 3).collect()
+    assert {r.doc_id for r in rough} == {6, 7, 9}
+    asked = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, None), (4, [float("nan")])],
+                                  "question_id smallint, question array<double>")
+    found = retrieval.question_doc_topk(asked, docs, 5).orderBy("question_id", "rank").collect()
+    assert [(r.question_id, r.doc_id) for r in found] == [(1, 7), (1, 9), (1, 6), (2, 8)]
+
+
 def test_benchmark_passages_are_found(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     items = spark.read.parquet(f"{tiny}/benchmark.parquet")
