@@ -2,29 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
-
-from tallyspan.functions.rules import PII_PATTERNS
-
-
-def _passes_luhn(number: str) -> bool:
-    digits = [int(c) for c in reversed(number) if c.isdigit()]
-    doubled = [d * 2 - 9 if d > 4 else d * 2 for d in digits[1::2]]
-    return (sum(digits[::2]) + sum(doubled)) % 10 == 0
-
-
-class PiiFinder:
-    """``text -> (kind, value)``, one row per finding."""
 
-    def eval(self, text: str):
-        for kind, pattern in PII_PATTERNS.items():
-            for match in re.finditer(pattern, text or ""):
-                if kind != "credit_card" or _passes_luhn(match.group()):
-                    yield kind, match.group()
+from tallyspan.functions.rules import pii_array_sql
 
 
 def register(spark: SparkSession, name: str = "find_pii") -> None:
-    spark.udtf.register(name, udtf(PiiFinder, returnType="kind string, value string", useArrow=True))
+    """``name(text) -> (kind, value)``, one row per finding: a SQL function, inlined into the query's plan."""
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(content STRING) "
+        "RETURNS TABLE(kind STRING, value STRING) "
+        f"RETURN SELECT inline({pii_array_sql('content')})"
+    )

@@ -93,6 +93,17 @@ def pii_values(text: Column, kind: str) -> Column:
     return F.when(may_hold(text, kind), found).otherwise(F.array().cast("array<string>"))
 
 
+def pii_array_sql(text: str) -> str:
+    """SQL of ``pii_array`` for the column or parameter named ``text``."""
+    named = []
+    for kind, pattern in PII_PATTERNS.items():
+        found = f"regexp_extract_all({text}, r'{pattern}', 0)"
+        if kind == "credit_card":
+            found = f"filter({found}, v -> luhn_check(regexp_replace(v, '[ -]', '')))"
+        named.append(f"transform({found}, v -> named_struct('kind', '{kind}', 'value', v))")
+    return f"concat({', '.join(named)})"
+
+
 def pii_array(text: Column) -> Column:
     """``array<struct<kind, value>>`` of every finding, kinds in the order above."""
     def named(kind: str) -> Column:

@@ -269,7 +269,8 @@ def rolling_rate(
     """Requests and tokens per sliding window and service.
 
     Rows are summed per slide first, so only the sums are copied into the
-    windows that overlap them. ``size`` must be a multiple of ``slide``.
+    windows that overlap them. ``size`` must be a multiple of ``slide``. A row without a time
+    belongs to no window and is left out.
     """
     step = (
         log.groupBy(key, F.window("event_time", slide).alias("_step"))

@@ -72,12 +72,25 @@ def read_log_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(quote_name(name))
 
 
-def append_traces(df: DataFrame, table: str) -> None:
-    """Append traces to a table partitioned by day, so time filters skip whole days."""
-    (
-        df.withColumn("day", F.to_date("request_time"))
-        .repartition("day", F.pmod(F.xxhash64("trace_id"), F.lit(64)))
-        .write.mode("append")
-        .partitionBy("day")
-        .saveAsTable(quote_name(table))
+def append_traces(df: DataFrame, table: str, batch: str | None = None) -> None:
+    """Append traces to a table partitioned by day, so time filters skip whole days.
+
+    With ``batch``, the name of what is appended, the table is partitioned by batch first, and appending a
+    batch again replaces its own files and no others: after a failure the same call may be repeated.
+    """
+    spark, name = df.sparkSession, quote_name(table)
+    rows = df.withColumn("day", F.to_date("request_time")).repartition(
+        "day", F.pmod(F.xxhash64("trace_id"), F.lit(64))
     )
+    if batch is None:
+        rows.write.mode("append").partitionBy("day").saveAsTable(name)
+    elif not spark.catalog.tableExists(name):
+        rows.withColumn("batch", F.lit(batch)).write.partitionBy("batch", "day").saveAsTable(name)
+    else:
+        own = batch.replace("\\", "\\\\").replace("'", "\\'")
+        own = own.replace("{", "{{").replace("}", "}}")
+        columns = [c for c in spark.table(name).columns if c != "batch"]
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {name} PARTITION (batch = '{own}', day) SELECT * FROM {{rows}}",
+            rows=rows.select(*columns),
+        )

@@ -8,7 +8,7 @@ from tallyspan.sources.bindings import Tables
 
 # Queries whose work is a user function or an array kernel by nature.
 PYTHON = {
-    "judge_sessions", "evaluate_sessions", "row_scorer", "predict", "pii_finder", "similarity_topk",
+    "judge_sessions", "evaluate_sessions", "row_scorer", "predict", "similarity_topk",
     "question_doc_topk", "similarity_topk_lsh", "text_topk", "data_plus_docs", "index_search",
     "predict_by_search", "judge_transcripts",
 }

@@ -62,6 +62,22 @@ def test_traces_are_appended_by_day(spark):
     assert "PartitionFilters: [isnotnull(day" in day._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_batch_appended_again_replaces_itself(spark):
+    loads.ensure_schema(spark, "gov")
+
+    def traces(first, text="a"):
+        rows = [(f"t{i}", "r", datetime.datetime(2024, 1, 1 + i % 2), "q", text, {}, {})
+                for i in range(first, first + 4)]
+        return spark.createDataFrame(rows, schemas.TRACE)
+
+    for batch, rows in (("one", traces(0)), ("two", traces(10)), ("one", traces(0, "b")),
+                        ("two", traces(10)), ("it's {x}", traces(20)), ("it's {x}", traces(20))):
+        loads.append_traces(rows, "gov.y_traces", batch)
+    table = spark.table("gov.y_traces")
+    assert table.count() == 12 == table.select("trace_id").distinct().count()
+    assert {r.response for r in table.filter("batch = 'one'").collect()} == {"b"}
+
+
 CONFIGS = [
     ("main.gw.a", {"service_policies": [
         {"name": "pii", "options": {"phases": ["pre_call"], "action": "flag"}},
