@@ -40,7 +40,10 @@ FALLBACK = ([0.5, 0.5, 1.0, 1.0, 0.0], -3.0)
 
 
 def learned_rows(docs: DataFrame, labels: DataFrame, folds: Column) -> DataFrame:
-    """``(doc_id, toxic, fold)``: one document of each distinct labelled text."""
+    """``(doc_id, toxic, fold, t, u, copies)``: one document of each distinct labelled text.
+
+    ``copies``: how often the document's row is there.
+    """
     known = (
         labels.filter("toxic is not null and doc_id is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -51,15 +54,27 @@ def learned_rows(docs: DataFrame, labels: DataFrame, folds: Column) -> DataFrame
     known = settle(known, "labels")
     texts = docs.select(
         "doc_id", F.xxhash64("text").alias("t"), F.hash("text").alias("u")
-    ).join(small_side(known), "doc_id")
+    ).groupBy("doc_id", "t", "u").agg(F.count("*").alias("copies")).join(small_side(known), "doc_id")
     return settle(
         texts.groupBy("t", "u").agg(
-            F.min_by(F.struct("doc_id", "toxic", "fold"), "doc_id").alias("r")
-        ).select("r.*").distinct(),
+            F.min_by(F.struct("doc_id", "toxic", "fold", "copies"), "doc_id").alias("r")
+        ).select("r.*", "t", "u"),
         "learned",
     )
 
 
+def _labelled_texts(docs: DataFrame, learned: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each row of ``learned``: texts that stand there again, or other texts of a
+    doc_id, teach nothing.
+    """
+    keyed = docs.select("doc_id", "text", *text_keys())
+    rows = keyed.join(small_side(learned), ["doc_id", "t", "u"])
+    if learned.filter("copies > 1").isEmpty():
+        return rows
+    again = rows.filter("copies > 1").dropDuplicates(["doc_id", "t", "u"])
+    return rows.filter("copies = 1").union(again)
+
+
 def ratios(counts: DataFrame) -> tuple[DataFrame, float]:
     """``(hash, ratio)`` of log-likelihoods from counts (group 0/1, hash, n); and of other words."""
     both = counts.groupBy("hash").agg(
@@ -118,7 +133,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: Column,
         F.col("doc_id").cast("long").alias("doc_id"), "text", *(text_keys() if keyed else [])
     )
     learned = learned_rows(docs, labels, folds)
-    rows = docs.join(small_side(learned), "doc_id")
+    rows = _labelled_texts(docs, learned)
     group = F.col("fold") * 2 + F.col("toxic")
     counts = word_counts(rows, group, once=True, spelled=False).select(
         F.floor(F.col("group") / 2).alias("fold"), (F.col("group") % 2).alias("group"), "hash", "n"

@@ -57,6 +57,20 @@ class TestToxicity:
         empty = {r["score"] for r in rows if r["doc_id"] in (800, 801)}
         assert len(empty) == 1
 
+    def test_copies_of_rows_and_other_texts_of_an_id_move_no_score(self, labelled, spark):
+        docs, labels, _ = labelled
+        once = {(r["doc_id"], round(r["score"], 9)) for r in toxicity.score(
+            docs, labels, toxicity._folds()).collect()}
+        more = docs.union(docs).union(docs.filter("doc_id < 50"))
+        again = toxicity.score(more, labels, toxicity._folds()).collect()
+        assert {(r["doc_id"], round(r["score"], 9)) for r in again} == once
+        assert len(again) == more.count()
+        # Of the rows of an id all texts are learned from, each as often as its distinct text is there.
+        learned = toxicity.learned_rows(docs.select("doc_id", "text"), labels, toxicity._folds())
+        rows = toxicity._labelled_texts(more.select("doc_id", "text"), toxicity.learned_rows(
+            more.select("doc_id", "text"), labels, toxicity._folds()))
+        assert rows.count() == learned.count() == learned.select("t", "u").distinct().count()
+
     def test_held_out_labels_do_not_matter(self, labelled):
         docs, labels, _ = labelled
         turned = labels.withColumn(
