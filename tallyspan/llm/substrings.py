@@ -16,14 +16,17 @@ Texts that stand whole under a smaller ``doc_id`` are set aside first: all their
    the words they cover.
 
 Null texts have no words. Rows that repeat a ``doc_id`` with the same text all come back with the
-same result, and a doc_id is taken to have one text; a null ``doc_id`` is neither smaller nor larger than any, so its windows count
-nowhere. Extra columns of the input don't matter.
+same result. Texts that share a ``doc_id`` are judged each by its own windows, none of them earlier than the
+others. A null ``doc_id`` is neither smaller nor larger than any, so its windows count nowhere.
+Extra columns of the input don't matter.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -87,18 +90,11 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.int64) + int.from_bytes(blob[1:5], "little")
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
-    """Rows (key, blob) sorted by key, as (key, its blobs)."""
-    key, blobs = None, []
-    for batch in batches:
-        for k, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if k != key and blobs:
-                yield key, blobs
-                blobs = []
-            key = k
-            blobs.append(blob.as_py())
-    if blobs:
-        yield key, blobs
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[bytes]]]:
+    """Rows (key, blob) sorted by key, as (key, its blobs); blobs are read one after another."""
+    rows = ((key, blob) for batch in batches for key, blob in zip(batch.column(0).to_pylist(), batch.column(1)))
+    for key, same in groupby(rows, key=itemgetter(0)):
+        yield key, (blob.as_py() for _, blob in same)
 
 
 class Sketch:
@@ -198,6 +194,11 @@ def sketch_cells(text_bytes: int, most: int = MAX_CELLS) -> int:
 
 
 
+def _variants(values: np.ndarray) -> bytes:
+    """Which of a doc_id's texts is meant; nothing where every doc_id has one."""
+    return values.astype("<i8").tobytes() if values.any() else b""
+
+
 def _narrow(values: np.ndarray) -> bytes:
     """Numbers below 2**32 in as few bytes each as the largest one needs, with that width ahead."""
     most = int(values.max(initial=0))
@@ -205,12 +206,15 @@ def _narrow(values: np.ndarray) -> bytes:
     return bytes([width]) + values.astype(f"<u{width}").tobytes()
 
 
-def _entries(doc: np.ndarray, place, h, g) -> bytes:
+def _entries(doc: np.ndarray, variant, place, h, g) -> bytes:
     """Windows in document order, column by column: 12 bytes of hash, and small differences."""
-    docs, counts = np.unique(doc, return_counts=True)
-    order = np.lexsort((place, doc))
+    order = np.lexsort((place, variant, doc))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (np.diff(doc[order]) != 0) | (np.diff(variant[order]) != 0)
+    firsts = np.flatnonzero(new)
+    counts = np.diff(np.append(firsts, len(order)))
+    docs, variants = doc[order][firsts], variant[order][firsts]
     steps = np.diff(place[order], prepend=0)
-    firsts = np.cumsum(counts) - counts
     steps[firsts] = place[order][firsts]
     far = np.flatnonzero(steps > 255)
     head = np.array([len(order), len(docs), len(far)], dtype="<u4")
@@ -218,7 +222,7 @@ def _entries(doc: np.ndarray, place, h, g) -> bytes:
         head.tobytes(), docs.astype("<i8").tobytes(), h[order].astype("<u8").tobytes(),
         (g[order] >> np.uint64(32)).astype("<u4").tobytes(), far.astype("<u4").tobytes(),
         steps[far].astype("<u4").tobytes(), np.minimum(steps, 255).astype("u1").tobytes(),
-        _narrow(counts),
+        _narrow(counts), _variants(variants),
     ])
 
 
@@ -231,16 +235,18 @@ def _read(blob: bytes):
         at += count * np.dtype(kind).itemsize
     names, h, g, where, steps, small = out
     counts = np.frombuffer(blob, dtype=f"<u{blob[at]}", count=docs, offset=at + 1).astype(np.int64)
+    at += 1 + blob[at] * docs
+    variants = np.frombuffer(blob, dtype="<i8", offset=at) if at < len(blob) else np.zeros(docs, np.int64)
     each = small.astype(np.int64)
     each[where] = steps
     total = np.cumsum(each)
     firsts = np.cumsum(counts) - counts
     place = total - np.repeat(total[firsts] - each[firsts], counts)
-    return np.repeat(names, counts), place, h, g
+    return np.repeat(names, counts), np.repeat(variants, counts), place, h, g
 
 
 def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) -> DataFrame:
-    """``(doc_id, place)`` of every window that also starts in a smaller ``doc_id``."""
+    """``(doc_id, variant, place)`` of every window that also starts in a smaller ``doc_id``."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(found)
     shift = np.uint64(64 - (ranges - 1).bit_length()) if ranges > 1 else None
@@ -250,22 +256,23 @@ def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) ->
         for batch in batches:
             ids = batch.column(0)
             known = np.asarray(ids.is_valid())
-            ids = ids.fill_null(0).to_numpy()
-            for first, row, place, h, g in _windows(batch.column(1), window, exact=True):
+            ids, variants = ids.fill_null(0).to_numpy(), batch.column(1).to_numpy()
+            for first, row, place, h, g in _windows(batch.column(2), window, exact=True):
                 seen, often = shared.value.repeated(h)
                 keep = (often if hot else seen & ~often) & known[first + row]
-                yield ids[first + row[keep]], place[keep], h[keep], g[keep]
+                at = first + row[keep]
+                yield ids[at], variants[at], place[keep], h[keep], g[keep]
 
     def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(parts):
-            doc, place, h, g = (np.concatenate(p) for p in zip(*parts))
+            doc, variant, place, h, g = (np.concatenate(p) for p in zip(*parts))
             key = (h >> shift).astype(np.int64) if shift is not None else np.zeros(len(h), np.int64)
             order = np.argsort(key, kind="stable")
             cuts = np.flatnonzero(np.diff(key[order])) + 1
             keys, blobs = [], []
             for rows in np.split(order, cuts):
                 keys.append(int(key[rows[0]]))
-                blobs.append(_entries(doc[rows], place[rows], h[rows], g[rows]))
+                blobs.append(_entries(doc[rows], variant[rows], place[rows], h[rows], g[rows]))
             return pa.RecordBatch.from_arrays(
                 [pa.array(keys, type=pa.int32()), pa.array(blobs, type=pa.binary())],
                 names=["key", "blob"],
@@ -283,45 +290,46 @@ def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) ->
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blobs in _grouped(batches):
-            doc, place, h, g = (np.concatenate(p) for p in zip(*map(_read, blobs)))
+            doc, variant, place, h, g = (np.concatenate(p) for p in zip(*map(_read, blobs)))
             order = np.lexsort((doc, g, h))
-            h, g, doc, place = h[order], g[order], doc[order], place[order]
+            h, g, doc, place, variant = h[order], g[order], doc[order], place[order], variant[order]
             new = np.ones(len(h), dtype=bool)
             new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
             smallest = doc[new][np.cumsum(new) - 1]
             keep = doc > smallest
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[keep]), pa.array(place[keep].astype(np.int32))],
-                names=["doc_id", "place"],
+                [pa.array(doc[keep]), pa.array(variant[keep]), pa.array(place[keep].astype(np.int32))],
+                names=["doc_id", "variant", "place"],
             )
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = docs.select("doc_id", "variant", "text")
     places = (
         source.mapInArrow(cold, "key int, blob binary")
         .repartition(partitions(spark), "key")
         .sortWithinPartitions("key")
-        .mapInArrow(group, "doc_id long, place int")
+        .mapInArrow(group, "doc_id long, variant long, place int")
     )
     if not any_hot:
         return places
 
     def hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc, place, h, g in scan(batches, hot=True):
+        for doc, variant, place, h, g in scan(batches, hot=True):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc), pa.array(place.astype(np.int32)), pa.array(h.view(np.int64)),
-                 pa.array((g >> np.uint64(32)).astype(np.int64))],
-                names=["doc_id", "place", "h", "g"],
+                [pa.array(doc), pa.array(variant), pa.array(place.astype(np.int32)),
+                 pa.array(h.view(np.int64)), pa.array((g >> np.uint64(32)).astype(np.int64))],
+                names=["doc_id", "variant", "place", "h", "g"],
             )
 
-    rows = source.mapInArrow(hot, "doc_id long, place int, h long, g long")
+    rows = source.mapInArrow(hot, "doc_id long, variant long, place int, h long, g long")
     firsts = rows.groupBy("h", "g").agg(F.min("doc_id").alias("first"))
     return places.union(
-        rows.join(firsts, ["h", "g"]).filter("doc_id > first").select("doc_id", "place")
+        rows.join(firsts, ["h", "g"]).filter("doc_id > first").select("doc_id", "variant", "place")
     )
 
 
 def copies(docs: DataFrame) -> DataFrame:
-    """``(doc_id, key)`` of rows whose whole text also stands under a smaller doc_id."""
+    """``(doc_id, key, copied, several)`` of texts that also stand whole under a smaller doc_id, and of
+    texts whose doc_id has others."""
     keys = settle(
         docs.filter("doc_id is not null and text is not null").select(
             "doc_id", F.xxhash64("text").alias("key"), F.hash("text").alias("other"),
@@ -332,9 +340,16 @@ def copies(docs: DataFrame) -> DataFrame:
     texts = keys.groupBy("key", "other", "size").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
     ).filter("first < last")
-    return keys.join(texts, ["key", "other", "size"]).filter("doc_id > first").select(
-        "doc_id", "key"
-    ).distinct()
+    copied = keys.join(texts, ["key", "other", "size"]).filter("doc_id > first").select(
+        "doc_id", "key", F.lit(True).alias("copied"), F.lit(False).alias("several")
+    )
+    shared = keys.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a < b")
+    several = keys.join(shared, "doc_id", "left_semi").select(
+        "doc_id", "key", F.lit(False).alias("copied"), F.lit(True).alias("several")
+    )
+    return copied.union(several).groupBy("doc_id", "key").agg(
+        F.max("copied").alias("copied"), F.max("several").alias("several")
+    )
 
 
 _KEPT = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
@@ -356,8 +371,6 @@ def _drop_words(window: int):
                 elif places.is_valid:
                     at = places.values.to_numpy()
                     steps = np.zeros(n + 1, dtype=np.int64)
-                    # A place beyond the text belongs to another text of the same doc_id.
-                    at = at[at + window <= n]
                     np.add.at(steps, at, 1)
                     np.add.at(steps, at + window, -1)
                     words = [words[k] for k in np.flatnonzero(np.cumsum(steps[:-1]) <= 0)]
@@ -383,14 +396,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_C
     ``kept`` are the words that stay, joined by single spaces.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    copied = settle(copies(docs), "copies").select(
-        F.col("doc_id").alias("_doc"), F.col("key").alias("_key")
+    known = settle(copies(docs), "copies").select(
+        F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.col("copied").alias("_copied"), "several"
     )
+    none = F.lit(False)
     marked = docs.join(
-        small_side(copied, sent_ids),
+        small_side(known, sent_ids),
         (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left",
-    ).select("doc_id", "text", F.col("_doc").isNotNull().alias("copied"))
-    fresh = marked.filter("not copied").select("doc_id", "text")
+    ).select(
+        "doc_id", "text", F.coalesce("_copied", none).alias("copied"),
+        F.when(F.coalesce("several", none), F.col("_key")).otherwise(F.lit(0)).cast("long").alias("variant"),
+    )
+    fresh = marked.filter("not copied").select("doc_id", "variant", "text")
 
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     # Ranges of the hash that hold about half a million candidates each.
@@ -398,24 +415,24 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_C
     found = sketch(fresh, sketch_cells(size, max_cells), hot, window)
     per_doc = settle(
         covered_places(fresh, window, ranges, found)
-        .groupBy("doc_id").agg(F.collect_list("place").alias("places")),
+        .groupBy("doc_id", "variant").agg(F.collect_list("place").alias("places")),
         "covered-places",
     )
 
-    none = F.lit(None).cast("array<int>").alias("places")
-    touched = per_doc.select(F.col("doc_id").alias("_id"))
+    touched = per_doc.select(F.col("doc_id").alias("_id"), F.col("variant").alias("_variant"))
+    text = ["doc_id", "variant"]
     drop = _drop_words(window)
     if touched.count() > sent_ids:
-        whole = marked.join(per_doc, "doc_id", "left").select("doc_id", "text", "copied", "places")
+        whole = marked.join(per_doc, text, "left").select("doc_id", "text", "copied", "places")
         return whole.mapInArrow(drop, _KEPT)
     # Only texts that lose words meet their places; the others are not moved.
     side = F.broadcast(touched)
-    same = F.col("doc_id") == F.col("_id")
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("variant") == F.col("_variant"))
     losing = (
-        marked.filter("not copied").join(side, same, "left_semi").join(per_doc, "doc_id")
+        marked.filter("not copied").join(side, same, "left_semi").join(per_doc, text)
         .select("doc_id", "text", "copied", "places")
     )
     others = marked.filter("copied").union(
         marked.filter("not copied").join(side, same, "left_anti")
-    ).select("doc_id", "text", "copied", none)
+    ).select("doc_id", "text", "copied", F.lit(None).cast("array<int>").alias("places"))
     return losing.mapInArrow(drop, _KEPT).union(others.mapInArrow(drop, _KEPT))

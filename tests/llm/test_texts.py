@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyspan.llm import decontaminate, packing, pii, simhash, substrings
 from tallyspan.llm.bytewords import LOWER_WORD, NOT_SPACE, find_words, slices, span_hashes
@@ -376,13 +377,26 @@ class TestSubstrings:
             place = random.integers(0, 100_000, size=n)
             h = random.integers(0, 1 << 63, size=n).astype(np.uint64)
             g = random.integers(0, 1 << 63, size=n).astype(np.uint64)
-            got = substrings._read(substrings._entries(doc, place, h, g))
-            want = sorted(zip(doc, place, h, g >> np.uint64(32)))
-            assert sorted(zip(*got)) == want
+            for texts in (1, 3):
+                variant = random.integers(0, texts, size=n)
+                got = substrings._read(substrings._entries(doc, variant, place, h, g))
+                want = sorted(zip(doc, variant, place, h, g >> np.uint64(32)))
+                assert sorted(zip(*got)) == want
+
+    def test_texts_of_one_doc_id_lose_their_own_words_only(self, spark):
+        random = np.random.default_rng(3)
+        shared, alone = (" ".join(f"{c}{k}" for k in random.integers(0, 10**6, size=40)) for c in "ab")
+        data = [(1, shared), (2, shared[2:]), (2, alone), (2, shared), (3, alone), (3, alone), (3, "b"),
+                (None, shared), (2, None)]
+        frame = spark.createDataFrame(data, "doc_id long, text string").withColumns(
+            {c: F.lit(1) for c in ("variant", "several", "_doc", "copied")})
+        for ids in (10**6, 0):
+            got = substrings.remove_repeats(frame, sent_ids=ids)
+            assert sorted((str(r[0]), r[1], r[2], r[4]) for r in got.collect()) == self.plain(data, 13)
 
     def test_empty(self, nothing):
         assert substrings.remove_repeats(nothing).count() == 0
 
 
 def test_queries_are_registered():
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 14))
