@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 Unit vectors go through three rounds of random signs and a fast Hadamard transform; the
-nearest signed axis, the largest component and its sign, is the hash. A table joins one or two such
-hashes, two from ``AXES_VECTORS`` vectors on, so that buckets stay small. Every vector is
-filed once in each of ``TABLES`` tables; a query looks into its own bucket and the next best ones.
+nearest signed axis, the largest component and its sign, is the hash. A table joins ``hashes`` of
+them, ``HASHES`` at every size of the input unless the caller asks for more and smaller buckets. Every vector is
+filed once in each of ``TABLES`` tables; a query looks into its own bucket and the next best ones,
+which come out of the sorted axes of each hash without all combinations being formed.
 
 How many buckets it looks into is measured, not guessed: ``SAMPLE`` queries are answered by
 brute force over all rows in one pass, and the number is the smallest one that finds ``RECALL`` of
 their neighbours. The sample is all that the index is fitted on; every row is filed. Queries that
-find too few rows there look into eight times as many buckets, and so on, at last into all of them.
+find too few rows there look into eight times as many buckets, and so on; what is still short after that is held
+against all rows, in blocks.
 
 Candidates are not written out as pairs. The vectors of a bucket and the queries that look into it
 meet in one task, in parts of at most ``PART`` vectors, and every query takes its best few from
@@ -16,13 +18,15 @@ there by exact cosine in double precision.
 
 Equal vectors are one class: only the first is filed, and a class needs no more members than the
 neighbours asked for, and one, since they tie and the smaller ids win. Vectors that are null,
-empty, zero, or hold null or non-finite components take no part, nor do rows without vec_id or of another
-length than most rows have. Repeated rows count once.
+empty, zero, or hold null or non-finite components take no part, nor do rows without vec_id. Vectors of
+different lengths have no cosine: each length has an index of its own, and lengths are searched one after another.
+Repeated rows count once; of a vec_id with several vectors each has its own list, and none is in another's.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +37,7 @@ from tallyspan.llm.tables import partitions
 from tallyspan.storage import settle
 
 TABLES = 4
-AXES_VECTORS = 1_000_000
+HASHES = 1
 SAMPLE = 96
 RECALL = 0.96
 PART = 8192
@@ -70,19 +74,48 @@ class Index:
             found = found * 2 * self.width + self._rotated(units, table, k).argmax(axis=1)
         return found
 
-    def closeness(self, units: np.ndarray, table: int) -> np.ndarray:
-        """For each unit vector, how near it is to each bucket's axes."""
+    def _nearest(self, units: np.ndarray, table: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """(buckets, sums of their axes' components), the ``count`` largest sums of each row."""
+        rows = np.arange(len(units))[:, None]
+        found = np.zeros((len(units), 1), dtype=np.int64)
         total = np.zeros((len(units), 1))
         for k in range(self.hashes):
             side = self._rotated(units, table, k)
-            total = (total[:, :, None] + side[:, None, :]).reshape(len(units), -1)
-        return total
+            axes = np.argsort(-side, axis=1, kind="stable")[:, :count]
+            # With both sorted, place (i, j) has (i + 1) * (j + 1) - 1 others before it at least.
+            i, j = np.array([
+                (i, j) for i in range(total.shape[1]) for j in range(min(axes.shape[1], -(-count // (i + 1))))
+                if (i + 1) * (j + 1) <= count
+            ]).T
+            sums = total[:, i] + side[rows, axes[:, j]]
+            best = np.argsort(-sums, axis=1, kind="stable")[:, :count]
+            total = np.take_along_axis(sums, best, axis=1)
+            found = found[rows, i[best]] * 2 * self.width + axes[rows, j[best]]
+        return found, total
 
     def probes(self, units: np.ndarray, table: int, count: int) -> np.ndarray:
-        near = self.closeness(units, table)
-        if count >= near.shape[1]:
-            return np.broadcast_to(np.arange(near.shape[1]), near.shape)
-        return np.argpartition(-near, count - 1, axis=1)[:, :count]
+        return self._nearest(units, table, min(count, self.buckets))[0]
+
+    def ranks(self, asked: np.ndarray, units: np.ndarray, table: int) -> np.ndarray:
+        """At which place of each ``asked`` vector's probes the bucket of its partner in ``units`` comes."""
+        bucket = self.bucket(units, table)
+        sides = [self._rotated(asked, table, k) for k in range(self.hashes)]
+        axes = []
+        for _ in sides:
+            axes.append(bucket % (2 * self.width))
+            bucket = bucket // (2 * self.width)
+        axes.reverse()
+        rows = np.arange(len(asked))
+        mine = sum(side[rows, axis] for side, axis in zip(sides, axes))
+        places = np.ones(len(asked), dtype=np.int64)
+        for row in rows:
+            sums = np.zeros(1)
+            for side in sides[:-1]:
+                sums = (sums[:, None] + side[row]).reshape(-1)
+            last = np.sort(sides[-1][row])
+            above = len(last) - np.searchsorted(last, mine[row] - sums + 1e-12, side="right")
+            places[row] += int(above.sum())
+        return places
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
@@ -116,19 +149,15 @@ def _best(queries: np.ndarray, units: np.ndarray, ids: np.ndarray, count: int):
     return place, ids[order].reshape(-1), np.take_along_axis(cosines, order, axis=1).reshape(-1)
 
 
-def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
-    """Rows (vec_id, embedding) that take part, and their length."""
+def usable(vectors: DataFrame) -> DataFrame:
+    """Rows (vec_id, embedding) that take part."""
     double = F.col("embedding").cast("array<double>")
     good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), double.alias("embedding"))
-    good = good.filter(
+    return good.filter(
         "vec_id is not null and embedding is not null and size(embedding) > 0"
         " and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf'))"
         " and exists(embedding, x -> x != 0)"
     )
-    sizes = good.groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("rows"))
-    common = sizes.orderBy(F.desc("rows"), "n").first()
-    length = common["n"] if common else 1
-    return good.filter(F.size("embedding") == length), length
 
 
 def _measured_probes(base: DataFrame, queries: DataFrame, index: Index, neighbours: int,
@@ -173,9 +202,7 @@ def _measured_probes(base: DataFrame, queries: DataFrame, index: Index, neighbou
         return 1
     needed = np.full(len(place), index.buckets)
     for table in range(index.tables):
-        near = index.closeness(asked, table)[place]
-        mine = near[np.arange(len(place)), index.bucket(units, table)]
-        needed = np.minimum(needed, (near > mine[:, None]).sum(axis=1) + 1)
+        needed = np.minimum(needed, index.ranks(asked[place], units, table))
     return int(np.sort(needed)[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)])
 
 
@@ -212,10 +239,23 @@ def _search(dimension: int, count: int):
 
 
 def neighbours(vectors: DataFrame, asked: Column, count: int = 5, tables: int = TABLES,
-               recall: float = RECALL, part: int = PART) -> DataFrame:
+               recall: float = RECALL, part: int = PART, hashes: int = HASHES) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the nearest found of every row that ``asked`` is true for."""
-    spark = vectors.sparkSession
-    good, dimension = usable(vectors)
+    good = usable(vectors)
+    length = F.size("embedding")
+    lengths = sorted(r["n"] for r in good.select(length.alias("n")).distinct().toLocalIterator())
+    found = [
+        _among(good.filter(length == n) if len(lengths) > 1 else good, n, asked, count, tables,
+               recall, part, hashes)
+        for n in lengths or [1]
+    ]
+    return reduce(DataFrame.union, found)
+
+
+def _among(good: DataFrame, dimension: int, asked: Column, count: int, tables: int, recall: float,
+           part: int, hashes: int) -> DataFrame:
+    """``neighbours`` among vectors of one length."""
+    spark = good.sparkSession
     # Equal vectors have equal keys; 96 bits tell different ones apart.
     good = good.withColumns({"k1": F.xxhash64("embedding"), "k2": F.hash("embedding")})
     narrow = settle(good.select("vec_id", "k1", "k2").distinct(), "vector-keys")
@@ -238,14 +278,15 @@ def neighbours(vectors: DataFrame, asked: Column, count: int = 5, tables: int =
     queries = settle(queries, "queries")
     asking = base.join(queries.select("id").distinct(), "id", "left_semi")
 
-    index = Index(dimension, 1 if base.count() <= AXES_VECTORS else 2, tables)
+    index = Index(dimension, hashes, tables)
     look = _measured_probes(base, asking, index, count, recall)
 
     def file(probes: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            step = max(1, min(1024, (1 << 19) // max(1, probes)))
             for batch in batches:
-                for at in range(0, batch.num_rows, 1024):
-                    rows = batch.slice(at, 1024)
+                for at in range(0, batch.num_rows, step):
+                    rows = batch.slice(at, step)
                     units = _units(_matrix(rows.column(1), dimension))
                     for table in range(tables):
                         if probes:
@@ -273,10 +314,22 @@ def neighbours(vectors: DataFrame, asked: Column, count: int = 5, tables: int =
     ).select(key, F.lit(0).alias("side"), "id")
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "id")
 
-    def nearest(looked: DataFrame) -> DataFrame:
+    def in_buckets(looked: DataFrame) -> DataFrame:
         right = looked.join(parts, ["table", "bucket"]).withColumn(
             "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         ).select(key, F.lit(1).alias("side"), "id")
+        return nearest(left, right)
+
+    def in_all(looking: DataFrame) -> DataFrame:
+        blocks = max(1, -(-base.count() // part))
+        rows = base.select(
+            F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("key"), F.lit(0).alias("side"), "id"
+        )
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("key")
+        right = looking.select(each, F.lit(1).alias("side"), "id")
+        return nearest(rows, right)
+
+    def nearest(left: DataFrame, right: DataFrame) -> DataFrame:
         met = left.union(right).join(base, "id").select("key", "side", "id", "embedding")
         found = (
             met.repartition(partitions(spark), "key")
@@ -287,7 +340,7 @@ def neighbours(vectors: DataFrame, asked: Column, count: int = 5, tables: int =
         best = best.withColumn("n", F.row_number().over(ranked)).filter(F.col("n") <= count + 1)
         return settle(best.drop("n"), "nearest")
 
-    classes = nearest(asking.mapInArrow(file(look), places))
+    classes = in_buckets(asking.mapInArrow(file(look), places))
     members = named.select("id", F.size("ids").alias("members"))
     while look < index.buckets:
         enough = classes.join(members, "id").groupBy("query").agg(F.sum("members").alias("rows"))
@@ -297,16 +350,14 @@ def neighbours(vectors: DataFrame, asked: Column, count: int = 5, tables: int =
             break
         look *= 8
         if look * 4 > index.buckets:
-            # One table holds every vector.
             look = index.buckets
-            everywhere = filed.filter("table = 0").select("table", "bucket").distinct()
-            looked = short.select("id").crossJoin(everywhere).select("table", "bucket", "id")
+            more = in_all(short)
         else:
-            looked = short.mapInArrow(file(look), places)
+            more = in_buckets(short.mapInArrow(file(look), places))
         known = classes.join(
             short.select(F.col("id").alias("query")), "query", "left_anti"
         ).select("query", "id", "score")
-        classes = known.union(nearest(looked))
+        classes = known.union(more)
     each = classes.join(named.select("id", "ids"), "id").select(
         "query", "score", F.explode("ids").alias("vec_id")
     )

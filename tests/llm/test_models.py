@@ -314,6 +314,47 @@ class TestNeighbours:
         assert len(got) == sum(k % 4 <= 1 for k, _ in rows)
         assert {r["count"] for r in got} == {5}
 
+    def test_each_length_is_searched(self, spark):
+        random = np.random.default_rng(4)
+        rows = [(k, random.normal(size=8).tolist()) for k in range(120)]
+        rows += [(1000 + k, random.normal(size=4).tolist()) for k in range(60)] + [(2000, [1.0])]
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = ann.neighbours(vectors, F.col("vec_id") % 50 == 0).collect()
+        lists = {}
+        for r in got:
+            lists.setdefault(r["query_id"], []).append(r["vec_id"])
+        assert lists.keys() == {0, 50, 100, 1000, 1050}
+        for q, found in lists.items():
+            assert len(found) == 5 and all((q < 1000) == (n < 1000) for n in found)
+
+    def test_two_hashes_a_table(self, spark):
+        random = np.random.default_rng(6)
+        centres = random.normal(size=(12, 16))
+        rows = [(k, (centres[k % 12] + 0.3 * random.normal(size=16)).tolist()) for k in range(400)]
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        want = self.plain(rows, 10)
+        got = ann.neighbours(vectors, F.col("vec_id") % 10 == 0, hashes=2).collect()
+        assert len(got) == 5 * len(want)
+        hit = sum(r["vec_id"] in {n for n, _ in want[r["query_id"]]} for r in got)
+        assert hit >= 0.9 * len(got)
+
+    @pytest.mark.parametrize("hashes", [1, 2])
+    def test_probes_are_the_nearest_buckets(self, hashes):
+        random = np.random.default_rng(9)
+        index = ann.Index(6, hashes)
+        asked, units = (ann._units(random.normal(size=(20, 6))) for _ in range(2))
+        total = np.zeros((20, 1))
+        for k in range(hashes):
+            side = index._rotated(asked, 1, k)
+            total = (total[:, :, None] + side[:, None, :]).reshape(20, -1)
+        for count in (1, 3, 40, index.buckets):
+            found = index.probes(asked, 1, count)
+            best = -np.sort(-total, axis=1)[:, :count]
+            assert np.allclose(np.take_along_axis(total, found, axis=1), best)
+            assert all(len(set(row)) == len(row) for row in found.tolist())
+        mine = total[np.arange(20), index.bucket(units, 1)]
+        assert (index.ranks(asked, units, 1) == (total > mine[:, None] + 1e-12).sum(axis=1) + 1).all()
+
     def test_few_vectors(self, spark):
         none = spark.createDataFrame([], "vec_id long, embedding array<float>")
         assert ann.neighbours(none, F.lit(True)).count() == 0
