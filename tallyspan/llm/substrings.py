@@ -30,6 +30,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +49,10 @@ WINDOW = 13
 BYTES_PER_WINDOW = 6
 BLOCK = 1 << 20
 MIN_CELLS = BLOCK
-MAX_CELLS = 1 << 29
+MAX_CELLS = 1 << 28
 HOT = 20_000
 # Windows a task gathers before it hands on what it has packed.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 
 
 def _windows(column: pa.Array, size: int, exact: bool = False):
@@ -245,8 +246,9 @@ def _read(blob: bytes):
     return np.repeat(names, counts), np.repeat(variants, counts), place, h, g
 
 
-def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) -> DataFrame:
-    """``(doc_id, variant, place)`` of every window that also starts in a smaller ``doc_id``."""
+def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) -> tuple[DataFrame, Broadcast]:
+    """``(doc_id, variant, place)`` of every window that also starts in a smaller ``doc_id``, and
+    the sketch as it was sent, to be destroyed when the places are written."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(found)
     shift = np.uint64(64 - (ranges - 1).bit_length()) if ranges > 1 else None
@@ -282,7 +284,7 @@ def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) ->
         for part in scan(batches, hot=False):
             parts.append(part)
             held += len(part[0])
-            if held >= FLUSH // 2:
+            if held >= FLUSH:
                 yield flush(parts)
                 parts, held = [], 0
         if held:
@@ -310,7 +312,7 @@ def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) ->
         .mapInArrow(group, "doc_id long, variant long, place int")
     )
     if not any_hot:
-        return places
+        return places, shared
 
     def hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, variant, place, h, g in scan(batches, hot=True):
@@ -324,7 +326,7 @@ def covered_places(docs: DataFrame, window: int, ranges: int, found: Sketch) ->
     firsts = rows.groupBy("h", "g").agg(F.min("doc_id").alias("first"))
     return places.union(
         rows.join(firsts, ["h", "g"]).filter("doc_id > first").select("doc_id", "variant", "place")
-    )
+    ), shared
 
 
 def copies(docs: DataFrame) -> DataFrame:
@@ -413,11 +415,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_C
     # Ranges of the hash that hold about half a million candidates each.
     ranges = 1 << max(0, (size // BYTES_PER_WINDOW >> 20)).bit_length()
     found = sketch(fresh, sketch_cells(size, max_cells), hot, window)
+    places, sent = covered_places(fresh, window, ranges, found)
     per_doc = settle(
-        covered_places(fresh, window, ranges, found)
-        .groupBy("doc_id", "variant").agg(F.collect_list("place").alias("places")),
-        "covered-places",
+        places.groupBy("doc_id", "variant").agg(F.collect_list("place").alias("places")), "covered-places"
     )
+    sent.destroy()  # the places are written, so no task needs it again
 
     touched = per_doc.select(F.col("doc_id").alias("_id"), F.col("variant").alias("_variant"))
     text = ["doc_id", "variant"]
