@@ -177,24 +177,41 @@ def _with_verdict(calls: DataFrame, admitted: Column) -> DataFrame:
 # -- token bucket -------------------------------------------------------------
 
 
-def _clamp(rate: int, burst: int) -> str:
+def _clamp() -> str:
     """One interval after the state ``s`` (add, low, high, at): refill, then take."""
-    gain = f"({rate} * greatest(0L, x.at - s.at) - x.wanted)"
-    top = f"({burst}L - x.wanted)"
-    inside = f"least(greatest({{}} + {gain}, 0L), {top})"
+    gain = "(_rate * greatest(0L, x.at - s.at) - x.wanted)"
+    inside = f"least(greatest({{}} + {gain}, 0L), _burst - x.wanted)"
     return (
         f"named_struct('add', s.add + {gain}, 'low', {inside.format('s.low')},"
         f" 'high', {inside.format('s.high')}, 'at', greatest(s.at, x.at))"
     )
 
 
+def _allowed(
+    calls: DataFrame, rate: int, burst: int, allowances: DataFrame | None, key: str
+) -> DataFrame:
+    """Calls with ``_rate`` and ``_burst``: their service's own, else the ones for all."""
+    plain = [F.lit(value).cast("bigint") for value in (rate, burst)]
+    if allowances is None:
+        return calls.withColumns({"_rate": plain[0], "_burst": plain[1]})
+    side = allowances.groupBy(key).agg(
+        *[F.greatest(F.min(F.col(name).cast("bigint")), F.when(F.min(name).isNotNull(), 0)).alias(f"_own_{name}")
+          for name in ("rate", "burst")]
+    )
+    return _beside(calls, side, [key]).withColumns({
+        "_rate": F.coalesce("_own_rate", plain[0]), "_burst": F.coalesce("_own_burst", plain[1]),
+    }).drop("_own_rate", "_own_burst")
+
+
 def bucket_levels(
     log: DataFrame, rate: int, burst: int, interval: str, key: str = "provider",
-    carried: DataFrame | None = None,
+    carried: DataFrame | None = None, allowances: DataFrame | None = None,
 ) -> DataFrame:
     """Per service and interval: calls a token bucket grants, and the level it is left at.
 
-    Every interval adds ``rate`` tokens, up to ``burst``; a call takes one. Within an interval the
+    Every interval adds ``rate`` tokens, up to ``burst``; a call takes one. ``allowances`` are
+    (key, rate, burst) of services that have their own: a null means the one for all, a negative one
+    nothing, and of several rows of a service the lowest hold. Within an interval the
     level only falls, so its admitted calls are its first ones, and an interval turns a
     level x into ``least(greatest(x + refill - wanted, 0), burst - wanted)``. Such clamps make up
     another one, so blocks of ``BLOCK`` intervals are folded side by side; a service is then
@@ -206,11 +223,12 @@ def bucket_levels(
     seconds = F.unix_timestamp(F.col("window_start").cast("timestamp"))
     length = seconds_of(interval)
     at = F.floor(seconds / length).cast("bigint")
+    counted = _distinct(_calls(log, interval), group).groupBy(*group).agg(F.count("*").alias("calls"))
     demand = (
-        _distinct(_calls(log, interval), group).groupBy(*group)
-        .agg(F.least(F.count("*"), F.lit(burst).cast("bigint")).alias("wanted"))
-        .withColumn("at", at)
+        _allowed(counted, rate, burst, allowances, key)
+        .withColumns({"wanted": F.least("calls", "_burst"), "at": at}).drop("calls")
     )
+    own = [F.max("_rate").alias("_rate"), F.max("_burst").alias("_burst")]
     if carried is None:
         demand = demand.withColumns({
             "_level": F.lit(None).cast("bigint"), "_since": F.lit(None).cast("bigint")
@@ -223,25 +241,23 @@ def bucket_levels(
     blocks = demand.withColumn("block", F.floor(F.col("at") / BLOCK)).groupBy(key, "block").agg(
         F.sort_array(F.collect_list(F.struct(
             "window_start", F.col("now").alias("at"), "wanted"))).alias("steps"),
-        F.max("_level").alias("_level"), F.max("_since").alias("_since"),
+        F.max("_level").alias("_level"), F.max("_since").alias("_since"), *own,
     )
     # A block from the level it finds after its first refill; the start takes everything.
-    whole = f"named_struct('add', 0L, 'low', 0L, 'high', {burst}L, 'at', steps[0].at)"
+    whole = "named_struct('add', 0L, 'low', 0L, 'high', _burst, 'at', steps[0].at)"
     folded = blocks.withColumn(
-        "clamp", F.expr(f"aggregate(steps, {whole}, (s, x) -> {_clamp(rate, burst)})")
+        "clamp", F.expr(f"aggregate(steps, {whole}, (s, x) -> {_clamp()})")
     )
     chain = folded.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct(
             "block", F.col("steps")[0]["at"].alias("first"), F.col("clamp").alias("c")
         ))).alias("all"),
-        F.max("_level").alias("_level"), F.max("_since").alias("_since"),
-    )
-    found = (
-        f"least({burst}L, s.level + {rate} * greatest(0L, x.first - s.at))"
+        F.max("_level").alias("_level"), F.max("_since").alias("_since"), *own,
     )
+    found = "least(_burst, s.level + _rate * greatest(0L, x.first - s.at))"
     entered = chain.withColumn("entries", F.expr(
         "aggregate(all, named_struct("
-        f" 'level', coalesce(_level, {burst}L), 'at', coalesce(_since, all[0].first),"
+        " 'level', coalesce(_level, _burst), 'at', coalesce(_since, all[0].first),"
         " 'out', cast(array() as array<struct<block:bigint,level:bigint>>)),"
         f" (s, x) -> named_struct('level', least(greatest({found} + x.c.add, x.c.low), x.c.high),"
         "   'at', x.c.at,"
@@ -250,7 +266,7 @@ def bucket_levels(
     )).select(key, F.explode("entries").alias("e")).select(
         key, F.col("e.block").alias("block"), F.col("e.level").alias("entry")
     )
-    level = f"least({burst}L, s.level + {rate} * greatest(0L, x.at - s.at))"
+    level = "least(_burst, s.level + _rate * greatest(0L, x.at - s.at))"
     walked = _beside(folded, entered, [key, "block"]).select(key, F.explode(F.expr(
         "aggregate(steps, named_struct('level', entry, 'at', steps[0].at, 'out',"
         " cast(array() as array<struct<window_start:" + dict(demand.dtypes)["window_start"]
@@ -271,10 +287,13 @@ def seconds_of(interval: str) -> int:
 
 
 def grant(
-    log: DataFrame, levels: DataFrame, burst: int, interval: str, key: str = "provider"
+    log: DataFrame, levels: DataFrame, burst: int, interval: str, key: str = "provider",
+    allowances: DataFrame | None = None,
 ) -> DataFrame:
     """Every call with its verdict, given what its interval grants."""
     group = [key, "window_start"]
+    if allowances is not None:  # one number; bounds what a task keeps
+        burst = max(burst, allowances.agg(F.max(F.col("burst").cast("bigint"))).first()[0] or 0)
     granted = levels.select(*group, F.col("granted").alias("_granted"))
     leading = first_n(
         _distinct(_calls(log, interval), group), group, [F.col(c) for c in ORDER], burst
@@ -289,10 +308,15 @@ def grant(
 
 
 def token_bucket(
-    log: DataFrame, rate: int, burst: int, interval: str = "1 minute", key: str = "provider"
+    log: DataFrame, rate: int, burst: int, interval: str = "1 minute", key: str = "provider",
+    allowances: DataFrame | None = None,
 ) -> DataFrame:
-    """Calls admitted by a limiter that allows a burst and then refills at ``rate``."""
-    return grant(log, bucket_levels(log, rate, burst, interval, key), burst, interval, key)
+    """Calls admitted by a limiter that allows a burst and then refills at ``rate``.
+
+    ``allowances`` (key, rate, burst) replace both for the services they name.
+    """
+    levels = bucket_levels(log, rate, burst, interval, key, allowances=allowances)
+    return grant(log, levels, burst, interval, key, allowances)
 
 
 def final_attempt(attempts: DataFrame, first_backoff: int = 2) -> DataFrame:

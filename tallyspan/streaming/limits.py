@@ -175,15 +175,18 @@ def stream_rate_limit(
 
 def stream_token_bucket(
     source: DataFrame, path: str, rate: int, burst: int, interval: str = "1 minute",
-    key: str = "provider", available_now: bool = True,
+    key: str = "provider", available_now: bool = True, allowances: DataFrame | None = None,
 ) -> StreamingQuery:
-    """The bursting limiter online; one level per service is carried on."""
+    """The bursting limiter online; one level per service is carried on.
+
+    ``allowances`` (key, rate, burst) replace both for the services they name, as in the batch form.
+    """
 
     def step(batch: DataFrame, carried: DataFrame | None):
         levels = settle(
-            limits.bucket_levels(batch, rate, burst, interval, key, carried), "levels"
+            limits.bucket_levels(batch, rate, burst, interval, key, carried, allowances), "levels"
         )
-        verdicts = limits.grant(batch, levels, burst, interval, key)
+        verdicts = limits.grant(batch, levels, burst, interval, key, allowances)
         kept = levels.groupBy(key).agg(
             F.max("window_start").alias("window_start"),
             F.max_by("level", "window_start").alias("level"),

@@ -71,6 +71,29 @@ def test_token_bucket(spark, seed, rate, burst):
     assert {r.request_id: r.admitted for r in got} == sequential_bucket(rows, rate, burst)
 
 
+def test_token_bucket_of_each_service(spark, tmp_path):
+    rows = [("other" if r[2] % 3 == 0 else r[0], *r[1:]) for r in calls(5)]
+    names = sorted({r[0] for r in rows})
+    own = {names[0]: (1, 3), names[1]: (6, 12)}
+    want = {}
+    for name in names:
+        rate, burst = own.get(name, (2, 5))
+        want |= sequential_bucket([r for r in rows if r[0] == name], rate, burst)
+    table = [(name, rate, burst) for name, (rate, burst) in own.items()]
+    table += [(names[0], 9, 90), (names[2], None, None), ("unseen", 50, 50), (None, 1, -4)]
+    allowances = spark.createDataFrame(table, "provider string, rate int, burst int")
+    nameless = [(None, START, 10**6 + k, 1) for k in range(3)]
+    log = spark.createDataFrame(rows + nameless, CALLS)
+    got = token_bucket(log, 2, 5, allowances=allowances).collect()
+    assert {r.request_id: r.admitted for r in got} == want | {10**6 + k: False for k in range(3)}
+    source = batches_of(spark, str(tmp_path / "calls"), [
+        [r for r in rows if r[1] < START + datetime.timedelta(minutes=4)],
+        [r for r in rows if r[1] >= START + datetime.timedelta(minutes=4)]])
+    path = str(tmp_path / "bucket")
+    stream_token_bucket(source, path, rate=2, burst=5, allowances=allowances).awaitTermination()
+    assert {r.request_id: r.admitted for r in spark.read.parquet(f"{path}/verdicts").collect()} == want
+
+
 def write_in_order(spark, rows, folder, parts=5):
     size = len(rows) // parts + 1
     for i in range(0, len(rows), size):
