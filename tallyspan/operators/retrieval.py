@@ -3,7 +3,8 @@
 No question passes through the driver, and no plan grows with their number. By vector, blocks of questions
 meet parts of the documents in tasks that keep their best k per question, so what is shuffled on is k rows per
 question and part and never a question-document pair. By words, questions look into an inverted
-index whose posting lists are cut into blocks by weight; blocks that cannot change an answer are not opened.
+index whose posting lists are cut into blocks by segments of the documents; a task adds up the blocks of a segment,
+and what its documents can no longer gain is not added.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -29,16 +30,18 @@ QUESTION_BLOCK = 2048
 PART_CELLS = 1 << 23
 # Scores are compared at this precision, so that equal texts tie wherever they lie.
 SCORE_DIGITS = 9
-# Postings in a block of a word's list; words whose first blocks give a question its first bound.
+# Documents in a segment of an index, and so postings in a block of a word's list, at most; postings (12 MB)
+# in a segment, unless one document has more.
 POSTINGS = 1 << 16
+SEGMENT_CELLS = 1 << 20
 # Word weights (32 MB) that are sent to the tasks at most; more of them are joined.
 SENT_WORDS = 1 << 21
 # Pairs of two ids that are sent at most.
 SENT_PAIRS = 1 << 18
+# Weightiest blocks of a question that are added up before the rest is held against the bound.
 LEADING_WORDS = 8
-# Lists stay shut if all of them together are worth less than this share of a question's bound; a
-# larger share opens fewer lists and leaves more documents to score in full.
-SLACK = 0.1
+# Scores added up in another order differ by far less than this, and so do scores that tie.
+MARGIN = 2 * 10.0**-SCORE_DIGITS
 
 
 def finite(vector: Column) -> Column:
@@ -309,7 +312,7 @@ def word_keys(text: Column) -> Column:
 
 
 def _word_counts(rows: DataFrame, key: str, terms: Column) -> DataFrame:
-    """``(_id, _words, _counts)``: each row's distinct word keys in order; rows without words are left out."""
+    """``(_id, _words, _counts)``: each row's distinct word keys in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends = batch.column(1).offsets.to_numpy()
@@ -324,7 +327,8 @@ def _word_counts(rows: DataFrame, key: str, terms: Column) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *columns], names=["_id", "_words", "_counts"])
 
-    held = rows.select(F.col(key).alias("_id"), terms.alias("_terms")).filter(F.size("_terms") > 0)
+    none = F.array().cast("array<bigint>")
+    held = rows.select(F.col(key).alias("_id"), F.coalesce(terms, none).alias("_terms"))
     kind = dict(held.dtypes)["_id"]
     return held.mapInArrow(run, f"_id {kind}, _words array<bigint>, _counts array<bigint>")
 
@@ -380,15 +384,60 @@ def _word_vectors(counts: DataFrame, weights: DataFrame, rest: float, most: int)
 class TextIndex(NamedTuple):
     """An inverted index over documents, written once."""
 
-    #: (_word, level, part, most, docs, values): a word's postings, in blocks of like value.
+    #: (_segment, _word, most, docs, values): a word's postings in a segment of the documents, whose places
+    #: are ``_segment`` plus ``docs``, and the largest value.
     blocks: DataFrame
     #: (_word, _weight)
     weights: DataFrame
-    #: (_id, _words, _values): each document's words in order of their keys, of length one.
+    #: (_place, _id, _words, _values): each document's words in order of their keys, of length one.
     vectors: DataFrame
     documents: int
 
 
+def _posting_blocks(postings: int, cells: int):
+    """Rows (_place, _words, _values) to the posting blocks of segments whose places run on without a gap."""
+    def inverted(held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        first = held[0][0]
+        sizes, words, values = (np.concatenate([part[i] for part in held]) for i in (1, 2, 3))
+        docs = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        kept = values > 0
+        docs, words, values = docs[kept], words[kept], values[kept]
+        order = np.argsort(words, kind="stable")
+        docs, words, values = docs[order], words[order], values[order]
+        starts = np.flatnonzero(np.diff(words, prepend=words[:1] - 1)) if len(words) else np.zeros(0, int)
+        cuts = pa.array(np.append(starts, len(words)).astype(np.int32))
+        most = np.maximum.reduceat(values, starts) if len(starts) else values
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(starts), first)), pa.array(words[starts]), pa.array(most),
+             pa.ListArray.from_arrays(cuts, pa.array(docs)),
+             pa.ListArray.from_arrays(cuts, pa.array(values))],
+            names=["_segment", "_word", "most", "docs", "values"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, size, following = [], 0, 0, None
+        for batch in batches:
+            places = batch.column(0).to_numpy()
+            ends = batch.column(1).offsets.to_numpy()
+            words, values = (batch.column(c).values.to_numpy(zero_copy_only=False) for c in (1, 2))
+            gaps = np.append(np.flatnonzero(np.diff(places) != 1) + 1, len(places))
+            a = 0
+            while a < len(places):
+                if held and (places[a] != following or rows >= postings or size >= cells):
+                    yield inverted(held)
+                    held, rows, size = [], 0, 0
+                fit = int(np.searchsorted(ends, ends[a] + cells - size, "right")) - 1
+                b = min(int(gaps[np.searchsorted(gaps, a, "right")]), a + postings - rows, max(fit, a + 1))
+                held.append((int(places[a]), np.diff(ends[a : b + 1]), words[ends[a] : ends[b]],
+                             values[ends[a] : ends[b]]))
+                rows, size, following = rows + b - a, size + int(ends[b] - ends[a]), places[b - 1] + 1
+                a = b
+        if held:
+            yield inverted(held)
+
+    return run
+
+
 def text_index(
     docs: DataFrame, doc_key: str = "doc_id", text: str = "text", terms: str | None = None,
     postings: int = POSTINGS, sent: int = SENT_WORDS,
@@ -396,28 +445,21 @@ def text_index(
     """The index of ``docs``, whose keys are unique. ``terms`` names a column that holds their words as keys
     already, as the entries of an incremental index do; ``text`` is not read then.
 
-    Blocks hold the postings of a word whose values are within a half power of two; ``postings`` is what they
-    are cut to on average for a word of all documents.
+    Tasks invert segments of at most ``postings`` documents by themselves, so no posting is shuffled.
     """
     counts = settle(
         _word_counts(docs, doc_key, word_keys(F.col(text)) if terms is None else F.col(terms)),
         "word-counts",
     )
-    total = docs.count()
+    total = counts.count()
     weights = settle(counts.select(F.explode("_words").alias("_word")).groupBy("_word").agg(
         (F.log(F.lit(total + 1.0)) - F.log(F.count("*") + F.lit(1.0))).alias("_weight")
     ), "word-weights")
-    vectors = settle(_word_vectors(counts, weights, 0.0, sent), "word-vectors")
-    single = vectors.select("_id", F.explode(F.arrays_zip("_words", "_values")).alias("x")).select(
-        F.col("x._words").alias("_word"), "_id", F.col("x._values").alias("_value")
-    ).filter("_value > 0")
-    level = F.least(F.floor(F.log2("_value") * -2), F.lit(40)).cast("int")
-    blocks = single.groupBy(
-        "_word", level.alias("level"),
-        F.pmod(F.xxhash64("_id"), F.lit(math.ceil(total / postings) or 1)).alias("part"),
-    ).agg(
-        F.max("_value").alias("most"), F.collect_list("_id").alias("docs"),
-        F.collect_list("_value").alias("values"),
+    vectors = settle(_word_vectors(counts, weights, 0.0, sent).filter("_id is not null").select(
+        F.monotonically_increasing_id().alias("_place"), "_id", "_words", "_values"), "word-vectors")
+    blocks = vectors.select("_place", "_words", "_values").mapInArrow(
+        _posting_blocks(postings, SEGMENT_CELLS),
+        "_segment bigint, _word bigint, most double, docs array<int>, values array<double>",
     )
     return TextIndex(settle(blocks, "posting-blocks"), weights, vectors, total)
 
@@ -442,12 +484,12 @@ def _dots():
 
 
 def _scored(pairs: DataFrame, asked: DataFrame, index: TextIndex) -> DataFrame:
-    """Pairs (_question, _id) with their whole score; few pairs go to the vectors, many meet them."""
+    """Pairs (_row, _place) as (_question, _id) with their whole score; few pairs go to the vectors, many meet them."""
     pairs = settle(pairs, "question-documents")
     if pairs.limit(SENT_PAIRS + 1).count() <= SENT_PAIRS:
         pairs = F.broadcast(pairs)
-    both = index.vectors.toDF("_id", "_doc_words", "_doc_values").join(pairs, "_id").join(
-        asked, "_question"
+    both = index.vectors.toDF("_place", "_id", "_doc_words", "_doc_values").join(pairs, "_place").join(
+        asked, "_row"
     ).select("_question", "_id", "_words", "_values", "_doc_words", "_doc_values")
     kinds = dict(both.dtypes)
     return both.mapInArrow(
@@ -455,6 +497,85 @@ def _scored(pairs: DataFrame, asked: DataFrame, index: TextIndex) -> DataFrame:
     )
 
 
+class _Sums:
+    """Adds up the blocks of a segment for the questions of a block; keeps each question's k best scores so far."""
+
+    def __init__(self, k: int, leading: int):
+        self.k, self.leading = k, leading
+        self.best: dict[int, np.ndarray] = {}
+
+    def question(self, row: int, weights: np.ndarray, tops: np.ndarray, lists: list) -> tuple:
+        """(places in the segment, scores) of the documents that can be among a question's k best.
+
+        ``tops``: the most each list can add, falling. Once all that are left can add less than the
+        k-th best score, they are only looked up for the documents that can still reach it.
+        """
+        bound = self.best[row][0] - MARGIN if len(self.best.get(row, ())) == self.k else 0.0
+        left = np.minimum(np.cumsum(tops[::-1])[::-1],
+                          np.sqrt(np.cumsum((weights * weights)[::-1])[::-1])) * (1 + 1e-9)
+        sums = np.zeros(1 + max(int(docs[-1]) for docs, _ in lists))
+        for at, (docs, values) in enumerate(lists):
+            if at >= self.leading and left[at] < bound:
+                open_still = np.flatnonzero(sums + left[at] >= bound)
+                for weight, (docs, values) in zip(weights[at:], lists[at:]):
+                    place = np.minimum(np.searchsorted(docs, open_still), len(docs) - 1)
+                    there = docs[place] == open_still
+                    sums[open_still[there]] += weight * values[place[there]]
+                break
+            sums[docs] += weights[at] * values
+        found = np.flatnonzero(sums > 0)
+        scores = sums[found]
+        if len(scores) > self.k:
+            bound = max(bound, np.partition(scores, -self.k)[-self.k] - MARGIN)
+        reached = scores >= bound
+        found, scores = found[reached], scores[reached]
+        self.best[row] = np.sort(np.append(self.best.get(row, ()), scores))[-self.k:]
+        return found, scores
+
+    def segment(self, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        first = rows.column("_segment")[0].as_py()
+        most = rows.column("most").to_numpy()
+
+        def lists(name):
+            column = rows.column(name).combine_chunks()
+            column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+            return column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+
+        (ends, docs), (_, values), (asked, numbers), (_, weights) = map(
+            lists, ("docs", "values", "rows", "weights"))
+        block = np.repeat(np.arange(len(most)), np.diff(asked))
+        numbers, weights = (flat[asked[0] : asked[-1]] for flat in (numbers, weights))
+        tops = weights * most[block]
+        order = np.lexsort((-tops, numbers))
+        numbers, weights, tops, block = numbers[order], weights[order], tops[order], block[order]
+        cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        out = ([], [], [])
+        for a, b in zip(cuts, cuts[1:]):
+            found, scores = self.question(int(numbers[a]), weights[a:b], tops[a:b], [
+                (docs[ends[i] : ends[i + 1]], values[ends[i] : ends[i + 1]]) for i in block[a:b]])
+            for column, part in zip(out, (np.full(len(found), numbers[a]), first + found, scores)):
+                column.append(part)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(column)) for column in out], names=["_row", "_place", "part"])
+
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, unit = [], None
+        for batch in batches:
+            units = np.stack([batch.column(c).to_numpy() for c in (0, 1)])
+            changes = (np.flatnonzero((units[:, 1:] != units[:, :-1]).any(axis=0)) + 1).tolist()
+            for a, b in zip([0, *changes], [*changes, batch.num_rows]):
+                if a == b:
+                    continue
+                if held and tuple(units[:, a]) != unit:
+                    yield self.segment(held)
+                    held = []
+                unit = tuple(units[:, a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield self.segment(held)
+
+
 def search_index(
     questions: DataFrame, index: TextIndex, k: int = 3, question_key: str = "question_id",
     question_text: str = "question", doc_key: str = "doc_id", leading: int = LEADING_WORDS,
@@ -462,67 +583,40 @@ def search_index(
 ) -> DataFrame:
     """Best k documents of an index for every question: ``(question, doc, score, rank)``.
 
-    The first blocks of a question's ``leading`` weightiest words give documents to score, and so a score that
-    the k-th answer cannot fall below. Vectors have length one, so documents that hold only the lightest of
-    a question's words score at most the length of that part of the question: the lists of words for
-    which this is small against the bound stay shut. What the others give, and the most that the shut
-    ones can add to it, leaves few documents to score in full.
+    The posting blocks of the questions' words meet the blocks of questions that use them, and a task adds up
+    those of one segment and one block of questions. After the ``leading`` weightiest lists a
+    question's others stay shut but for documents that can still reach the k-th best score it has seen.
+    What is shuffled on is k rows per question and segment, and ties; the best of them are scored in full.
     """
     vectors = _word_vectors(
         _word_counts(questions, question_key, word_keys(F.col(question_text))), index.weights,
         math.log(index.documents + 1.0), sent,
+    ).filter("_id is not null")
+    # Questions are told apart by a number of their own: an id may come twice.
+    asked = settle(vectors.withColumnRenamed("_id", "_question").withColumn(
+        "_row", F.monotonically_increasing_id()), "questions")
+    groups = math.ceil(asked.count() / QUESTION_BLOCK) or 1
+    used = settle(asked.select(
+        F.pmod(F.xxhash64("_row"), F.lit(groups)).alias("_block"), "_row",
+        F.explode(F.arrays_zip("_words", "_values")).alias("x"),
+    ).groupBy("_block", F.col("x._words").alias("_word")).agg(
+        F.sort_array(F.collect_list(F.struct("_row", F.col("x._values").alias("weight")))).alias("x")
+    ).select("_block", "_word", F.col("x._row").alias("rows"), F.col("x.weight").alias("weights")),
+        "question-words")
+    found = settle(
+        index.blocks.join(used, "_word")
+        .repartition(int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                     "_segment", "_block")
+        .sortWithinPartitions("_segment", "_block")
+        .select("_segment", "_block", "most", "docs", "values", "rows", "weights")
+        .mapInArrow(lambda batches: _Sums(k, leading).run(batches),
+                    "_row bigint, _place bigint, part double"),
+        "found-documents",
     )
-    asked = settle(vectors.withColumnRenamed("_id", "_question"), "questions")
-    used = asked.select("_question", F.explode(F.arrays_zip("_words", "_values")).alias("x")).select(
-        "_question", F.col("x._words").alias("_word"), F.col("x._values").alias("weight")
-    )
-    blocks = index.blocks
-    tops = blocks.join(used.select("_word").distinct(), "_word", "left_semi").groupBy("_word").agg(
-        F.max("most").alias("top"), F.min("level").alias("first"))
-    worth = used.join(tops, "_word")
-    # A question's words meet in one task: they are bounded by its text.
-    falling = Window.partitionBy("_question").orderBy(F.col("weight").desc(), "_word")
-    from_here = falling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    worth = settle(worth.select(
-        "*", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(from_here)).alias("reach"),
-        F.row_number().over(Window.partitionBy("_question").orderBy(
-            (F.col("weight") * F.col("top")).desc(), "_word")).alias("place"),
-    ), "question-words")
-    begun = worth.filter(F.col("place") <= leading).join(
-        blocks, (worth["_word"] == blocks["_word"]) & (worth["first"] == blocks["level"])
-    ).select(
-        "_question", "weight", F.explode(F.arrays_zip("docs", "values")).alias("x")
-    ).groupBy("_question", F.col("x.docs").alias("_id")).agg(
-        F.sum(F.col("weight") * F.col("x.values")).alias("part"))
-
-    def bounds(promising: DataFrame) -> DataFrame:
-        """The k-th best whole score among the most promising documents of each question."""
-        tried = first_n(promising, ["_question"], [F.col("part").desc(), F.col("_id")], 8 * k)
-        sure = first_n(
-            _scored(tried.select("_question", "_id"), asked, index), ["_question"],
-            [F.col("score").desc(), F.col("_id")], k,
-        )
-        least = F.when(F.count("*") == k, F.min("score") - 2 * 10.0**-SCORE_DIGITS).otherwise(0.0)
-        return settle(sure.groupBy("_question").agg(least.alias("bound")), "question-bounds")
-
-    bound = bounds(begun)
-    ranked = worth.join(bound, "_question", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)))
-    needed = F.col("reach") * (1 + 1e-9) >= F.col("bound") * SLACK
-    # What all the words that stay shut can be worth.
-    shut = ranked.filter(~needed).groupBy("_question").agg(F.max("reach").alias("shut"))
-    opened = ranked.filter(needed).join(blocks, "_word").select(
-        "_question", "weight", F.explode(F.arrays_zip("docs", "values")).alias("x")
-    ).groupBy("_question", F.col("x.docs").alias("_id")).agg(
-        F.sum(F.col("weight") * F.col("x.values")).alias("part"),
-        F.sum(F.col("x.values") * F.col("x.values")).alias("held"),
-    )
-    opened = settle(opened, "opened-postings")
-    # Now that most of each score is known, the bound rises to about the k-th best score itself.
-    higher = bounds(opened)
-    left = F.sqrt(F.greatest(1 + 1e-9 - F.col("held"), F.lit(0.0)))
-    candidates = opened.join(shut, "_question", "left").join(higher, "_question").filter(
-        F.col("part") + F.coalesce("shut", F.lit(0.0)) * left >= F.col("bound")
-    ).select("_question", "_id")
+    best = first_n(found, ["_row"], [F.col("part").desc(), F.col("_place")], k)
+    least = F.when(F.count("*") == k, F.min("part") - MARGIN).otherwise(0.0)
+    bound = best.groupBy("_row").agg(least.alias("bound"))
+    candidates = found.join(bound, "_row").filter("part >= bound").select("_row", "_place")
     scored = _scored(candidates, asked, index).filter("score > 0").toDF(question_key, doc_key, "score")
     return _ranked(scored, question_key, doc_key, k)
 
@@ -545,7 +639,9 @@ def answers_from_search(
     question_text: str = "question", doc_key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """A predict function that answers with the best document found; null if there is none."""
-    best = text_topk(questions, docs, 1, question_key, question_text, doc_key, text)
+    best = settle(text_topk(questions, docs, 1, question_key, question_text, doc_key, text), "best-documents")
+    if best.limit(SENT_PAIRS + 1).count() <= SENT_PAIRS:
+        best = F.broadcast(best)
     found = best.join(docs.select(doc_key, F.col(text).alias("answer")), doc_key).select(
         question_key, doc_key, "answer"
     )

@@ -147,6 +147,28 @@ def test_shut_lists_change_nothing(spark, monkeypatch):
     assert index.blocks.groupBy("_word").count().agg(F.max("count")).first()[0] > 30
 
 
+def test_no_posting_is_shuffled_and_few_pairs_are_kept(spark, monkeypatch):
+    """What is written grows with the documents or with the answers, not with questions times documents."""
+    written, whole = {}, retrieval.settle
+
+    def settle(df, label):
+        plan, done = df._jdf.queryExecution().executedPlan().toString(), whole(df, label)
+        written[label] = (plan, done.count())
+        return done
+
+    monkeypatch.setattr(retrieval, "settle", settle)
+    docs = [(i, f"all some{i % 2} own{i}" + " more" * (i % 30)) for i in range(400)] + [(7, "all again"), (None, "all none"), (900, "")]
+    questions = [(i, f"all some1 own{i}") for i in range(1, 41, 2)] + [(1, "own5 all"), (None, "all")]
+    index = retrieval.text_index(spark.createDataFrame(docs, "doc_id bigint, text string"), postings=64)
+    got = retrieval.search_index(
+        spark.createDataFrame(questions, "question_id bigint, question string"), index, 1).collect()
+    assert index.documents == 403
+    assert {(r.question_id, r.doc_id) for r in got} == {(i, i) for i in range(1, 41, 2)}
+    assert "Exchange" not in written["posting-blocks"][0]
+    assert max(n for label, (_, n) in written.items() if label in (
+        "opened-postings", "found-documents", "question-documents")) < 1000  # of some 8,000 pairs
+
+
 def test_plans_do_not_grow_with_the_questions(spark, docs):
     def nodes(count):
         rows = [(i, [float(i + 1)] + [1.0] * (DIM - 1)) for i in range(count)]
