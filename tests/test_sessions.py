@@ -219,3 +219,26 @@ def test_a_new_prompt_named_twice_is_added_once(spark):
     new = spark.createDataFrame([("b", 1, "z", "m"), ("b", 1, "y", "m"), ("a", 1, "q", "m")], kind)
     got = sorted(tuple(r) for r in sessions.register_if_missing(known, new).collect())
     assert got == [("a", 1, "x", "m"), ("b", 1, "y", "m")]
+
+
+def test_sessions_are_judged_many_at_a_time(spark):
+    """Sessions, parts and states run on over batches; no group is sent to Python by itself."""
+    rows = [(f"s{s}", t, "user" if t % 2 else "assistant", str(t)) for s in range(40) for t in range(s + 1)]
+    rows += [(None, 0, "user", None), (None, 1, "assistant", "b"), ("s5", None, "assistant", "c"), ("s5", None, "user", "d")]
+    conv = spark.createDataFrame(rows, "session_id string, turn bigint, role string, text string").repartition(3)
+    order = judges.SessionJudge(
+        "order", bool, lambda turns: [turns["turn"].tolist(), 1],
+        lambda a, b: [a[0] + b[0], a[1] + b[1]],
+        lambda s: (s[0] == sorted(s[0], key=lambda t: (t != t, t)), f"{len(s[0])} in {s[1]}"))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        judged = judges.judge_sessions(conv, [order], part_turns=10)
+        assert "FlatMapGroupsInPandas" not in judged._jdf.queryExecution().executedPlan().toString()
+        got = {r.session_id: (r.value, r.reason) for r in judged.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    want = {f"s{s}": ("true", f"{s + 1} in {s // 10 + 1}") for s in range(40)}
+    assert got.pop(None) == ("true", "2 in 1") and got.pop("s5")[1] == "8 in 2"
+    want.pop("s5")
+    assert got == want
