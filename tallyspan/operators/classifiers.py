@@ -25,6 +25,8 @@ from tallyspan.storage import settle
 #: Labelled rows that are learned from at most.
 MOST_ROWS = 50_000
 FEATURES = 1 << 14
+#: Leading bits of a text's hash by which labelled rows are counted.
+HASH_BITS = 12
 WORDS = 128
 PENALTY = 0.01
 _OWN = ["_words", "_rules", "_terms", "_kept", "_features", "_raw", "_probability", "_prediction"]
@@ -90,6 +92,30 @@ def _best_threshold(scores: DataFrame) -> float:
     return threshold
 
 
+def _first_by_hash(given: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` distinct rows (text, label) by the hash of the text, text and label.
+
+    One task gathers hashes and counts only; texts are gathered where they share the very last hash.
+    """
+    hashed = given.withColumn("_hash", F.xxhash64("text"))
+    # Hashes up to the end of a bucket in which, or before which, there are enough of them.
+    bucket = F.shiftright("_hash", 64 - HASH_BITS)
+    sizes = hashed.select("_hash", "label").distinct().groupBy(bucket.alias("bucket")).count()
+    before, last_bucket = 0, None
+    for row in sizes.orderBy("bucket").collect():  # at most 2^HASH_BITS rows
+        before, last_bucket = before + row["count"], row["bucket"]
+        if before >= most:
+            break
+    near = hashed if before < most else hashed.filter(bucket <= last_bucket)
+    rows = settle(near.distinct(), "labelled-texts")
+    last = rows.select("_hash").orderBy("_hash").limit(most).agg(F.max("_hash")).first()[0]
+    if last is None:
+        return rows.drop("_hash")
+    inside = rows.filter(F.col("_hash") < last)
+    tied = rows.filter(F.col("_hash") == last).orderBy("text", "label")
+    return inside.unionByName(tied.limit(max(most - inside.count(), 0))).drop("_hash")
+
+
 def fit_classifier(
     labelled: DataFrame, text: str, label: str, table: Sequence[tuple[str, str]] = (),
     most: int = MOST_ROWS, penalty: float = PENALTY,
@@ -101,8 +127,8 @@ def fit_classifier(
     table = tuple(table)
     given = labelled.select(
         F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("double").alias("label")
-    ).filter("label is not null").distinct()
-    sample = given.orderBy(F.xxhash64("text"), "text", "label").limit(most)
+    ).filter("label is not null")
+    sample = _first_by_hash(given, most)
     third = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(3)) == 0
     rows = settle(
         _prepared(sample, "text", table).withColumn("_third", third).drop("text"), "labelled"

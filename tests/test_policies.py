@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspan.functions import pii_table, rules
-from tallyspan.operators import judges, policies
+from tallyspan.operators import classifiers, judges, policies
 from tallyspan.operators.classifiers import _best_threshold, held_out_quality
 from tallyspan.plans.all_plans import QUERIES
 
@@ -200,3 +200,14 @@ def test_safety_heeds_the_classifier(spark):
     df = spark.createDataFrame([("fine", False), ("fine", True), ("a@b.org", False)], "t string, f boolean")
     got = df.select(judges.score_safety(F.col("t"), F.col("f"))).collect()
     assert [r[0] for r in got] == [True, False, False]
+
+
+def test_learned_rows_are_chosen_without_gathering_texts(spark):
+    """The same first rows by hash; only rows that are learned from are written."""
+    rows = [(f"text {i % 700}", float(i % 3 == 0)) for i in range(2100)] + [("same", 0.0), ("same", 1.0), ("", 0.0)]
+    given = spark.createDataFrame(rows, "text string, label double")
+    for most in (1, 2, 50, 333, 5000):
+        want = given.distinct().orderBy(F.xxhash64("text"), "text", "label").limit(most).collect()
+        chosen = classifiers._first_by_hash(given, most)
+        assert sorted(chosen.collect()) == sorted(want)
+    assert classifiers._first_by_hash(given.filter("false"), 5).count() == 0
