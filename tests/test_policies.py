@@ -211,3 +211,35 @@ def test_learned_rows_are_chosen_without_gathering_texts(spark):
         chosen = classifiers._first_by_hash(given, most)
         assert sorted(chosen.collect()) == sorted(want)
     assert classifiers._first_by_hash(given.filter("false"), 5).count() == 0
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """More rows than were once learned from at most; what is written for learning has all of them, repeats but once."""
+    written, whole = {}, classifiers.settle
+
+    def settle(df, label):
+        written[label] = whole(df, label)
+        return written[label]
+
+    monkeypatch.setattr(classifiers, "settle", settle)
+    rare = F.when(F.col("id") % 4 == 0, F.concat(F.lit("zorp w"), F.col("id"))).otherwise(
+        F.concat(F.lit("plain w"), F.col("id")))
+    rows = spark.range(60_000).select(rare.alias("text"), (F.col("id") % 4 == 0).cast("int").alias("unsafe"))
+    classifier = policies.fit_unsafe(rows.union(rows.limit(500)), "text", "unsafe")
+    assert written["labelled"].count() == 60_000
+    assert "labelled-texts" not in written
+    got = policies.unsafe_flags(spark.createDataFrame([("zorp",), ("plain",)], "text string"), "text", classifier)
+    assert [r.flagged for r in got.collect()] == [True, False]
+
+
+def test_hashes_are_kept_by_how_well_they_tell(spark, monkeypatch):
+    """All words here have a p-value of 0; the best of them are kept, not the first."""
+    monkeypatch.setattr(classifiers, "WORDS", 3)
+    rows = [(" ".join(f"u{j}" for j in range(30) if i * 7919 % 1000 >= 10 * j) + f" n{i}" if i % 2 else f"n{i}",
+             float(i % 2)) for i in range(2000)]
+    given = spark.createDataFrame(rows, "text string, label double")
+    prepared = classifiers._prepared(given, "text", ())
+    kept = classifiers._telling(prepared, "label")
+    best = classifiers._prepared(
+        spark.createDataFrame([("u0 u1 u2",)], "text string"), "text", ()).first()._terms.indices.tolist()
+    assert kept == sorted(best)
