@@ -4,7 +4,9 @@ No question passes through the driver, and no plan grows with their number. By v
 meet parts of the documents in tasks that keep their best k per question, so what is shuffled on is k rows per
 question and part and never a question-document pair. By words, questions look into an inverted
 index whose posting lists are cut into blocks by segments of the documents; a task adds up the blocks of a segment,
-and what its documents can no longer gain is not added.
+and what its documents can no longer gain is not added. An index that is kept is written with its blocks. Where documents are
+searched once, the questions' words go to the tasks, which invert these words' postings and add them up at once: only
+the documents' words and counts are written.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyspan.functions.rules import words
 from tallyspan.operators.ordered import first_n
-from tallyspan.storage import settle
+from tallyspan.storage import settle, settle_keys
 
 # Questions that meet a part of the documents in one task, and numbers (64 MB) in such a part.
 QUESTION_BLOCK = 2048
@@ -36,6 +38,8 @@ POSTINGS = 1 << 16
 SEGMENT_CELLS = 1 << 20
 # Word weights (32 MB) that are sent to the tasks at most; more of them are joined.
 SENT_WORDS = 1 << 21
+# Weights (96 MB) of the documents' words that are sent at most. Words of one document only need not be sent.
+SENT_WEIGHTS = 3 << 21
 # Pairs of two ids that are sent at most.
 SENT_PAIRS = 1 << 18
 # Weightiest blocks of a question that are added up before the rest is held against the bound.
@@ -333,74 +337,103 @@ def _word_counts(rows: DataFrame, key: str, terms: Column) -> DataFrame:
     return held.mapInArrow(run, f"_id {kind}, _words array<bigint>, _counts array<bigint>")
 
 
-def _word_vectors(counts: DataFrame, weights: DataFrame, rest: float, most: int) -> DataFrame:
-    """``(_id, _words, _values)`` of length one; words no document has weigh ``rest``.
+def _weighing(weights: DataFrame, rest: float, most: int) -> Callable[[DataFrame], DataFrame] | None:
+    """What makes vectors of length one (``_words``, ``_values``) of ``_words`` and ``_counts``; other words weigh ``rest``.
 
-    Weights of at most ``most`` words go to the tasks as two sorted arrays; more of them are joined.
+    The weights go to the tasks as two sorted arrays. None if there are more than ``most``.
     """
-    if weights.limit(most + 1).count() <= most:
-        table = weights.select("_word", "_weight").toArrow()
-        keys, values = (table.column(c).to_numpy() for c in ("_word", "_weight"))
-        order = np.argsort(keys)
-        shared = counts.sparkSession.sparkContext.broadcast((keys[order], values[order]))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, weight = shared.value
-            for batch in batches:
-                lists = batch.column(1)
-                flat = lists.values.to_numpy(zero_copy_only=False)
-                value = np.full(len(flat), rest)
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-                    value = np.where(known[place] == flat, weight[place], rest)
-                value = value * batch.column(2).values.to_numpy(zero_copy_only=False)
-                ends = lists.offsets.to_numpy()
-                row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-                norm = np.sqrt(np.bincount(row, weights=value * value, minlength=batch.num_rows))
-                value = value / np.where(norm > 0, norm, 1.0)[row]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), lists, pa.ListArray.from_arrays(lists.offsets, pa.array(value)),
-                     pa.array(norm)], names=["_id", "_words", "_values", "_norm"])
+    if weights.limit(most + 1).count() > most:
+        return None
+    table = weights.select("_word", "_weight").toArrow()
+    keys, values = (table.column(c).to_numpy() for c in ("_word", "_weight"))
+    del table
+    order = np.argsort(keys)
+    shared = weights.sparkSession.sparkContext.broadcast((keys[order], values[order]))
 
-        kind = dict(counts.dtypes)["_id"]
-        return counts.mapInArrow(
-            run, f"_id {kind}, _words array<bigint>, _values array<double>, _norm double"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weight = shared.value
+        for batch in batches:
+            *own, lists, counts = batch.columns
+            flat = lists.values.to_numpy(zero_copy_only=False)
+            value = np.full(len(flat), rest)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+                value = np.where(known[place] == flat, weight[place], rest)
+            value = value * counts.values.to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            norm = np.sqrt(np.bincount(row, weights=value * value, minlength=batch.num_rows))
+            value = value / np.where(norm > 0, norm, 1.0)[row]
+            yield pa.RecordBatch.from_arrays(
+                [*own, lists, pa.ListArray.from_arrays(lists.offsets, pa.array(value)), pa.array(norm)],
+                names=[*batch.schema.names[:-1], "_values", "_norm"])
+
+    def weighed(counts: DataFrame) -> DataFrame:
+        own = [f"`{c}` {kind}" for c, kind in counts.dtypes[:-2]]
+        return counts.mapInArrow(run, ", ".join(
+            [*own, "_words array<bigint>", "_values array<double>", "_norm double"])
         ).filter("_norm > 0").drop("_norm")
-    single = counts.select("_id", F.explode(F.arrays_zip("_words", "_counts")).alias("x")).select(
-        "_id", F.col("x._words").alias("_word"), F.col("x._counts").alias("_n"))
-    weighed = single.join(weights, "_word", "left").select(
-        "_id", "_word", (F.col("_n") * F.coalesce("_weight", F.lit(rest))).alias("_value")
+
+    return weighed
+
+
+def _word_vectors(counts: DataFrame, weights: DataFrame, rest: float, most: int) -> DataFrame:
+    """``counts``, whose last columns are ``_words`` and ``_counts``, with ``_words`` and ``_values`` of length one.
+
+    Weights of at most ``most`` words go to the tasks; more of them are joined.
+    """
+    if (weighed := _weighing(weights, rest, most)) is not None:
+        return weighed(counts)
+    own = counts.columns[:-2]
+    single = counts.select(*own, F.explode(F.arrays_zip("_words", "_counts")).alias("x")).select(
+        *own, F.col("x._words").alias("_word"), F.col("x._counts").alias("_n"))
+    valued = single.join(weights.select("_word", "_weight"), "_word", "left").select(
+        *own, "_word", (F.col("_n") * F.coalesce("_weight", F.lit(rest))).alias("_value")
     )
-    gathered = weighed.groupBy("_id").agg(
+    gathered = valued.groupBy(*own).agg(
         F.array_sort(F.collect_list(F.struct("_word", "_value"))).alias("x"),
         F.sqrt(F.sum(F.col("_value") * F.col("_value"))).alias("_norm"),
     )
     return gathered.filter("_norm > 0").select(
-        "_id", F.col("x._word").alias("_words"),
+        *own, F.col("x._word").alias("_words"),
         F.transform("x", lambda x: x["_value"] / F.col("_norm")).alias("_values"),
     )
 
 
 class TextIndex(NamedTuple):
-    """An inverted index over documents, written once."""
+    """An inverted index over documents, written once, or for one search with its blocks left to the tasks."""
 
     #: (_segment, _word, most, docs, values): a word's postings in a segment of the documents, whose places
-    #: are ``_segment`` plus ``docs``, and the largest value.
-    blocks: DataFrame
-    #: (_word, _weight)
+    #: are ``_segment`` plus ``docs``, and the largest value. None if only one search is made.
+    blocks: DataFrame | None
+    #: (_word, _n, _weight): in how many documents a word is, and what it weighs.
     weights: DataFrame
     #: (_place, _id, _words, _values): each document's words in order of their keys, of length one.
     vectors: DataFrame
     documents: int
+    #: (_place, _id, _words, _counts) and what makes vectors of them, where ``vectors`` is not written.
+    counts: DataFrame | None = None
+    weighed: Callable[[DataFrame], DataFrame] | None = None
+
 
+def _held(known: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Which of ``words`` are among ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(words), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, words), len(known) - 1)] == words
 
-def _posting_blocks(postings: int, cells: int):
-    """Rows (_place, _words, _values) to the posting blocks of segments whose places run on without a gap."""
-    def inverted(held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        first = held[0][0]
-        sizes, words, values = (np.concatenate([part[i] for part in held]) for i in (1, 2, 3))
-        docs = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+
+def _posting_blocks(postings: int, cells: int, asked: np.ndarray | None = None):
+    """Rows (_place, _words, _values) to the posting blocks of segments, of all words or of those ``asked``.
+
+    The places of a segment rise and lie within ``postings``.
+    """
+    def inverted(held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        first = int(held[0][0][0])
+        places, sizes, words, values = (np.concatenate([part[i] for part in held]) for i in range(4))
+        docs = np.repeat((places - first).astype(np.int32), sizes)
         kept = values > 0
+        if asked is not None:
+            kept &= _held(asked, words)
         docs, words, values = docs[kept], words[kept], values[kept]
         order = np.argsort(words, kind="stable")
         docs, words, values = docs[order], words[order], values[order]
@@ -415,22 +448,26 @@ def _posting_blocks(postings: int, cells: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, size, following = [], 0, 0, None
+        held, size, first, last = [], 0, None, None
         for batch in batches:
             places = batch.column(0).to_numpy()
             ends = batch.column(1).offsets.to_numpy()
             words, values = (batch.column(c).values.to_numpy(zero_copy_only=False) for c in (1, 2))
-            gaps = np.append(np.flatnonzero(np.diff(places) != 1) + 1, len(places))
+            falls = np.append(np.flatnonzero(np.diff(places) <= 0) + 1, len(places))
             a = 0
             while a < len(places):
-                if held and (places[a] != following or rows >= postings or size >= cells):
+                if held and (places[a] <= last or places[a] - first >= postings or size >= cells):
                     yield inverted(held)
-                    held, rows, size = [], 0, 0
+                    held, size = [], 0
+                if not held:
+                    first = places[a]
+                rising = int(falls[np.searchsorted(falls, a, "right")])
+                near = a + int(np.searchsorted(places[a:rising], first + postings))
                 fit = int(np.searchsorted(ends, ends[a] + cells - size, "right")) - 1
-                b = min(int(gaps[np.searchsorted(gaps, a, "right")]), a + postings - rows, max(fit, a + 1))
-                held.append((int(places[a]), np.diff(ends[a : b + 1]), words[ends[a] : ends[b]],
+                b = min(near, max(fit, a + 1))
+                held.append((places[a:b], np.diff(ends[a : b + 1]), words[ends[a] : ends[b]],
                              values[ends[a] : ends[b]]))
-                rows, size, following = rows + b - a, size + int(ends[b] - ends[a]), places[b - 1] + 1
+                size, last = size + int(ends[b] - ends[a]), places[b - 1]
                 a = b
         if held:
             yield inverted(held)
@@ -440,28 +477,37 @@ def _posting_blocks(postings: int, cells: int):
 
 def text_index(
     docs: DataFrame, doc_key: str = "doc_id", text: str = "text", terms: str | None = None,
-    postings: int = POSTINGS, sent: int = SENT_WORDS,
+    postings: int = POSTINGS, sent: int = SENT_WEIGHTS, kept: bool = True,
 ) -> TextIndex:
     """The index of ``docs``, whose keys are unique. ``terms`` names a column that holds their words as keys
     already, as the entries of an incremental index do; ``text`` is not read then.
 
-    Tasks invert segments of at most ``postings`` documents by themselves, so no posting is shuffled.
+    Tasks invert segments of at most ``postings`` documents by themselves, so no posting is shuffled unless more
+    than ``sent`` words are in several documents. Without ``kept`` neither vectors nor blocks are written, but
+    made anew from words and counts by the tasks of a search.
     """
-    counts = settle(
-        _word_counts(docs, doc_key, word_keys(F.col(text)) if terms is None else F.col(terms)),
+    counts = settle_keys(
+        _word_counts(docs, doc_key, word_keys(F.col(text)) if terms is None else F.col(terms))
+        .select(F.monotonically_increasing_id().alias("_place"), "_id", "_words", "_counts"),
         "word-counts",
     )
     total = counts.count()
-    weights = settle(counts.select(F.explode("_words").alias("_word")).groupBy("_word").agg(
-        (F.log(F.lit(total + 1.0)) - F.log(F.count("*") + F.lit(1.0))).alias("_weight")
-    ), "word-weights")
-    vectors = settle(_word_vectors(counts, weights, 0.0, sent).filter("_id is not null").select(
-        F.monotonically_increasing_id().alias("_place"), "_id", "_words", "_values"), "word-vectors")
-    blocks = vectors.select("_place", "_words", "_values").mapInArrow(
+    weights = settle(
+        counts.select(F.explode("_words").alias("_word")).groupBy("_word").agg(F.count("*").alias("_n"))
+        .withColumn("_weight", F.log(F.lit(total + 1.0)) - F.log(F.col("_n") + F.lit(1.0))), "word-weights")
+    several, rest = weights.filter("_n > 1"), math.log(total + 1.0) - math.log(2.0)
+    counts = counts.filter("_id is not null")
+    if not kept and (weighed := _weighing(several, rest, sent)) is not None:
+        return TextIndex(None, weights, weighed(counts), total, counts, weighed)
+    vectors = settle(_word_vectors(counts, several, rest, sent), "word-vectors")
+    return TextIndex(_written_blocks(vectors, postings) if kept else None, weights, vectors, total)
+
+
+def _written_blocks(vectors: DataFrame, postings: int) -> DataFrame:
+    return settle(vectors.select("_place", "_words", "_values").mapInArrow(
         _posting_blocks(postings, SEGMENT_CELLS),
         "_segment bigint, _word bigint, most double, docs array<int>, values array<double>",
-    )
-    return TextIndex(settle(blocks, "posting-blocks"), weights, vectors, total)
+    ), "posting-blocks")
 
 
 def _dots():
@@ -486,9 +532,14 @@ def _dots():
 def _scored(pairs: DataFrame, asked: DataFrame, index: TextIndex) -> DataFrame:
     """Pairs (_row, _place) as (_question, _id) with their whole score; few pairs go to the vectors, many meet them."""
     pairs = settle(pairs, "question-documents")
-    if pairs.limit(SENT_PAIRS + 1).count() <= SENT_PAIRS:
+    few = pairs.limit(SENT_PAIRS + 1).count() <= SENT_PAIRS
+    vectors = index.vectors
+    if index.counts is not None:  # only those that are looked at are weighed
+        places = pairs.select("_place").distinct()
+        vectors = index.weighed(index.counts.join(F.broadcast(places) if few else places, "_place", "left_semi"))
+    if few:
         pairs = F.broadcast(pairs)
-    both = index.vectors.toDF("_place", "_id", "_doc_words", "_doc_values").join(pairs, "_place").join(
+    both = vectors.toDF("_place", "_id", "_doc_words", "_doc_values").join(pairs, "_place").join(
         asked, "_row"
     ).select("_question", "_id", "_words", "_values", "_doc_words", "_doc_values")
     kinds = dict(both.dtypes)
@@ -576,43 +627,84 @@ class _Sums:
             yield self.segment(held)
 
 
+def _sent_questions(asked: DataFrame, most: int) -> tuple | None:
+    """The questions' words in order, and where among ``rows`` and ``weights`` each one's questions lie.
+
+    None if there are more than ``most`` pairs of a question and a word.
+    """
+    pairs = asked.select("_row", F.explode(F.arrays_zip("_words", "_values")).alias("x")).select(
+        "_row", F.col("x._words").alias("_word"), F.col("x._values").alias("weight"))
+    if pairs.limit(most + 1).count() > most:
+        return None
+    table = pairs.toArrow()
+    rows, words, weights = (table.column(c).to_numpy() for c in ("_row", "_word", "weight"))
+    order = np.lexsort((rows, words))
+    known, starts = np.unique(words[order], return_index=True)
+    return known, np.append(starts, len(order)).astype(np.int32), rows[order], weights[order]
+
+
+def _search_segments(shared, k: int, leading: int, postings: int):
+    """Documents' vectors (_place, _words, _values) to what the questions that were sent find in their segments."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cuts, rows, weights = shared.value
+        lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat)) for flat in (rows, weights)]
+        sums = _Sums(k, leading)
+        for blocks in _posting_blocks(postings, SEGMENT_CELLS, known)(batches):
+            if blocks.num_rows:
+                at = pa.array(np.searchsorted(known, blocks.column("_word").to_numpy()))
+                yield sums.segment([pa.RecordBatch.from_arrays(
+                    [*(blocks.column(c) for c in ("_segment", "most", "docs", "values")),
+                     *(column.take(at) for column in lists)],
+                    names=["_segment", "most", "docs", "values", "rows", "weights"])])
+
+    return run
+
+
 def search_index(
     questions: DataFrame, index: TextIndex, k: int = 3, question_key: str = "question_id",
     question_text: str = "question", doc_key: str = "doc_id", leading: int = LEADING_WORDS,
-    sent: int = SENT_WORDS,
+    sent: int = SENT_WORDS, postings: int = POSTINGS,
 ) -> DataFrame:
     """Best k documents of an index for every question: ``(question, doc, score, rank)``.
 
     The posting blocks of the questions' words meet the blocks of questions that use them, and a task adds up
-    those of one segment and one block of questions. After the ``leading`` weightiest lists a
+    those of one segment and one block of questions. Where the index has no blocks, at most ``sent`` words of questions go to the
+    tasks, which invert segments of ``postings`` documents themselves. After the ``leading`` weightiest lists a
     question's others stay shut but for documents that can still reach the k-th best score it has seen.
     What is shuffled on is k rows per question and segment, and ties; the best of them are scored in full.
     """
+    counts = _word_counts(questions, question_key, word_keys(F.col(question_text)))
+    known = counts.select(F.explode("_words").alias("_word")).distinct()
+    weights = settle(index.weights.join(known, "_word", "left_semi"), "question-weights")
     vectors = _word_vectors(
-        _word_counts(questions, question_key, word_keys(F.col(question_text))), index.weights,
-        math.log(index.documents + 1.0), sent,
-    ).filter("_id is not null")
+        counts, weights, math.log(index.documents + 1.0), sent).filter("_id is not null")
     # Questions are told apart by a number of their own: an id may come twice.
     asked = settle(vectors.withColumnRenamed("_id", "_question").withColumn(
         "_row", F.monotonically_increasing_id()), "questions")
-    groups = math.ceil(asked.count() / QUESTION_BLOCK) or 1
-    used = settle(asked.select(
-        F.pmod(F.xxhash64("_row"), F.lit(groups)).alias("_block"), "_row",
-        F.explode(F.arrays_zip("_words", "_values")).alias("x"),
-    ).groupBy("_block", F.col("x._words").alias("_word")).agg(
-        F.sort_array(F.collect_list(F.struct("_row", F.col("x._values").alias("weight")))).alias("x")
-    ).select("_block", "_word", F.col("x._row").alias("rows"), F.col("x.weight").alias("weights")),
-        "question-words")
-    found = settle(
-        index.blocks.join(used, "_word")
-        .repartition(int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                     "_segment", "_block")
-        .sortWithinPartitions("_segment", "_block")
-        .select("_segment", "_block", "most", "docs", "values", "rows", "weights")
-        .mapInArrow(lambda batches: _Sums(k, leading).run(batches),
-                    "_row bigint, _place bigint, part double"),
-        "found-documents",
-    )
+    kinds = "_row bigint, _place bigint, part double"
+    if index.blocks is None and (table := _sent_questions(asked, sent)) is not None:
+        shared = questions.sparkSession.sparkContext.broadcast(table)
+        found = index.vectors.select("_place", "_words", "_values").mapInArrow(
+            _search_segments(shared, k, leading, postings), kinds)
+    else:
+        blocks = index.blocks if index.blocks is not None else _written_blocks(index.vectors, postings)
+        groups = math.ceil(asked.count() / QUESTION_BLOCK) or 1
+        used = settle(asked.select(
+            F.pmod(F.xxhash64("_row"), F.lit(groups)).alias("_block"), "_row",
+            F.explode(F.arrays_zip("_words", "_values")).alias("x"),
+        ).groupBy("_block", F.col("x._words").alias("_word")).agg(
+            F.sort_array(F.collect_list(F.struct("_row", F.col("x._values").alias("weight")))).alias("x")
+        ).select("_block", "_word", F.col("x._row").alias("rows"), F.col("x.weight").alias("weights")),
+            "question-words")
+        found = (
+            blocks.join(used, "_word")
+            .repartition(int(questions.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                         "_segment", "_block")
+            .sortWithinPartitions("_segment", "_block")
+            .select("_segment", "_block", "most", "docs", "values", "rows", "weights")
+            .mapInArrow(lambda batches: _Sums(k, leading).run(batches), kinds)
+        )
+    found = settle(found, "found-documents")
     best = first_n(found, ["_row"], [F.col("part").desc(), F.col("_place")], k)
     least = F.when(F.count("*") == k, F.min("part") - MARGIN).otherwise(0.0)
     bound = best.groupBy("_row").agg(least.alias("bound"))
@@ -624,14 +716,15 @@ def search_index(
 def text_topk(
     questions: DataFrame, docs: DataFrame, k: int = 3, question_key: str = "question_id",
     question_text: str = "question", doc_key: str = "doc_id", text: str = "text",
-    terms: str | None = None,
+    terms: str | None = None, **how,
 ) -> DataFrame:
     """Best k documents for every question by the cosine of TF-IDF weighted words.
 
-    Questions and documents without words, or null, find and are nothing. ``terms`` as in ``text_index``.
+    Questions and documents without words, or null, find and are nothing. ``terms`` as in ``text_index``,
+    ``how`` as in ``search_index``.
     """
-    index = text_index(docs, doc_key, text, terms)
-    return search_index(questions, index, k, question_key, question_text, doc_key)
+    index = text_index(docs, doc_key, text, terms, kept=False)
+    return search_index(questions, index, k, question_key, question_text, doc_key, **how)
 
 
 def answers_from_search(

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspan.operators.retrieval import word_keys
+from tallyspan.storage import KEY_OPTIONS, settle
+
+# Keys that are sent to the tasks at most.
+SENT_KEYS = 1 << 20
 
 
 def content_hash(*columns: str) -> Column:
@@ -32,8 +36,18 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, *content: str) -> Da
 
 
 def changed_documents(old: DataFrame, new: DataFrame, key: str, text: str) -> DataFrame:
-    """The diff with the new text of inserted and updated documents."""
-    return snapshot_diff(old, new, key, text).join(new.select(key, text), key, "left")
+    """The diff with the new text of inserted and updated documents.
+
+    The diff is written first. While few documents have changed, only their texts move; else all new ones do.
+    """
+    diff = settle(snapshot_diff(old, new, key, text), "snapshot-diff")
+    arrived = F.col("change") != "deleted"
+    changed = diff.filter(arrived).select(key).distinct()
+    texts = new.select(key, text)
+    if changed.limit(SENT_KEYS + 1).count() <= SENT_KEYS:
+        texts = texts.join(F.broadcast(changed), key, "left_semi")
+    with_text = diff.filter(arrived).join(texts, key, "left")
+    return with_text.unionByName(diff.filter(~arrived).withColumn(text, F.lit(None).cast(dict(new.dtypes)[text])))
 
 
 def write_index_batch(
@@ -52,6 +66,7 @@ def write_index_batch(
             F.when(F.col("change") != "deleted", word_keys(F.col(text))).alias("terms"),
         )
         .write.mode("overwrite")
+        .options(**KEY_OPTIONS)
         .parquet(f"{path}/batch={batch_id}")
     )
 
@@ -59,13 +74,20 @@ def write_index_batch(
 def read_index(spark: SparkSession, path: str, key: str) -> DataFrame:
     """The index as of the newest batch: the latest entry of each document, deletions gone.
 
-    Entries are ordered by batch and, within one, by their sequence.
+    Entries are ordered by batch and, within one, by their sequence. While the documents with several entries
+    are few, only their entries are shuffled; else all are.
     """
-    entry = F.struct("change", "terms")
-    return (
-        spark.read.parquet(path)
-        .groupBy(key)
-        .agg(F.max_by(entry, F.struct("batch", "sequence")).alias("_entry"))
-        .filter(F.col("_entry.change") != "deleted")
-        .select(key, F.col("_entry.terms").alias("terms"))
-    )
+    entries = spark.read.parquet(path)
+    repeated = settle(entries.groupBy(key).count().filter("count > 1").select(F.col(key).alias("_key")), "repeated-keys")
+
+    def latest(some: DataFrame) -> DataFrame:
+        newest = F.max_by(F.struct("change", "terms"), F.struct("batch", "sequence"))
+        return some.groupBy(key).agg(newest.alias("_entry")).select(key, "_entry.change", "_entry.terms")
+
+    if repeated.limit(SENT_KEYS + 1).count() <= SENT_KEYS:
+        same = F.col(key).eqNullSafe(F.col("_key"))
+        single = entries.join(F.broadcast(repeated), same, "left_anti").select(key, "change", "terms")
+        current = single.unionByName(latest(entries.join(F.broadcast(repeated), same, "left_semi")))
+    else:
+        current = latest(entries)
+    return current.filter(F.col("change") != "deleted").select(key, "terms")

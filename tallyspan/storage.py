@@ -49,3 +49,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = shared_folder(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: A column of word keys stays dictionary-encoded up to so many bytes of distinct ones in a file's row group.
+KEY_OPTIONS = {"parquet.dictionary.page.size": str(16 << 20)}
+
+
+def settle_keys(df: DataFrame, label: str) -> DataFrame:
+    """``settle`` for lists of word keys, which are random numbers but come again and again."""
+    path = shared_folder(df.sparkSession, label)
+    df.write.mode("overwrite").options(**KEY_OPTIONS).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -271,3 +271,71 @@ def test_long_texts_are_not_shortened(spark):
     df = spark.createDataFrame([("x" * 20_000,), ("Texs",), (None,)], "t string")
     got = {r.matched for r in entity_match(df, "t", known, "name").collect()}
     assert got == {None, "Texas"}
+
+
+@pytest.mark.parametrize("postings,leading,sent,weights", [
+    (1024, 8, 10**6, 10**6), (4, 1, 10**6, 20), (4, 1, 0, 0)])
+def test_one_search_writes_words_and_counts_only(spark, monkeypatch, postings, leading, sent, weights):
+    """Questions' words and documents' weights are sent, or joined where they are too many, with the same answers."""
+    written, keys, whole, whole_keys = {}, [], retrieval.settle, retrieval.settle_keys
+
+    def settle(df, label):
+        written[label] = df._jdf.queryExecution().executedPlan().toString()
+        return whole(df, label)
+
+    monkeypatch.setattr(retrieval, "settle", settle)
+    monkeypatch.setattr(retrieval, "settle_keys", lambda df, label: (keys.append(label), whole_keys(df, label))[1])
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join([*rng.choices(vocabulary, k=rng.randrange(1, 40)), f"own{i}"])) for i in range(120)]
+    docs += [(200 + i, docs[3][1]) for i in range(60)] + [(400 + i, "") for i in range(20)]
+    questions = [(i, " ".join([*rng.choices(vocabulary + ["unseen"], k=4), f"own{7 * i}"])) for i in range(6)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    index = retrieval.text_index(frame, sent=weights, kept=False)
+    got = retrieval.search_index(
+        spark.createDataFrame(questions, "question_id bigint, question string"), index, 4,
+        leading=leading, sent=sent, postings=postings).collect()
+    want = brute_text(docs, questions, 4)
+    for q, _ in questions:
+        assert [r.doc_id for r in sorted(got, key=lambda r: r["rank"]) if r.question_id == q] == want[q]
+    assert keys == ["word-counts"]
+    assert ("word-vectors" in written) == (weights < 100)
+    assert ("posting-blocks" in written) == (sent == 0)
+    if sent:
+        assert "Exchange" not in written["found-documents"]
+
+
+def test_only_documents_with_several_entries_are_shuffled(spark, tmp_path, monkeypatch):
+    """The same state, whether keys are sent or everything is grouped; null and repeated keys have one entry."""
+    kind = "doc_id bigint, change string, text string, n int"
+    first = [(i, "inserted", f"a b w{i}", 0) for i in range(50)] + [(None, "inserted", "x", 0), (None, "inserted", "x", 0)]
+    second = [(1, "deleted", None, 0), (2, "updated", "c", 0), (2, "updated", "c d e", 1), (60, "inserted", "z", 0)]
+    for n, rows in enumerate((first, second)):
+        snapshots.write_index_batch(
+            spark.createDataFrame(rows, kind), str(tmp_path / "entries"), n, "doc_id", "text", "n")
+    repeated, whole = [], snapshots.settle
+    monkeypatch.setattr(snapshots, "settle", lambda df, label: (repeated.append(whole(df, label)), repeated[-1])[1])
+    states = []
+    for most in (1 << 20, 0):
+        monkeypatch.setattr(snapshots, "SENT_KEYS", most)
+        index = snapshots.read_index(spark, str(tmp_path / "entries"), "doc_id")
+        states.append({r.doc_id: len(r.terms) for r in index.collect()})
+        assert ("LeftAnti" in index._jdf.queryExecution().optimizedPlan().toString()) == (most > 0)
+    want = {i: 3 for i in range(50) if i not in (1, 2)} | {2: 3, 60: 1, None: 1}
+    assert states == [want, want]
+    assert sorted(str(r._key) for r in repeated[0].collect()) == ["1", "2", "None"]
+
+
+def test_only_changed_texts_move(spark, monkeypatch):
+    """Deleted, null and repeated keys as a left join of the diff gives them."""
+    kind = "doc_id bigint, text string"
+    old = spark.createDataFrame([(i, f"t{i}") for i in range(20)] + [(None, "n"), (30, "a"), (30, "a")], kind)
+    new = spark.createDataFrame([(i, f"t{i}" if i % 5 else f"u{i}") for i in range(2, 20)]
+                                + [(40, "new"), (41, None), (None, "m"), (30, "b")], kind)
+    want = snapshots.snapshot_diff(old, new, "doc_id", "text").join(new, "doc_id", "left")
+    for most in (1 << 20, 0):
+        monkeypatch.setattr(snapshots, "SENT_KEYS", most)
+        got = snapshots.changed_documents(old, new, "doc_id", "text")
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r.change for r in want.collect()} == {"inserted", "updated", "deleted"}
